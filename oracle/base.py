@@ -39,7 +39,7 @@ def render(sql: str) -> str:
 
 def r(expr: str, digits: int) -> str:
     """Half-up rounding through decimal, as a double."""
-    return f"round(cast(({expr}) AS decimal(38,12)), {digits})::double"
+    return f"round(cast(({expr}) AS decimal(38,{digits + 4})), {digits})::double"
 
 
 def div(n: str, d: str) -> str:

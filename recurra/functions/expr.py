@@ -50,8 +50,11 @@ def divide_or(n, d, default: float = 0.0) -> Column:
 
 
 def rounded(c: Column, digits: int) -> Column:
-    """Half-up rounding through decimal, so that 1.005 becomes 1.01."""
-    return F.round(c.cast("decimal(38,12)"), digits).cast("double")
+    """Half-up rounding through decimal, so that 1.005 becomes 1.01.
+
+    Four guard digits absorb the binary error of the double.
+    """
+    return F.round(c.cast(f"decimal(38,{digits + 4})"), digits).cast("double")
 
 
 def percent(c: Column) -> Column:

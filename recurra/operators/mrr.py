@@ -89,6 +89,8 @@ def mrr_movement_type(subscriptions: DataFrame, as_of: dt.date) -> DataFrame:
         "prev_plan_name",
         "account_month_rank",
         "seat_utilization_rate",
+        "seats_purchased",
+        "seats_used",
         "following_month",
     )
 
@@ -119,7 +121,7 @@ def with_components(movements: DataFrame) -> DataFrame:
 
 
 def mrr_components(subscriptions: DataFrame, as_of: dt.date) -> DataFrame:
-    return with_components(mrr_movement_type(subscriptions, as_of)).drop("following_month")
+    return with_components(mrr_movement_type(subscriptions, as_of)).drop("following_month", "seats_purchased", "seats_used")
 
 
 def _left_after(row_month: Column, following: Column, as_of: dt.date) -> Column:

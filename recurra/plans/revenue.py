@@ -22,7 +22,7 @@ def tidy(df):
 query("month_spine")(lambda s: spine.month_spine(s.t.accounts, "created_at", AS_OF))
 query("account_months")(lambda s: spine.account_months(s.t.accounts, AS_OF))
 query("subscription_months")(lambda s: spine.subscription_months(s.t.subscriptions, AS_OF))
-query("mrr_movement_type")(lambda s: tidy(mrr.mrr_movement_type(s.t.subscriptions, AS_OF)).drop("following_month"))
+query("mrr_movement_type")(lambda s: tidy(mrr.mrr_movement_type(s.t.subscriptions, AS_OF)).drop("following_month", "seats_purchased", "seats_used"))
 query("mrr_components")(
     lambda s: mrr.mrr_components(s.t.subscriptions, AS_OF).select(
         "account_id", "month_start", "mrr_movement_type", "mrr", *mrr.COMPONENTS, "net_mrr_contribution", "arr"

@@ -246,3 +246,54 @@ def tables(spark: SparkSession, sf_dir: str) -> Tables:
         tickets=tickets(spark, sf_dir),
         leads=leads(spark, sf_dir),
     )
+
+
+TITLES = ["CEO", "Co-Founder", "CTO", "VP Sales", "Account Manager", "Team Lead", "Software Engineer", "Accountant"]
+
+
+def contacts(spark, sf_dir) -> DataFrame:
+    """Primary contact of each account; every eleventh e-mail is blank."""
+    c = F.col("account_id")
+    return accounts(spark, sf_dir).select(
+        "account_id",
+        "company_name",
+        "created_at",
+        F.when(c % 11 == 0, "").otherwise(F.concat(F.lit(" User"), c.cast("string"), F.lit("@Example.com"))).alias(
+            "primary_contact_email"
+        ),
+        F.concat(F.lit("First"), (c % 13).cast("string"), F.lit(" Last"), (c % 17).cast("string")).alias(
+            "primary_contact_name"
+        ),
+        mapped(c % 8, dict(enumerate(TITLES))).alias("primary_contact_title"),
+        F.when(c % 6 == 0, "Churned").otherwise("Active").alias("account_status"),
+    )
+
+
+def event_features(spark, sf_dir) -> DataFrame:
+    """Feature catalogue found in the events themselves."""
+    ids = read_table(spark, sf_dir, "events").select(F.col("event_type").alias("feature_id")).distinct()
+    return feature_attributes(ids)
+
+
+def sold_plans(spark, sf_dir) -> DataFrame:
+    """Catalogue plans that at least one subscription uses."""
+    sold = subscriptions(spark, sf_dir).select("plan_id").distinct()
+    return plans(spark).join(sold, "plan_id", "left_semi")
+
+
+LOADED_AT = dt.datetime(2001, 7, 31, 6, 0, 0)
+
+
+def raw_text(df: DataFrame, key: str, stale: dict[str, object]) -> DataFrame:
+    """All-text copy of an entity: blanks for NULL, plus an older version of every row.
+
+    ``stale`` gives the values the older version carries.
+    """
+    as_text = [F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in df.columns]
+    now = df.select(*as_text)
+    old = now.withColumns({c: F.lit(v) for c, v in stale.items()})
+    stamp = F.lit(LOADED_AT).cast("timestamp_ntz")
+    hour = F.expr("interval 1 hour")
+    return now.withColumn("_loaded_at", stamp).unionByName(old.withColumn("_loaded_at", stamp - hour)).withColumn(
+        "_source_file", F.lit(f"{key}.csv")
+    )
