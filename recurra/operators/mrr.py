@@ -57,13 +57,18 @@ def _timeline() -> Window:
 
 
 def mrr_movement_type(subscriptions: DataFrame, as_of: dt.date) -> DataFrame:
-    """Classify each paying account-month against the calendar month before it.
+    """Movement of each paying account-month against the calendar month before it."""
+    return classify(account_month_mrr(subscriptions, as_of).where(F.col("mrr") > 0))
+
+
+def classify(paying: DataFrame, known_payer: Column | None = None) -> DataFrame:
+    """Label paying account-months.
 
     Works on paying months only: a gap between neighbouring rows stands for the
     zero months of a dense grid, so the grid itself is never materialised.
+    ``known_payer`` marks accounts that paid before the first row given here.
     """
     w = _timeline()
-    paying = account_month_mrr(subscriptions, as_of).where(F.col("mrr") > 0)
     adjacent = F.lag("month_start").over(w) == F.add_months("month_start", -1)
     lagged = (
         paying.withColumn("account_month_rank", F.row_number().over(w))
@@ -71,8 +76,11 @@ def mrr_movement_type(subscriptions: DataFrame, as_of: dt.date) -> DataFrame:
         .withColumn("prev_plan_name", F.when(adjacent, F.lag("plan_name").over(w)))
         .withColumn("following_month", F.lead("month_start").over(w))
     )
+    first = F.col("account_month_rank") == 1
+    if known_payer is not None:
+        first = first & ~known_payer
     kind = (
-        F.when(F.col("account_month_rank") == 1, "new")
+        F.when(first, "new")
         .when(F.col("prev_mrr") == 0, "reactivation")
         .when(F.col("mrr") > F.col("prev_mrr"), "expansion")
         .when(F.col("mrr") < F.col("prev_mrr"), "contraction")
@@ -153,6 +161,10 @@ def mrr_churn_rows(subscriptions: DataFrame, as_of: dt.date) -> DataFrame:
 
 
 def movement_rows(subscriptions: DataFrame, as_of: dt.date) -> DataFrame:
+    return with_churn_rows(mrr_movement_type(subscriptions, as_of), as_of)
+
+
+def with_churn_rows(classified: DataFrame, as_of: dt.date) -> DataFrame:
     """Paying and churn rows emitted together from one pass over the window output."""
     kept = F.struct(
         "month_start", "mrr", "prev_mrr", "mrr_delta", "mrr_movement_type", "plan_name", "prev_plan_name",
@@ -160,9 +172,7 @@ def movement_rows(subscriptions: DataFrame, as_of: dt.date) -> DataFrame:
     )
     left = _left_after(F.col("month_start"), F.col("following_month"), as_of)
     rows = F.when(left, F.array(kept, _churn_struct())).otherwise(F.array(kept))
-    return with_components(
-        mrr_movement_type(subscriptions, as_of).select("account_id", F.inline(rows))
-    )
+    return with_components(classified.select("account_id", F.inline(rows)))
 
 
 def invoice_monthly(invoices: DataFrame) -> DataFrame:
