@@ -37,10 +37,10 @@ def plan_tier_order(plan: Column) -> Column:
     return mapped(plan, PLAN_TIERS, 99)
 
 
-def account_month_mrr(subscriptions: DataFrame, as_of: dt.date) -> DataFrame:
+def account_month_mrr(subscriptions: DataFrame, as_of: dt.date, since: Column | None = None) -> DataFrame:
     """Active MRR, plan and seats per account and month."""
     return (
-        subscription_months(subscriptions, as_of)
+        subscription_months(subscriptions, as_of, since)
         .groupBy("account_id", "month_start")
         .agg(
             F.sum("mrr").cast(MONEY).alias("mrr"),

@@ -52,12 +52,19 @@ def account_months(accounts: DataFrame, as_of: dt.date) -> DataFrame:
     )
 
 
-def subscription_months(subscriptions: DataFrame, as_of: dt.date) -> DataFrame:
-    """Paid subscriptions spread over their active months, both ends included."""
+def subscription_months(subscriptions: DataFrame, as_of: dt.date, since: Column | None = None) -> DataFrame:
+    """Paid subscriptions spread over their active months, both ends included.
+
+    ``since`` limits the work to months from that date on.
+    """
     last = F.least(F.coalesce("end_date", day(as_of)), day(as_of))
+    paid = subscriptions.where(F.col("status") != "trial")
+    first = F.col("start_date")
+    if since is not None:
+        paid = paid.where(F.col("end_date").isNull() | (F.col("end_date") >= since))
+        first = F.greatest(first, since)
     return (
-        subscriptions.where(F.col("status") != "trial")
-        .withColumn("month_start", F.explode(months_between(F.col("start_date"), last)))
+        paid.withColumn("month_start", F.explode(months_between(first, last)))
         .select(
             surrogate_key("subscription_id", month_key("month_start")).alias("sub_month_key"),
             "subscription_id",

@@ -157,8 +157,12 @@ def _shifted_day():
 
 
 def usage_events(spark, sf_dir) -> DataFrame:
-    e = read_table(spark, sf_dir, "events").withColumn("d", _shifted_day())
-    return e.select(
+    return as_usage_events(read_table(spark, sf_dir, "events"))
+
+
+def as_usage_events(events: DataFrame) -> DataFrame:
+    """Row-wise mapping, so it serves a batch scan and a stream alike."""
+    return events.withColumn("d", _shifted_day()).select(
         "event_id",
         (F.col("user_id") % 50).alias("account_id"),
         "user_id",
