@@ -9,7 +9,7 @@ block("submonth", f"""SELECT s.*, cast(m AS date) AS month_start FROM subs s,
     date_trunc('month', least(coalesce(end_date, {ASOF}), {ASOF}))::timestamp, INTERVAL 1 MONTH)) AS g(m)
   WHERE status <> 'trial'""")
 block("acct_month", """SELECT account_id, month_start, cast(sum(mrr) AS decimal(18,2)) AS mrr, max(plan_name) AS plan_name,
-  sum(cast(seats_used::double / seats_purchased AS decimal(38,12)))::double / count(*)::double AS util,
+  sum(cast(floor(seats_used::double / seats_purchased * 1e9 + 0.5) AS bigint))::double / 1e9 / count(*)::double AS util,
   cast(sum(seats_purchased) AS bigint) AS seats_purchased, cast(sum(seats_used) AS bigint) AS seats_used
   FROM submonth GROUP BY ALL""")
 block("dense", """SELECT g.*, coalesce(m.mrr, 0) AS mrr, m.plan_name, m.util, m.seats_purchased, m.seats_used,

@@ -108,6 +108,24 @@ def mean_exact(c: Column) -> Column:
     return safe_divide(F.sum(c.cast("decimal(38,12)")), F.count(c))
 
 
+def in_cents(c) -> Column:
+    """Money as a 64-bit integer: sums stay exact without wide decimals."""
+    return ((F.col(c) if isinstance(c, str) else c) * 100).cast("bigint")
+
+
+def from_cents(c: Column) -> Column:
+    return (c.cast("decimal(20,0)") / 100).cast(MONEY)
+
+
+def scaled(c: Column) -> Column:
+    """A ratio in billionths, for exact sums of small fractions."""
+    return F.floor(c * 1e9 + 0.5)
+
+
+def unscaled(c: Column) -> Column:
+    return c.cast("double") / 1e9
+
+
 def text(c) -> Column:
     c = F.col(c) if isinstance(c, str) else c
     return F.trim(c)

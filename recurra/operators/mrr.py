@@ -17,17 +17,20 @@ from recurra.functions.expr import (
     count_if,
     day,
     divide_or,
+    from_cents,
+    in_cents,
     mapped,
-    mean_exact,
     month_key,
     month_start,
     next_month,
     rounded,
     safe_divide,
+    scaled,
     surrogate_key,
+    unscaled,
 )
 from recurra.operators.ranking import rank_within
-from recurra.operators.spine import months_between, subscription_months
+from recurra.operators.spine import subscription_months, with_months
 
 COMPONENTS = ["new_mrr", "expansion_mrr", "contraction_mrr", "churned_mrr", "reactivation_mrr", "retained_mrr"]
 ATTRIBUTES = ["company_name", "industry", "company_size", "region", "acquisition_channel"]
@@ -38,14 +41,32 @@ def plan_tier_order(plan: Column) -> Column:
 
 
 def account_month_mrr(subscriptions: DataFrame, as_of: dt.date, since: Column | None = None) -> DataFrame:
-    """Active MRR, plan and seats per account and month."""
-    return (
+    """Active MRR, plan and seats per account and month.
+
+    The first aggregation keeps the plan among its keys: its buffers are then all
+    fixed-width and it runs as a hash aggregation with map-side combine, where
+    max(text) over all rows would sort them. Sums run on 64-bit integers. What is left (account x month x plan)
+    is hashed on the account alone, which also serves the windows per account.
+    """
+    utilisation = scaled(safe_divide("seats_used", "seats_purchased"))
+    per_plan = (
         subscription_months(subscriptions, as_of, since)
+        .groupBy("account_id", "month_start", "plan_name")
+        .agg(
+            F.sum(in_cents("mrr")).alias("mrr_cents"),
+            F.sum(utilisation).alias("util_sum"),
+            F.count(utilisation).alias("util_n"),
+            F.sum("seats_purchased").alias("seats_purchased"),
+            F.sum("seats_used").alias("seats_used"),
+        )
+    )
+    return (
+        per_plan.repartition("account_id")
         .groupBy("account_id", "month_start")
         .agg(
-            F.sum("mrr").cast(MONEY).alias("mrr"),
+            from_cents(F.sum("mrr_cents")).alias("mrr"),
             F.max("plan_name").alias("plan_name"),
-            mean_exact(safe_divide("seats_used", "seats_purchased")).alias("seat_utilization_rate"),
+            safe_divide(unscaled(F.sum("util_sum")), F.sum("util_n")).alias("seat_utilization_rate"),
             F.sum("seats_purchased").alias("seats_purchased"),
             F.sum("seats_used").alias("seats_used"),
         )
@@ -347,9 +368,9 @@ def top_churn_loss_per_month(movements: DataFrame, k: int | None = None) -> Data
 def mrr_movements_simple(subscriptions: DataFrame, as_of: dt.date) -> DataFrame:
     """Load-time variant: no churn or reactivation, previous row instead of previous month."""
     last = F.least(F.coalesce("end_date", day(as_of)), day(as_of))
+    paid = subscriptions.where(~F.col("status").isin("trial", "pending"))
     per_month = (
-        subscriptions.where(~F.col("status").isin("trial", "pending"))
-        .withColumn("month_start", F.explode(months_between(F.col("start_date"), last)))
+        with_months(paid, F.col("start_date"), last)
         .groupBy("account_id", "month_start")
         .agg(F.sum(F.coalesce("mrr", F.lit(0))).cast(MONEY).alias("ending_mrr"), F.max("plan_name").alias("plan_name"))
     )
@@ -386,8 +407,7 @@ def mrr_rollforward(subscriptions: DataFrame, cfg: MetricConfig, as_of: dt.date)
         F.coalesce(F.date_sub("end_date", 1), day(as_of)), F.date_sub(month_start(day(as_of)), 1)
     )
     per_month = (
-        subscriptions.where(F.col("start_date").isNotNull())
-        .withColumn("month_start", F.explode(months_between(first, last)))
+        with_months(subscriptions.where(F.col("start_date").isNotNull()), first, last)
         .groupBy("account_id", "month_start")
         .agg(F.sum("mrr").cast(MONEY).alias("ending_mrr"), F.max("plan_name").alias("plan_name"))
         .where(F.col("ending_mrr") > 0)

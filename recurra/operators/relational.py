@@ -26,7 +26,7 @@ from recurra.functions.expr import (
 from recurra.operators.mrr import account_month_mrr, invoice_monthly
 from recurra.operators.ranking import rank_within
 from recurra.operators.reports import whole
-from recurra.operators.spine import account_months, months_between
+from recurra.operators.spine import account_months, with_months
 
 # --- joins -------------------------------------------------------------------
 
@@ -57,9 +57,7 @@ def join_left_multi(t: Tables, as_of: dt.date) -> DataFrame:
 def join_month_spine(subscriptions: DataFrame, as_of: dt.date) -> DataFrame:
     """Interval join with the month spine as a generator: no join at all."""
     last = F.least(F.coalesce("end_date", day(as_of)), day(as_of))
-    return subscriptions.select(
-        "subscription_id", F.explode(months_between(F.col("start_date"), last)).alias("month_start")
-    )
+    return with_months(subscriptions, F.col("start_date"), last).select("subscription_id", "month_start")
 
 
 def join_theta_spine(subscriptions: DataFrame, months: DataFrame, as_of: dt.date) -> DataFrame:

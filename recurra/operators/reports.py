@@ -36,11 +36,16 @@ def whole() -> Window:
     return Window.partitionBy()
 
 
+MONTH_DATE = {"month_key": "month_start", "snapshot_month": "snapshot_date"}
+
+
 def in_month(df: DataFrame, column: str, month=None) -> DataFrame:
+    """Rows of one month, named as text or date. The filter uses the date, which marts are stored by."""
+    date = MONTH_DATE.get(column, column)
     if month is not None:
-        return df.where(F.col(column) == month)
-    newest = df.select(F.max(column)).scalar()
-    return df.where(F.col(column) == newest)
+        return df.where(F.col(date) == (F.lit(f"{month}-01").cast("date") if date != column else F.lit(month)))
+    newest = df.select(F.max(date)).scalar()
+    return df.where(F.col(date) == newest)
 
 
 def newest_months(df: DataFrame, column: str, n: int) -> DataFrame:

@@ -1,6 +1,6 @@
 """Month grids: one row per month, account-month or subscription-month.
 
-Each grid is a narrow ``sequence`` + ``explode``; no join and no shuffle.
+Each grid is a narrow ``sequence`` + ``explode``: no join and no shuffle.
 """
 
 from __future__ import annotations
@@ -12,24 +12,33 @@ from pyspark.sql import Column, DataFrame, functions as F
 from recurra.functions.expr import day, month_key, month_start, months_apart, surrogate_key
 
 
-def months_between(start: Column, end: Column) -> Column:
-    """All month starts from ``start`` to ``end``; empty when the range is reversed."""
-    first, last = month_start(start), month_start(end)
-    grid = F.sequence(first, last, F.expr("interval 1 month"))
-    return F.when(first <= last, grid)
+def with_months(df: DataFrame, start: Column, end: Column, name: str = "month_start") -> DataFrame:
+    """One row per month from ``start`` to ``end``; none when the range is reversed.
+
+    The generator runs over plain integers and the dates are added afterwards,
+    which keeps calendar arithmetic out of the array.
+    """
+    n = months_apart(start, end)
+    offsets = F.explode(F.when(n >= 0, F.sequence(F.lit(0), n)))
+    return (
+        df.withColumn("_first", month_start(start))
+        .withColumn("_offset", offsets)
+        .withColumn(name, F.add_months("_first", F.col("_offset")))
+        .drop("_first", "_offset")
+    )
 
 
 def month_spine(dates: DataFrame, column: str, as_of: dt.date) -> DataFrame:
     """One row per month from the earliest date in ``column`` to ``as_of``."""
     span = dates.agg(F.min(F.col(column).cast("date")).alias("first_day"))
-    return span.select(F.explode(months_between(F.col("first_day"), day(as_of))).alias("month_start")).select(
+    return with_months(span, F.col("first_day"), day(as_of)).select(
         "month_start", month_key("month_start").alias("month_key")
     )
 
 
 def account_months(accounts: DataFrame, as_of: dt.date) -> DataFrame:
     born = F.col("created_at").cast("date")
-    grid = accounts.withColumn("month_start", F.explode(months_between(born, day(as_of))))
+    grid = with_months(accounts, born, day(as_of))
     cohort = month_start(born)
     return grid.select(
         surrogate_key("account_id", month_key("month_start")).alias("account_month_key"),
@@ -64,7 +73,7 @@ def subscription_months(subscriptions: DataFrame, as_of: dt.date, since: Column
         paid = paid.where(F.col("end_date").isNull() | (F.col("end_date") >= since))
         first = F.greatest(first, since)
     return (
-        paid.withColumn("month_start", F.explode(months_between(first, last)))
+        with_months(paid, first, last)
         .select(
             surrogate_key("subscription_id", month_key("month_start")).alias("sub_month_key"),
             "subscription_id",

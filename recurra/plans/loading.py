@@ -202,24 +202,27 @@ def stripe_bodies(s: Source):
 @query("stripe_events_normalize")
 def _stripe(s):
     subs, inv, acc = stripe_bodies(s)
-    parsed = webhooks.parse_stripe(subs.unionByName(inv).unionByName(acc))
-    row = lambda df, kind, **c: df.select(F.lit(kind).alias("kind"), *[v.alias(n) for n, v in c.items()])
-    text = lambda c: F.col(c).cast("string")
-    a = webhooks.stripe_subscriptions(parsed, NOW)
-    b = webhooks.stripe_invoices(parsed, NOW)
-    d = webhooks.stripe_accounts(parsed, NOW)
-    none = F.lit(None)
-    return dq.union_all(
-        [
-            row(a, "subscription", key=F.col("subscription_id"), account_id=F.col("account_id"), amount=F.col("mrr").cast("double"), status=F.col("status"),
-                label=F.concat_ws("/", "plan_id", "plan_name", "billing_interval", text("seats")), starts=F.col("started_at").cast("date"), ends=F.col("canceled_at").cast("date")),
-            row(b, "invoice", key=F.col("invoice_id"), account_id=F.col("account_id"), amount=F.col("amount").cast("double"), status=F.col("status"),
-                label=F.concat_ws("/", "subscription_id", "currency", "payment_method", text("attempt_count")), starts=F.col("invoice_date"), ends=F.col("paid_at").cast("date")),
-            row(d, "account", key=F.col("account_id"), account_id=F.col("account_id"), amount=none.cast("double"), status=F.col("acquisition_channel"),
-                label=F.concat_ws("/", "company_name", "country"), starts=F.col("created_at").cast("date"), ends=none.cast("date")),
-            row(parsed.where(~F.col("processed")), "unprocessed", key=F.col("event_id"), account_id=none.cast("string"), amount=none.cast("double"), status=none.cast("string"),
-                label=F.col("event_type"), starts=none.cast("date"), ends=none.cast("date")),
-        ]
+    rows = webhooks.stripe_rows(webhooks.parse_stripe(subs.unionByName(inv).unionByName(acc)), NOW)
+    slash = lambda *cs: F.concat_ws("/", *[F.col(c).cast("string") for c in cs])
+    pick = lambda sub, invoice, account, other: (
+        F.when(F.col("subscription").isNotNull(), sub).when(F.col("invoice").isNotNull(), invoice)
+        .when(F.col("account").isNotNull(), account).otherwise(other)
+    )
+    c, none, lit = F.col, F.lit(None), F.lit
+    day = lambda name: c(name).cast("date")
+    return rows.select(
+        pick(lit("subscription"), lit("invoice"), lit("account"), lit("unprocessed")).alias("kind"),
+        pick(c("subscription.subscription_id"), c("invoice.invoice_id"), c("account.account_id"), c("event_id")).alias("key"),
+        pick(c("subscription.account_id"), c("invoice.account_id"), c("account.account_id"), none).alias("account_id"),
+        pick(c("subscription.mrr"), c("invoice.amount"), none, none).cast("double").alias("amount"),
+        pick(c("subscription.status"), c("invoice.status"), c("account.acquisition_channel"), none).alias("status"),
+        pick(
+            slash("subscription.plan_id", "subscription.plan_name", "subscription.billing_interval", "subscription.seats"),
+            slash("invoice.subscription_id", "invoice.currency", "invoice.payment_method", "invoice.attempt_count"),
+            slash("account.company_name", "account.country"), c("event_type"),
+        ).alias("label"),
+        pick(day("subscription.started_at"), day("invoice.invoice_date"), day("account.created_at"), none).alias("starts"),
+        pick(day("subscription.canceled_at"), day("invoice.paid_at"), none, none).alias("ends"),
     )
 
 
@@ -357,7 +360,9 @@ def _partial(s):
 @query("incremental_lookback")
 def _lookback(s):
     """Rows stored two months ago, refreshed to the present."""
-    existing = mrr.movement_rows(s.t.subscriptions, dt.date(2001, 5, 31))
+    path = scratch_path(s.spark, "movements")
+    files.write_full_refresh(mrr.movement_rows(s.t.subscriptions, dt.date(2001, 5, 31)), path, "month_start")
+    existing = s.spark.read.parquet(path)
     out = inc.incremental_movements(existing, s.t.subscriptions, AS_OF)
     return out.select("account_id", "month_start", "mrr", "prev_mrr", "mrr_movement_type", *mrr.COMPONENTS)
 

@@ -8,6 +8,7 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from recurra.config import PLAN_PRICES, PLAN_TIERS, Tables
 from recurra.functions.expr import banded, day, literal_frame, mapped
@@ -19,8 +20,15 @@ FEATURE_CATEGORY = {"view": "core", "click": "workflow", "signup": "automation",
 FEATURE_TIER = {"view": "starter", "click": "starter", "signup": "business", "purchase": "growth"}
 
 
+_SCHEMAS: dict[str, StructType] = {}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """Parquet scan; a file's schema is inferred once, later scans start without a job."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def _channel(key):

@@ -67,16 +67,13 @@ def parse_stripe(events: DataFrame, body: str = "body") -> DataFrame:
     ).withColumn("processed", F.col("event_type").isin(STRIPE_HANDLED))
 
 
-def stripe_subscriptions(parsed: DataFrame, received_at: dt.datetime) -> DataFrame:
-    now = F.lit(received_at).cast("timestamp_ntz")
+def _subscription(now: Column) -> list[Column]:
     first = F.get(F.col("o.items.data"), 0)
     amount = F.coalesce(cents(F.col("o.plan.amount")), cents(first.price.unit_amount), F.lit(0.0)) / 100
     status = F.when(F.col("event_type") == "customer.subscription.deleted", "canceled").otherwise(
         F.coalesce("o.status", F.lit("active"))
     )
-    return parsed.where(F.col("event_type").isin(STRIPE_SUBSCRIPTION)).select(
-        "event_id",
-        "event_at",
+    return [
         F.coalesce("o.id", F.concat(F.lit("stripe_"), "event_id")).alias("subscription_id"),
         F.coalesce("o.customer", F.lit("unknown")).alias("account_id"),
         F.coalesce(filled(F.col("o.plan.id")), first.price.id, F.lit("unknown")).alias("plan_id"),
@@ -90,16 +87,13 @@ def stripe_subscriptions(parsed: DataFrame, received_at: dt.datetime) -> DataFra
         epoch_seconds(F.col("o.trial_start")).alias("trial_started_at"),
         epoch_seconds(F.col("o.trial_end")).alias("trial_ended_at"),
         billing_interval(F.col("o.plan.interval")).alias("billing_interval"),
-    )
+    ]
 
 
-def stripe_invoices(parsed: DataFrame, received_at: dt.datetime) -> DataFrame:
-    now = F.lit(received_at).cast("timestamp_ntz")
+def _invoice(now: Column) -> list[Column]:
     paid = F.col("event_type") == "invoice.payment_succeeded"
     method = F.get(F.col("o.payment_settings.payment_method_types"), 0)
-    return parsed.where(F.col("event_type").isin(STRIPE_INVOICE)).select(
-        "event_id",
-        "event_at",
+    return [
         F.coalesce("o.id", F.concat(F.lit("inv_"), "event_id")).alias("invoice_id"),
         F.coalesce("o.customer", F.lit("unknown")).alias("account_id"),
         F.coalesce("o.subscription", F.lit("")).alias("subscription_id"),
@@ -112,22 +106,50 @@ def stripe_invoices(parsed: DataFrame, received_at: dt.datetime) -> DataFrame:
         epoch_seconds(F.col("o.due_date")).cast("date").alias("due_date"),
         F.when(paid, epoch_seconds(F.col("o.status_transitions.paid_at"))).alias("paid_at"),
         F.when(~paid, now).alias("failed_at"),
-    )
+    ]
 
 
-def stripe_accounts(parsed: DataFrame, received_at: dt.datetime) -> DataFrame:
-    now = F.lit(received_at).cast("timestamp_ntz")
-    return parsed.where(F.col("event_type").isin(STRIPE_CUSTOMER)).select(
-        "event_id",
-        "event_at",
+def _account(now: Column) -> list[Column]:
+    return [
         F.coalesce("o.id", F.concat(F.lit("cust_"), "event_id")).alias("account_id"),
         F.coalesce(filled(F.col("o.name")), filled(F.col("o.description")), F.lit("Unknown Company")).alias("company_name"),
         F.lit("stripe").alias("acquisition_channel"),
         F.col("o.address.country").alias("country"),
         F.coalesce(epoch_seconds(F.col("o.created")), now).alias("created_at"),
+    ]
+
+
+def stripe_rows(parsed: DataFrame, received_at: dt.datetime) -> DataFrame:
+    """All handled kinds from one pass: each row carries the struct of its own kind, the others are NULL.
+
+    Writing the three targets from a stored copy of this frame reads and parses every envelope once.
+    """
+    now = F.lit(received_at).cast("timestamp_ntz")
+    is_one = lambda kinds: F.col("event_type").isin(kinds)
+    return parsed.select(
+        "event_id", "event_at", "event_type", "processed",
+        F.when(is_one(STRIPE_SUBSCRIPTION), F.struct(*_subscription(now))).alias("subscription"),
+        F.when(is_one(STRIPE_INVOICE), F.struct(*_invoice(now))).alias("invoice"),
+        F.when(is_one(STRIPE_CUSTOMER), F.struct(*_account(now))).alias("account"),
     )
 
 
+def _of_kind(parsed: DataFrame, kinds: list[str], columns: list[Column]) -> DataFrame:
+    return parsed.where(F.col("event_type").isin(kinds)).select("event_id", "event_at", *columns)
+
+
+def stripe_subscriptions(parsed: DataFrame, received_at: dt.datetime) -> DataFrame:
+    return _of_kind(parsed, STRIPE_SUBSCRIPTION, _subscription(F.lit(received_at).cast("timestamp_ntz")))
+
+
+def stripe_invoices(parsed: DataFrame, received_at: dt.datetime) -> DataFrame:
+    return _of_kind(parsed, STRIPE_INVOICE, _invoice(F.lit(received_at).cast("timestamp_ntz")))
+
+
+def stripe_accounts(parsed: DataFrame, received_at: dt.datetime) -> DataFrame:
+    return _of_kind(parsed, STRIPE_CUSTOMER, _account(F.lit(received_at).cast("timestamp_ntz")))
+
+
 CHARGEBEE_SCHEMA = """
   id string, event_type string, occurred_at string,
   content struct<
