@@ -25,6 +25,7 @@ from recurra.operators.mrr import account_month_mrr, plan_tier_order
 from recurra.operators.spine import account_months
 
 ACTIVE = ["new", "retained", "reactivated"]
+BROADCAST_ROWS = 200_000  # about 40 MB of period totals; beyond it the join shuffles and AQE splits hot cohorts
 COHORT_BANDS = [(0.90, "excellent"), (0.75, "good"), (0.60, "fair")]
 
 
@@ -93,6 +94,15 @@ def cohort_period_summary(rows: DataFrame) -> DataFrame:
     )
 
 
+def period_rows(accounts: DataFrame, as_of: dt.date) -> int:
+    """Upper bound of cohort x period rows: it follows from the first creation date alone."""
+    first = accounts.agg(F.min(F.col("created_at").cast("date")).alias("d")).first()["d"]
+    if first is None:
+        return 0
+    months = (as_of.year - first.year) * 12 + as_of.month - first.month + 1
+    return months * (months + 1) // 2
+
+
 def cohort_base(t: Tables, as_of: dt.date) -> DataFrame:
     """Account x period detail with the cohort's period totals alongside."""
     rows = cohort_rows(t, as_of)
@@ -107,8 +117,9 @@ def cohort_base(t: Tables, as_of: dt.date) -> DataFrame:
         rounded(F.col("revenue_retention_rate"), 6).alias("cohort_revenue_retention_rate"),
         F.col("cohort_mrr").alias("cohort_total_mrr"),
     )
-    # one row per cohort and period: months * (months + 1) / 2 rows, whatever the number of accounts
-    joined = rows.join(F.broadcast(period), ["cohort_month", "months_since_created"], "left")
+    if period_rows(t.accounts, as_of) <= BROADCAST_ROWS:
+        period = F.broadcast(period)
+    joined = rows.join(period, ["cohort_month", "months_since_created"], "left")
     return joined.withColumn(
         "cohort_record_key", surrogate_key("account_id", "cohort_month", "months_since_created")
     )
@@ -158,9 +169,9 @@ def cohort_segments(rows: DataFrame) -> DataFrame:
         F.sum("mrr").cast(MONEY).alias("segment_total_mrr"),
         F.sum("starting_mrr").cast(MONEY).alias("segment_starting_mrr"),
     )
-    # the cohort's starting MRR follows from the segments, so the detail is read once
-    base = seg.groupBy(*keys).agg(F.sum("segment_starting_mrr").cast(MONEY).alias("cohort_starting_mrr"))
-    return seg.join(base, keys).select(
+    # the cohort's starting MRR is summed over its segments: a window over a few vocabulary combinations
+    cohort_total = F.sum("segment_starting_mrr").over(Window.partitionBy(*keys))
+    return seg.withColumn("cohort_starting_mrr", cohort_total).select(
         *keys,
         *dims,
         "segment_cohort_size",
@@ -214,13 +225,7 @@ def cohorts_from_movements(movements: DataFrame, accounts: DataFrame, periods: i
 
 
 def pivot_cohort_heatmap(cohorts: DataFrame, value: str = "logo_retention_rate", max_period: int = 12) -> DataFrame:
-    periods = list(range(max_period + 1))
-    wide = (
-        cohorts.where(F.col("months_since_created") <= max_period)
-        .groupBy("cohort_month")
-        .pivot("months_since_created", periods)
-        .agg(F.max(value))
+    at = lambda p: F.max(F.when(F.col("months_since_created") == p, F.col(value)))
+    return cohorts.groupBy("cohort_month").agg(
+        F.max("cohort_size").alias("cohort_size"), *[at(p).alias(f"m{p}") for p in range(max_period + 1)]
     )
-    size = cohorts.groupBy("cohort_month").agg(F.max("cohort_size").alias("cohort_size"))
-    named = wide.select("cohort_month", *[F.col(f"`{p}`").alias(f"m{p}") for p in periods])
-    return size.join(named, "cohort_month", "left")

@@ -102,7 +102,7 @@ def join_anti_correlated(account_mrr: DataFrame) -> DataFrame:
 
 def join_semi(t: Tables) -> DataFrame:
     """Usage events of accounts that ever failed a payment."""
-    failing = t.invoices.where(F.col("status") == "failed").select("account_id")
+    failing = t.invoices.where(F.col("status") == "failed").select("account_id").distinct()
     return t.usage_events.join(failing, "account_id", "left_semi").select("event_id", "account_id", "event_type")
 
 

@@ -19,6 +19,8 @@ def local_session(app: str = "recurra", cpus: str = "*", partitions: int = 8, me
         .config("spark.sql.shuffle.partitions", str(partitions))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # rows hashed on the account may join on (account, month) without another shuffle
+        .config("spark.sql.requireAllClusterKeysForCoPartition", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", memory)
