@@ -22,23 +22,31 @@ def arpu(health: DataFrame) -> DataFrame:
 def time_to_value(events: DataFrame, leads: DataFrame, features: DataFrame) -> DataFrame:
     """Average days from trial start to the first core action on or after it.
 
-    Events shrink to distinct (account, day) pairs before they meet the trials.
+    Actions and trials shrink to one row per account and day and are merged in
+    date order; the next action is a minimum over the days that follow, so no
+    trial is paired with every action of its account.
     """
     core = features.where("is_core").select("feature_id")
     active = events.join(core, "feature_id", "left_semi").select(
-        "account_id", F.col("occurred_at").cast("date").alias("active_day")
+        "account_id", F.col("occurred_at").cast("date").alias("d")
     ).distinct()
-    trials = leads.where(F.col("trial_started_at").isNotNull() & F.col("account_id").isNotNull()).select(
-        "lead_id", "account_id", F.col("trial_started_at").cast("date").alias("trial_day")
+    started = F.col("trial_started_at").cast("date")
+    trials = (
+        leads.where(started.isNotNull() & F.col("account_id").isNotNull())
+        .groupBy("account_id", started.alias("d"))
+        .agg(F.count(F.lit(1)).alias("n"))
     )
-    first = (
-        trials.join(active, "account_id")
-        .where(F.col("active_day") >= F.col("trial_day"))
-        .groupBy("lead_id", "trial_day")
-        .agg(F.min("active_day").alias("first_value_day"))
+    merged = active.withColumn("active_day", F.col("d")).unionByName(trials, allowMissingColumns=True)
+    ahead = Window.partitionBy("account_id").orderBy("d").rangeBetween(Window.currentRow, Window.unboundedFollowing)
+    waits = (
+        merged.withColumn("next_day", F.min("active_day").over(ahead))
+        .where(F.col("n").isNotNull() & F.col("next_day").isNotNull())
+        .withColumn("days", F.datediff("next_day", "d"))
+    )
+    return waits.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("leads"),
+        rounded(safe_divide(F.sum(F.col("days") * F.col("n")), F.sum("n")), 2).alias("avg_days_to_value"),
     )
-    waited = F.datediff("first_value_day", "trial_day")
-    return first.agg(F.count(F.lit(1)).alias("leads"), rounded(mean_exact(waited), 2).alias("avg_days_to_value"))
 
 
 def feature_stagnation(events: DataFrame, cfg: MetricConfig, as_of: dt.date) -> DataFrame:

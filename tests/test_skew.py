@@ -98,3 +98,12 @@ def test_no_broadcast_hint_on_growing_sides(spark):
         plan = QUERIES[name](spark, SMALL)._jdf.queryExecution().toString()
         assert "strategy=broadcast" not in plan
         assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def test_time_to_value_takes_the_next_core_action(spark):
+    d = lambda n: dt.datetime(2020, 1, n)
+    events = spark.createDataFrame([(1, "a", d(3)), (1, "a", d(9)), (1, "x", d(4)), (2, "a", d(1))], "account_id long, feature_id string, occurred_at timestamp_ntz")
+    leads = spark.createDataFrame([(1, 1, d(3)), (2, 1, d(4)), (3, 1, d(4)), (4, 2, d(2))], "lead_id long, account_id long, trial_started_at timestamp_ntz")
+    features = spark.createDataFrame([("a", True), ("x", False)], "feature_id string, is_core boolean")
+    r = extras.time_to_value(events, leads, features).collect()[0]
+    assert (r["leads"], r["avg_days_to_value"]) == (3, 3.33)
