@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from recurra.llm import bpe
+from recurra.llm import bpe, quality_model, quality_rules
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -26,3 +26,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 @query
 def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(bpe.encode(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER)))
+
+
+@query
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = quality_rules.apply_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+@query
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_model.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
