@@ -9,7 +9,6 @@ only words with a failing border are merged step by step.
 from __future__ import annotations
 
 import functools
-import hashlib
 import heapq
 import json
 import re
