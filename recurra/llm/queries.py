@@ -5,9 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from recurra.llm import bpe, quality_model, quality_rules, secrets
+from recurra.llm import bpe, quality_model, quality_rules, secrets, sharding
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -42,3 +42,9 @@ def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digests(secrets.find(table(spark, sf_dir, "documents")))
+
+
+@query
+def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = sharding.assign(table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
