@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from recurra.llm import bpe, quality_model, quality_rules, secrets, sharding
+from recurra.llm import bpe, packing, quality_model, quality_rules, secrets, sharding
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -48,3 +48,8 @@ def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = sharding.assign(table(spark, sf_dir, "documents"))
     return rows.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+@query
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
