@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from recurra.llm import bpe, packing, quality_model, quality_rules, secrets, sharding
+from recurra.llm import bpe, merkle, packing, quality_model, quality_rules, secrets, sharding
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -53,3 +53,8 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
+
+
+@query
+def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.fingerprints(table(spark, sf_dir, "documents"))
