@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from recurra.session import scratch_path
 
+_shipped: set[str] = set()
 #: Rows of one Arrow batch. Texts have no bound, so batches are kept short.
 BATCH_ROWS = 512
 
@@ -44,3 +48,17 @@ def stored(df: DataFrame, label: str) -> DataFrame:
 def in_fold(doc_id: Column, folds: int = 5, fold: int = 0) -> Column:
     """Rows of one fold by checksum of the id; rows without an id belong to no fold."""
     return F.coalesce(F.crc32(doc_id.cast("string")) % folds == fold, F.lit(False))
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this library to the Python workers once for each application, for clusters where it is not installed."""
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    root = Path(__file__).resolve().parents[1]
+    path = Path(tempfile.mkdtemp(prefix="recurra-code-")) / f"{root.name}.zip"
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for p in sorted(root.rglob("*.py")):
+            z.write(p, p.relative_to(root.parent))
+    sc.addPyFile(str(path))
+    _shipped.add(sc.applicationId)
