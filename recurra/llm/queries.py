@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from recurra.llm import bpe, merkle, order_minhash, packing, quality_model, quality_rules, secrets, sharding
+from recurra.llm import bpe, merkle, order_minhash, packing, pii, quality_model, quality_rules, secrets, sharding
 from recurra.llm.common import ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -70,3 +70,8 @@ def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return order_minhash.classes(table(spark, sf_dir, "documents")).select("doc_id", "class_id")
+
+
+@query
+def op5_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digests(pii.find(table(spark, sf_dir, "documents")))
