@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from recurra.llm import bpe, merkle, order_minhash, packing, pii, quality_model, quality_rules, secrets, sharding
+from recurra.llm import bpe, html_content, merkle, order_minhash, packing, pii, quality_model, quality_rules, secrets, sharding
 from recurra.llm.common import ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -75,3 +75,8 @@ def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op5_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digests(pii.find(table(spark, sf_dir, "documents")))
+
+
+@query
+def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_content.extract(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
