@@ -62,7 +62,7 @@ def trees(texts: list[str], params: Params = Params()) -> list[Tree]:
     chosen = end[run_hashes(data, start, end) % np.uint64(params.piece) == 0]
     cuts = np.unique(np.concatenate([offsets[:-1], chosen, np.flatnonzero(data == NEWLINE) + 1]))
     cuts = cuts[cuts < len(data)]
-    stops = np.append(cuts[1:], len(data))
+    stops = np.append(cuts[1:], len(data))[: len(cuts)]
     hashes = run_hashes(data, cuts, stops).astype("<u8")
     closes = data[stops - 1] == NEWLINE if len(stops) else np.zeros(0, bool)
     bounds = np.searchsorted(cuts, offsets)
