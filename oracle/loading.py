@@ -60,6 +60,6 @@ check("upsert_partial_columns", f"""SELECT subscription_id, CASE WHEN {LATE} THE
 check("incremental_lookback", f"SELECT account_id, month_start, mrr::double AS mrr, prev_mrr::double AS prev_mrr, mtype AS mrr_movement_type, {PART_COLS} FROM moves")
 check("stream_webhook_upsert", "SELECT key AS subscription_id, account_id, status, amount AS mrr, plan AS plan_name, seats, start_date AS event_day FROM stripe_sub")
 check("stream_dedupe_events", "SELECT event_id, user_id, event_type, cast(ts AS date) AS day FROM events")
-check("stream_usage_counts", """SELECT account_id, event_day AS day, count(*) AS events, cast(sum(duration_seconds) AS bigint) AS duration_seconds, max(duration_seconds) AS longest_seconds FROM usage GROUP BY 1, 2""")
+check("stream_usage_counts", """SELECT account_id, event_day AS day, count(*) AS events, cast(sum(duration_seconds) AS bigint) AS duration_seconds, max(duration_seconds) AS longest_seconds, count(DISTINCT user_id) AS users FROM usage GROUP BY 1, 2""")
 check("full_refresh", """SELECT month_start, sum(new_mrr)::double AS new_mrr, sum(expansion_mrr)::double AS expansion_mrr, sum(contraction_mrr)::double AS contraction_mrr, sum(churned_mrr)::double AS churned_mrr,
   sum(reactivation_mrr)::double AS reactivation_mrr, sum(delta)::double AS net_new_mrr, sum(mrr)::double AS total_mrr FROM moves GROUP BY month_start""")

@@ -85,13 +85,13 @@ check("win_lag_before_limit", "SELECT month_key, total_mrr, lag(total_mrr) OVER
 check("win_running_total", """SELECT month_start, c::double AS collected, (sum(c) OVER (ORDER BY month_start))::double AS cumulative FROM
   (SELECT cast(date_trunc('month', invoice_date) AS date) AS month_start, sum(amount) AS c FROM inv WHERE status = 'paid' GROUP BY 1)""")
 check("win_prior_activity", "SELECT account_id, month_start, mrr::double AS mrr, seen AS paid_before FROM dense")
-check("sort_nulls_last", f"""SELECT account_id, month_start, {r(div('total_events - pe', 'pe'), 6)} AS events_mom_pct_change FROM use_flag
-  ORDER BY events_mom_pct_change DESC NULLS LAST, account_id, month_start LIMIT 100""")
+check("sort_nulls_last", f"""SELECT account_id, month_start, {r(div('total_events - pe', 'pe'), 6)} AS events_mom_pct_change,
+  row_number() OVER (ORDER BY {r(div('total_events - pe', 'pe'), 6)} DESC NULLS LAST, account_id, month_start) AS position FROM use_flag""")
 check("topk_limit", "SELECT subscription_id, account_id, mrr::double AS mrr FROM subs ORDER BY subs.mrr DESC, subscription_id LIMIT 20")
 check("page_offset", "SELECT subscription_id, mrr::double AS mrr, start_date, (SELECT count(*) FROM subs) AS total_count FROM subs ORDER BY start_date DESC, subscription_id LIMIT 50 OFFSET 100")
 check("last_n_months_asc", "SELECT month_key, total_mrr FROM exec ORDER BY month_key DESC LIMIT 12")
-check("sort_abs", "SELECT account_id, month_start, delta::double AS net_mrr_contribution FROM moves ORDER BY abs(delta) DESC, account_id, month_start LIMIT 50")
-check("sort_multi", "SELECT account_id, month_start, hs AS health_score, h.mrr::double AS mrr FROM hlth h ORDER BY hs, h.mrr DESC, account_id, month_start LIMIT 50")
+check("sort_abs", "SELECT account_id, month_start, delta::double AS net_mrr_contribution, row_number() OVER (ORDER BY abs(delta) DESC, account_id, month_start) AS position FROM moves")
+check("sort_multi", "SELECT account_id, month_start, hs AS health_score, h.mrr::double AS mrr, row_number() OVER (ORDER BY hs, h.mrr DESC, account_id, month_start) AS position FROM hlth h")
 check("union_all_typed_nulls", """SELECT account_id, month_start, mrr::double AS mrr, mtype AS mrr_movement_type, plan_now AS plan_name, mtype = 'churned' AS is_churned FROM moves""")
 check("distinct_months", "SELECT DISTINCT cast(date_trunc('month', start_date) AS date) AS month_start FROM subs")
 check("distinct_sorted_values", "SELECT DISTINCT strftime(created_day, '%Y-%m') AS cohort_month FROM accounts_raw")

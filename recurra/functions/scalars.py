@@ -6,7 +6,7 @@ import datetime as dt
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
-from pyspark.sql.functions import pandas_udf, udtf
+from pyspark.sql.functions import pandas_udf
 
 from recurra.functions.expr import MONEY, banded, divide_or, month_start, rounded, safe_divide
 
@@ -101,22 +101,11 @@ def register_sql_functions(spark: SparkSession) -> None:
         spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {d}")
 
 
-@udtf(returnType=T.StructType([T.StructField("month_start", T.DateType())]))
-class MonthSpine:
-    """Months between two dates; shows the table-function surface, ``sequence`` is the fast path."""
-
-    def eval(self, start: dt.date, end: dt.date):
-        if start is None or end is None:
-            return
-        year, month = start.year, start.month
-        while (year, month) <= (end.year, end.month):
-            yield (dt.date(year, month, 1),)
-            year, month = (year + 1, 1) if month == 12 else (year, month + 1)
-
-
 def udtf_month_spine(accounts: DataFrame, as_of: dt.date) -> DataFrame:
+    """Months from an account's first day on, through a SQL table function that stays inside the engine."""
     spark = accounts.sparkSession
-    spark.udtf.register("month_spine", MonthSpine)
+    spark.sql("""CREATE OR REPLACE TEMPORARY FUNCTION month_spine(born DATE, upto DATE) RETURNS TABLE (month_start DATE) RETURN
+      SELECT explode(CASE WHEN born <= upto THEN sequence(trunc(born, 'MM'), trunc(upto, 'MM'), INTERVAL 1 MONTH) END)""")
     born = accounts.select("account_id", F.col("created_at").cast("date").alias("born"))
     return spark.sql(
         "SELECT a.account_id, m.month_start FROM {a} a, LATERAL month_spine(a.born, DATE'" + as_of.isoformat() + "') m", a=born

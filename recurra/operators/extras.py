@@ -37,7 +37,8 @@ def time_to_value(events: DataFrame, leads: DataFrame, features: DataFrame) -> D
         .agg(F.count(F.lit(1)).alias("n"))
     )
     merged = active.withColumn("active_day", F.col("d")).unionByName(trials, allowMissingColumns=True)
-    ahead = Window.partitionBy("account_id").orderBy("d").rangeBetween(Window.currentRow, Window.unboundedFollowing)
+    # newest first, so that a running minimum sees the days that follow and is never computed anew
+    ahead = Window.partitionBy("account_id").orderBy(F.desc("d")).rangeBetween(Window.unboundedPreceding, Window.currentRow)
     waits = (
         merged.withColumn("next_day", F.min("active_day").over(ahead))
         .where(F.col("n").isNotNull() & F.col("next_day").isNotNull())

@@ -10,9 +10,16 @@ from recurra.operators.mrr import account_month_mrr, classify, with_churn_rows
 from recurra.operators.silver import latest_per_key
 
 
+def newest_change(changes: DataFrame, keys: list[str], order: str) -> DataFrame:
+    """One change per key: the newest, then the last row of the last file, then the largest by value."""
+    lineage = [c for c in ("_source_file", "_row_id") if c in changes.columns]
+    rest = [c for c in changes.columns if c not in keys and c != order and c not in lineage]
+    return latest_per_key(changes, keys, order, lineage + rest)
+
+
 def upsert_by_key(target: DataFrame, changes: DataFrame, keys: list[str], order: str) -> DataFrame:
-    """Target after the newest change of every key has replaced or joined its row."""
-    newest = latest_per_key(changes, keys, order).select(*target.columns)
+    """Target after the newest change of every key has replaced or joined its row; see :func:`newest_change` for ties."""
+    newest = newest_change(changes, keys, order).select(*target.columns)
     return target.join(newest.select(*keys), keys, "left_anti").unionByName(newest)
 
 
@@ -26,15 +33,18 @@ def upsert_counts(target: DataFrame, changes: DataFrame, keys: list[str]) -> Dat
     )
 
 
-def insert_ignore(target: DataFrame, rows: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows with a new key only; one row per key if the batch repeats it."""
-    once = rows.dropDuplicates(keys)
+def insert_ignore(target: DataFrame, rows: DataFrame, keys: list[str], order: str) -> DataFrame:
+    """Rows with a new key only; the newest row if the batch repeats a key."""
+    once = newest_change(rows, keys, order).select(*target.columns)
     return once.join(target.select(*keys), keys, "left_anti")
 
 
-def upsert_partial_columns(target: DataFrame, changes: DataFrame, keys: list[str], mutable: list[str]) -> DataFrame:
-    """Only mutable columns take the incoming value; a NULL there leaves the stored one."""
-    new = changes.select(*keys, F.struct(*[c for c in target.columns if c not in keys]).alias("n"))
+def upsert_partial_columns(target: DataFrame, changes: DataFrame, keys: list[str], mutable: list[str], order: str) -> DataFrame:
+    """Only mutable columns take the value of the newest change; a NULL there leaves the stored one.
+
+    The batch is first reduced to one change per key, so no target row is doubled.
+    """
+    new = newest_change(changes, keys, order).select(*keys, F.struct(*[c for c in target.columns if c not in keys]).alias("n"))
     old = target.select(*keys, F.struct(*[c for c in target.columns if c not in keys]).alias("o"))
     joined = old.join(new, keys, "full")
 

@@ -24,7 +24,7 @@ from recurra.functions.expr import (
     safe_divide,
 )
 from recurra.operators.mrr import account_month_mrr, invoice_monthly
-from recurra.operators.ranking import rank_within
+from recurra.operators.ranking import positions, rank_within
 from recurra.operators.reports import whole
 from recurra.operators.spine import account_months, with_months
 
@@ -351,10 +351,10 @@ def win_prior_activity(grid: DataFrame) -> DataFrame:
 # --- ordering and sets ------------------------------------------------------------
 
 
-def sort_nulls_last(usage: DataFrame, n: int = 100) -> DataFrame:
-    return usage.select("account_id", "month_start", "events_mom_pct_change").orderBy(
-        F.desc_nulls_last("events_mom_pct_change"), "account_id", "month_start"
-    ).limit(n)
+def sort_nulls_last(usage: DataFrame) -> DataFrame:
+    """All rows with their position; changes that are unknown come last."""
+    rows = usage.select("account_id", "month_start", "events_mom_pct_change")
+    return positions(rows, [F.desc_nulls_last("events_mom_pct_change"), F.asc("account_id"), F.asc("month_start")], "position")
 
 
 def topk_limit(subscriptions: DataFrame, k: int = 20) -> DataFrame:
@@ -372,16 +372,16 @@ def last_n_months_asc(executive: DataFrame, n: int = 12) -> DataFrame:
     return executive.select("month_key", "total_mrr").orderBy(F.desc("month_key")).limit(n).orderBy("month_key")
 
 
-def sort_abs(movements: DataFrame, k: int = 50) -> DataFrame:
-    return movements.select("account_id", "month_start", "net_mrr_contribution").orderBy(
-        F.abs("net_mrr_contribution").desc(), "account_id", "month_start"
-    ).limit(k)
+def sort_abs(movements: DataFrame) -> DataFrame:
+    """All rows with their position by the size of the change."""
+    rows = movements.select("account_id", "month_start", "net_mrr_contribution")
+    return positions(rows, [F.abs("net_mrr_contribution").desc(), F.asc("account_id"), F.asc("month_start")], "position")
 
 
-def sort_multi(health: DataFrame, k: int = 50) -> DataFrame:
-    return health.select("account_id", "month_start", "health_score", "mrr").orderBy(
-        "health_score", F.desc("mrr"), "account_id", "month_start"
-    ).limit(k)
+def sort_multi(health: DataFrame) -> DataFrame:
+    """All rows with their position, weakest health first and dearest first among equals."""
+    rows = health.select("account_id", "month_start", "health_score", "mrr")
+    return positions(rows, [F.asc("health_score"), F.desc("mrr"), F.asc("account_id"), F.asc("month_start")], "position")
 
 
 def union_all_typed_nulls(paying: DataFrame, churn: DataFrame) -> DataFrame:

@@ -63,7 +63,10 @@ def silver(raw: DataFrame, entity: str) -> DataFrame:
     """Typed table of one entity from its all-text rows."""
     key, types, defaults = KEYS[entity], TYPED[entity], DEFAULTS.get(entity, {})
     have = [c for c in types if c in raw.columns]
-    newest = latest_per_key(raw.where(F.nullif(F.col(key), F.lit("")).isNotNull()).select(*have, "_loaded_at"), [key], "_loaded_at")
+    # rows of one load are told apart by file and row, then by value
+    lineage = [c for c in ("_source_file", "_row_id") if c in raw.columns]
+    rows = raw.where(F.nullif(F.col(key), F.lit("")).isNotNull()).select(*have, "_loaded_at", *lineage)
+    newest = latest_per_key(rows, [key], "_loaded_at", lineage + [c for c in have if c != key])
     missing = [F.lit(defaults.get(c)).cast(types[c]).alias(c) for c in types if c not in have]
     return newest.select(*[cast_text(c, types[c], defaults.get(c)) for c in have], *missing, "_loaded_at")
 

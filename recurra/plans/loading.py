@@ -347,14 +347,14 @@ def _upsert(s):
 @query("insert_ignore")
 def _ignore(s):
     target, changed = _target_and_changes(s)
-    return inc.insert_ignore(target, changed.select(*target.columns).where(F.col("status") != "closing"), ["subscription_id"])
+    return inc.insert_ignore(target, changed, ["subscription_id"], "_loaded_at")
 
 
 @query("upsert_partial_columns")
 def _partial(s):
     target, changed = _target_and_changes(s)
-    newest = changed.where(F.col("status") != "closing").drop("_loaded_at").withColumn("account_id", F.lit(-1).cast("bigint"))
-    return inc.upsert_partial_columns(target, newest, ["subscription_id"], ["status", "mrr"])
+    repeated = changed.withColumn("account_id", F.lit(-1).cast("bigint"))
+    return inc.upsert_partial_columns(target, repeated, ["subscription_id"], ["status", "mrr"], "_loaded_at")
 
 
 @query("incremental_lookback")
@@ -378,21 +378,29 @@ def _stream_webhook(s):
     return out.select("subscription_id", "account_id", "status", "mrr", "plan_name", "seats", F.col("event_at").cast("date").alias("event_day"))
 
 
-def event_stream(s: Source):
-    schema = s.raw("events").schema
-    return s.spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(s.sf_dir)
+def table_stream(spark, path: str, schema):
+    """A Parquet table as a stream, one file in each batch; files of a folder and single files alike."""
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(path)
+
+
+def event_stream(s: Source, copies: int = 1):
+    """Events dealt to four files without regard to their time, so that they arrive in four mixed batches."""
+    rows = s.raw("events").withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(copies))))
+    folder = f"{scratch_path(s.spark, 'events')}/events.parquet"
+    rows.repartition(4, "event_id", "copy").drop("copy").write.parquet(folder)
+    return table_stream(s.spark, folder, s.raw("events").schema)
 
 
 @query("stream_dedupe_events")
 def _stream_dedupe(s):
-    twice = event_stream(s).withColumn("ts", F.col("ts").cast("timestamp")).withColumn("copy", F.explode(F.array(F.lit(1), F.lit(2)))).drop("copy")
+    twice = event_stream(s, copies=2).withColumn("ts", F.col("ts").cast("timestamp"))
     return changes.stream_dedupe_events(twice.select("event_id", "user_id", "event_type", "ts")).select(
         "event_id", "user_id", "event_type", F.col("ts").cast("date").alias("day")
     )
 
 
 query("stream_usage_counts")(
-    lambda s: changes.stream_usage_counts(adapter.as_usage_events(event_stream(s))).drop("approx_users")
+    lambda s: changes.stream_usage_counts(adapter.as_usage_events(event_stream(s)))
 )
 
 

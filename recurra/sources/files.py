@@ -16,9 +16,13 @@ RAW_FILES = {
 }
 
 
-def _header_scan(spark: SparkSession, path: str) -> DataFrame | None:
+#: a quote inside a quoted value is doubled
+QUOTING = {"quote": '"', "escape": '"'}
+
+
+def _header_scan(spark: SparkSession, path: str, multi_line: bool) -> DataFrame | None:
     try:
-        return spark.read.option("header", True).option("multiLine", False).csv(path)
+        return spark.read.options(header=True, multiLine=multi_line, **QUOTING).csv(path)
     except AnalysisException as exc:
         if "PATH_NOT_FOUND" in str(exc):
             warnings.warn(f"no such file, skipped: {path}", stacklevel=3)
@@ -26,10 +30,13 @@ def _header_scan(spark: SparkSession, path: str) -> DataFrame | None:
         raise
 
 
-def csv_text_scan(spark: SparkSession, path: str, columns: list[str], loaded_at: dt.datetime | None = None) -> DataFrame:
-    """Listed columns as text with lineage. Absent columns and blanks are NULL; a missing file is empty."""
+def csv_text_scan(spark: SparkSession, path: str, columns: list[str], loaded_at: dt.datetime | None = None, multi_line: bool = True) -> DataFrame:
+    """Listed columns as text with lineage. Absent columns and blanks are NULL; a missing file is empty.
+
+    Quoted values may hold line breaks. Files known to have none are split among tasks with ``multi_line=False``.
+    """
     stamp = F.lit(loaded_at or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)).cast("timestamp_ntz")
-    raw = _header_scan(spark, path)
+    raw = _header_scan(spark, path, multi_line)
     if raw is None:
         lineage = [T.StructField("_row_id", T.LongType()), T.StructField("_loaded_at", T.TimestampNTZType()),
                    T.StructField("_source_file", T.StringType())]
@@ -64,9 +71,9 @@ def type_for(column: str) -> str:
     return "string"
 
 
-def csv_typed_scan(spark: SparkSession, path: str) -> DataFrame:
+def csv_typed_scan(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """All columns of a CSV typed by their names; blanks and the text None are NULL."""
-    raw = _header_scan(spark, path)
+    raw = _header_scan(spark, path, multi_line)
     if raw is None:
         raise FileNotFoundError(path)
     present = lambda c: F.when(~F.col(f"`{c}`").isin("", "None"), F.col(f"`{c}`"))
@@ -84,7 +91,7 @@ def load_raw_layer(spark: SparkSession, folder: str, columns: dict[str, list[str
 
 
 def csv_sink(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("header", True).csv(path)
+    df.write.mode("overwrite").options(header=True, **QUOTING).csv(path)
 
 
 def json_sink(df: DataFrame, path: str) -> None:

@@ -1,4 +1,4 @@
-"""Streaming upserts, duplicate removal and windowed usage counts.
+"""Streaming upserts, duplicate removal and daily usage counts.
 
 Upserts are log-structured: a micro-batch writes its rows under its own batch
 number, so a replayed batch replaces itself, and readers take the newest row per
@@ -56,39 +56,51 @@ def stream_webhook_upsert(spark: SparkSession, folder: str, received_at: dt.date
     return current_rows(spark, f"{out}/log", ["subscription_id"], ["event_at", "event_id"])
 
 
-def deduplicated(events: DataFrame, key: str = "event_id", delay: str = "1 hour") -> DataFrame:
-    """One row per key while the watermark remembers it; state is bounded by the delay."""
-    return events.withWatermark("ts", delay).dropDuplicatesWithinWatermark([key])
+def opened_log(rows: DataFrame, path: str) -> None:
+    """Give a log its schema before any batch, so that a stream without input reads as an empty table."""
+    rows.sparkSession.createDataFrame([], rows.schema).write.mode("overwrite").parquet(f"{path}/batch_id=-1")
 
 
-def stream_dedupe_events(events: DataFrame, out: str | None = None) -> DataFrame:
+def read_log(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.option("basePath", path).parquet(path)
+
+
+def stream_dedupe_events(events: DataFrame, out: str | None = None, key: str = "event_id") -> DataFrame:
+    """One row per key over all batches, however late or out of order rows arrive.
+
+    A batch drops the copies it sees itself and appends the rest, so the stream keeps no
+    state; copies from different batches are settled when the log is read, where the
+    row of the first batch stays.
+    """
     spark = events.sparkSession
     out = out or scratch_path(spark, "dedupe")
-    run_available(deduplicated(events), lambda b, i: append_batch(b, i, f"{out}/log"), f"{out}/checkpoint")
-    return spark.read.option("basePath", f"{out}/log").parquet(f"{out}/log").drop("batch_id")
-
-
-def usage_windows(events: DataFrame, delay: str = "2 days") -> DataFrame:
-    """Daily measures per account; users are counted approximately, as state must stay small."""
-    return (
-        events.withColumn("at", F.col("occurred_at").cast("timestamp"))
-        .withWatermark("at", delay)
-        .groupBy("account_id", F.window("at", "1 day"))
-        .agg(
-            F.count(F.lit(1)).alias("events"), F.sum("duration_seconds").alias("duration_seconds"),
-            F.max("duration_seconds").alias("longest_seconds"), F.approx_count_distinct("user_id").alias("approx_users"),
-        )
-        .select("account_id", F.col("window.start").cast("date").alias("day"), "events", "duration_seconds",
-                "longest_seconds", "approx_users")
+    opened_log(events, f"{out}/log")
+    run_available(events, lambda b, i: append_batch(b.dropDuplicates([key]), i, f"{out}/log"), f"{out}/checkpoint")
+    log = read_log(spark, f"{out}/log").withColumn("earliest", -F.col("batch_id"))
+    return latest_per_key(log, [key], "earliest").select(*events.columns)
+
+
+def usage_counts(events: DataFrame) -> DataFrame:
+    """Daily measures of each user of an account, small enough to be added up later."""
+    return events.groupBy("account_id", F.col("occurred_at").cast("date").alias("day"), "user_id").agg(
+        F.count(F.lit(1)).alias("events"), F.sum("duration_seconds").alias("duration_seconds"), F.max("duration_seconds").alias("longest_seconds")
     )
 
 
 def stream_usage_counts(events: DataFrame, out: str | None = None) -> DataFrame:
-    """Window results in update mode: a later batch supersedes the count of an earlier one."""
+    """Daily measures per account over all batches; users are counted exactly.
+
+    Every batch adds its partial counts to the log. No row is too late, because nothing
+    is closed; readers add up the parts.
+    """
     spark = events.sparkSession
     out = out or scratch_path(spark, "usage")
-    run_available(
-        usage_windows(events), lambda b, i: append_batch(b, i, f"{out}/log"), f"{out}/checkpoint", "update"
+    opened_log(usage_counts(events), f"{out}/log")
+    run_available(events, lambda b, i: append_batch(usage_counts(b), i, f"{out}/log"), f"{out}/checkpoint")
+    users = read_log(spark, f"{out}/log").groupBy("account_id", "day", "user_id").agg(
+        F.sum("events").alias("events"), F.sum("duration_seconds").alias("duration_seconds"), F.max("longest_seconds").alias("longest_seconds")
+    )
+    return users.groupBy("account_id", "day").agg(
+        F.sum("events").alias("events"), F.sum("duration_seconds").alias("duration_seconds"), F.max("longest_seconds").alias("longest_seconds"),
+        F.count("user_id").alias("users"),
     )
-    log = spark.read.option("basePath", f"{out}/log").parquet(f"{out}/log")
-    return latest_per_key(log, ["account_id", "day"], "batch_id").drop("batch_id")

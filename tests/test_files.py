@@ -75,3 +75,13 @@ def test_stripe_fallbacks(spark):
     r = webhooks.stripe_subscriptions(parsed, NOW).collect()[0]
     assert (r["status"], float(r["mrr"]), r["plan_id"], r["plan_name"], r["seats"], r["started_at"]) == ("canceled", 19.99, "p", "Stripe Plan", 1, NOW)
     assert parsed.where(~F.col("processed")).count() == 1
+
+
+def test_quotes_and_line_breaks_survive_a_round_trip(spark, tmp_path):
+    p = tmp_path / "accounts.csv"
+    p.write_text('account_id,company_name\n1,"Acme ""Best"" Co, Inc"\n2,"two\nlines"\n3,back\\slash\n')
+    read = lambda path: {r["account_id"]: r["company_name"] for r in files.csv_text_scan(spark, path, ["account_id", "company_name"], NOW).collect()}
+    want = {"1": 'Acme "Best" Co, Inc', "2": "two\nlines", "3": "back\\slash"}
+    assert read(str(p)) == want
+    files.csv_sink(spark.createDataFrame(sorted(want.items()), "account_id string, company_name string"), str(tmp_path / "out"))
+    assert read(str(tmp_path / "out")) == want

@@ -40,3 +40,38 @@ def test_window_counts_grow_over_batches(spark, tmp_path):
     arrive((1, 1, 10, at(1)), (1, 2, 30, at(2)))
     got = arrive((1, 1, 5, at(3)), (2, 9, 7, at(4)))
     assert sorted((r["account_id"], r["events"], r["duration_seconds"], r["longest_seconds"]) for r in got) == [(1, 3, 45, 30), (2, 1, 7, 7)]
+
+
+def events_in_files(spark, folder, files, n=400):
+    """Events whose dates are shuffled over the files."""
+    schema = "event_id long, account_id long, user_id long, duration_seconds int, occurred_at timestamp_ntz"
+    rows = [(i, i % 7, i % 11, i % 50, dt.datetime(2020, 1 + i * 5 % 9, 1 + i * 17 % 28, i % 24)) for i in range(n)]
+    for k in range(files):
+        spark.createDataFrame([r for r in rows if r[0] * 31 % files == k], schema).coalesce(1).write.mode("append").parquet(folder)
+    return rows, schema
+
+
+def test_no_row_is_lost_however_batches_arrive(spark, tmp_path):
+    from recurra.plans.loading import table_stream
+
+    folder = str(tmp_path / "events.parquet")
+    rows, schema = events_in_files(spark, folder, 6)
+    events_in_files(spark, folder, 3)  # every event once more, in other company
+    stream = lambda: table_stream(spark, folder, spark.read.parquet(folder).schema)
+    once = changes.stream_dedupe_events(stream(), str(tmp_path / "once")).collect()
+    assert sorted(tuple(r) for r in once) == rows
+    got = {(r["account_id"], r["day"]): (r["events"], r["duration_seconds"], r["longest_seconds"], r["users"]) for r in changes.stream_usage_counts(stream(), str(tmp_path / "use")).collect()}
+    want = {}
+    for _, a, u, d, t in rows:
+        want.setdefault((a, t.date()), []).append((u, d))
+    assert got == {k: (2 * len(v), 2 * sum(d for _, d in v), max(d for _, d in v), len({u for u, _ in v})) for k, v in want.items()}
+
+
+def test_streams_without_input_are_empty_tables(spark, tmp_path):
+    folder = str(tmp_path / "events.parquet")
+    schema = "event_id long, account_id long, user_id long, duration_seconds int, occurred_at timestamp_ntz"
+    spark.createDataFrame([], schema).write.parquet(folder)
+    stream = lambda: spark.readStream.schema(schema).parquet(folder)
+    assert changes.stream_dedupe_events(stream(), str(tmp_path / "a")).columns == [c.split()[0] for c in schema.split(", ")]
+    got = changes.stream_usage_counts(stream(), str(tmp_path / "b"))
+    assert got.count() == 0 and got.columns == ["account_id", "day", "events", "duration_seconds", "longest_seconds", "users"]
