@@ -24,7 +24,8 @@ from recurra.llm.common import map_batches, text_or_empty
 END = "</w>"
 NEVER = np.int64(1) << 40
 LONG_WORD = 64
-CACHED_RUNS = 400_000
+CACHED_RUNS = 800_000
+SIGNS = ("", *".,;:!?|)(")
 # Fixed values of the tokenizer: word pattern of its pre-tokenizer.
 WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\p{White_Space}\p{L}\p{N}]+")
 SPACES = regex.compile(r"\p{White_Space}+")
@@ -147,8 +148,11 @@ class WordBpe:
         order = np.argsort(begins, kind="stable")
         return tokens[order], words[order]
 
-    def merge_many(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> list[np.ndarray]:
-        """Exact merging of many short words side by side, lowest rank first and leftmost among equals."""
+    def merge_many(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[bytes, np.ndarray]:
+        """Exact merging of many short words side by side, lowest rank first and leftmost among equals.
+
+        Returns the ids of all words one after another and their number for each word.
+        """
         n, size = len(starts), int((ends - starts).max())
         rows, place = np.arange(n), np.arange(size)
         lens = ends - starts
@@ -176,7 +180,7 @@ class WordBpe:
             h = before[live, i]
             left = h >= 0
             rank[live[left], h[left]] = self.rank(ids[live[left], h[left]], ids[live[left], i[left]])
-        return [x[~g] for x, g in zip(ids, gone)]
+        return ids[~gone].astype("<u4").tobytes(), (~gone).sum(1)
 
     def merge_long(self, word: bytes) -> list[int]:
         """The same for one long word, through a heap."""
@@ -204,31 +208,38 @@ class WordBpe:
 
     def encode_words(self, words: list[bytes]) -> list[bytes]:
         """Token ids of words: proposals, one check of all borders, exact merging where a border fails."""
-        out: dict[int, bytes] = {i: np.array(self.merge_long(w), "<u4").tobytes() for i, w in enumerate(words) if len(w) > LONG_WORD}
-        short = [i for i, w in enumerate(words) if len(w) <= LONG_WORD]
-        if short:
-            data = np.frombuffer(b"".join([words[i] for i in short]), np.uint8)
-            ends = np.cumsum([len(words[i]) for i in short])
-            starts = np.concatenate([[0], ends[:-1]])
-            flat, owner = self.propose(data, starts, ends)
-            at = np.flatnonzero(owner[:-1] == owner[1:])
-            pairs, back = np.unique(flat[at] * self.size + flat[at + 1], return_inverse=True)
-            wrong = np.unique(owner[at[~self.compatible(pairs // self.size, pairs % self.size)[back]]])
-            self.words, self.repaired = self.words + len(short), self.repaired + len(wrong)
-            cuts = (np.searchsorted(owner, np.arange(len(short) + 1)) * 4).tolist()
-            packed = flat.astype("<u4").tobytes()
-            out |= {i: packed[cuts[k] : cuts[k + 1]] for k, i in enumerate(short)}
-            lens = (ends - starts)[wrong]
-            for low, high in ((0, 12), (12, 24), (24, LONG_WORD)):
-                if (part := wrong[(lens > low) & (lens <= high)]).size:
-                    for k, ids in zip(part.tolist(), self.merge_many(data, starts[part], ends[part])):
-                        out[short[k]] = ids.astype("<u4").tobytes()
-        return [out[i] for i in range(len(words))]
+        if any(len(w) > LONG_WORD for w in words):
+            return [np.array(self.merge_long(w), "<u4").tobytes() if len(w) > LONG_WORD else self.encode_words([w])[0] for w in words]
+        if not words:
+            return []
+        data = np.frombuffer(b"".join(words), np.uint8)
+        ends = np.cumsum([len(w) for w in words])
+        starts = np.concatenate([[0], ends[:-1]])
+        flat, owner = self.propose(data, starts, ends)
+        at = np.flatnonzero(owner[:-1] == owner[1:])
+        pairs, back = np.unique(flat[at] * self.size + flat[at + 1], return_inverse=True)
+        wrong = np.unique(owner[at[~self.compatible(pairs // self.size, pairs % self.size)[back]]])
+        self.words, self.repaired = self.words + len(words), self.repaired + len(wrong)
+        cuts = (np.searchsorted(owner, np.arange(len(words) + 1)) * 4).tolist()
+        packed = flat.astype("<u4").tobytes()
+        out = [packed[a:b] for a, b in zip(cuts, cuts[1:])]
+        lens = (ends - starts)[wrong]
+        for low, high in ((0, 12), (12, 24), (24, LONG_WORD)):
+            if (part := wrong[(lens > low) & (lens <= high)]).size:
+                merged, sizes = self.merge_many(data, starts[part], ends[part])
+                cuts = np.concatenate([[0], np.cumsum(sizes) * 4]).tolist()
+                for k, a, b in zip(part.tolist(), cuts, cuts[1:]):
+                    out[k] = merged[a:b]
+        return out
 
     def pieces(self, run: str) -> list[bytes | int]:
         """Words of a run without white space in UTF-8; special tokens as ids."""
-        if run.isascii() and run.isalpha():
-            return [run.lower().encode()]
+        # most runs are one word, or one word and a sign
+        word, sign = (run, "") if run.isalpha() else (run[:-1], run[-1])
+        if word.isalpha() and sign in SIGNS:
+            plain = word.lower() if word.isascii() else unicodedata.normalize("NFC", word).replace("Σ", "σ").lower()
+            if plain.isalpha():
+                return [plain.encode(), sign.encode()] if sign else [plain.encode()]
         out = []
         for part in self.specials.split(run) if self.specials and "<|" in run else [run]:
             if part in self.special:
@@ -249,10 +260,13 @@ class WordBpe:
             self.cache.clear()
         fresh = list(set().union(*runs) - self.cache.keys())
         cut = [self.pieces(c) for c in fresh]
-        words = list({w for p in cut for w in p if isinstance(w, bytes)})
-        ids = dict(zip(words, self.encode_words(words)))
+        words = list({w for p in cut for w in p if w.__class__ is bytes})
+        long = [w for w in words if len(w) > LONG_WORD]
+        words = [w for w in words if len(w) <= LONG_WORD]
+        ids = dict(zip(words + long, self.encode_words(words) + self.encode_words(long)))
+        ids |= {i: i.to_bytes(4, "little") for i in self.special.values()}
         for c, p in zip(fresh, cut):
-            self.cache[c] = b"".join([ids[w] if isinstance(w, bytes) else w.to_bytes(4, "little") for w in p])
+            self.cache[c] = ids[p[0]] if len(p) == 1 else b"".join([ids[w] for w in p])
         return [b"".join(map(self.cache.__getitem__, r)) for r in runs]
 
     def decode(self, ids: np.ndarray) -> str:
