@@ -60,13 +60,18 @@ def nearest_rank(df: DataFrame, group: list[str], value: str, points: dict[str,
     """Exact order statistics: the element at zero-based index floor(n * p).
 
     Rows are first reduced to (group, value) counts, so repeated values of a hot
-    group collapse before the running count orders what is left.
+    group collapse. What is left is sorted over the cluster; a group with many values
+    spreads over many sorted partitions, whose sums give the running count its start.
     """
     counts = df.groupBy(*group, value).agg(F.count(F.lit(1)).alias("_n"))
-    w = Window.partitionBy(*group).orderBy(value)
-    run = counts.withColumn("_upto", F.sum("_n").over(w.rowsBetween(Window.unboundedPreceding, 0))).withColumn(
-        "_total", F.sum("_n").over(Window.partitionBy(*group))
-    )
+    placed = reliable_checkpoint(counts.orderBy(*group, value).withColumn("_part", F.spark_partition_id()))
+    pieces = placed.groupBy(*group, "_part").agg(F.sum("_n").alias("_sum"))
+    before = Window.partitionBy(*group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = pieces.withColumns({
+        "_start": F.coalesce(F.sum("_sum").over(before), F.lit(0)), "_total": F.sum("_sum").over(Window.partitionBy(*group)),
+    }).drop("_sum")
+    inside = Window.partitionBy(*group, "_part").orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    run = placed.withColumn("_upto", F.sum("_n").over(inside)).join(starts, [*group, "_part"]).withColumn("_upto", F.col("_upto") + F.col("_start"))
     picks = []
     for name, p in points.items():
         index = F.least(F.floor(F.col("_total") * p), F.col("_total") - 1)

@@ -129,12 +129,13 @@ def invoices(spark, sf_dir) -> DataFrame:
         .groupBy("l_orderkey", "l_linenumber")
         .agg(
             F.sum(F.col("l_extendedprice").cast("decimal(12,2)")).cast("decimal(12,2)").alias("amount"),
-            F.min("l_returnflag").alias("flag"),
+            # a number keeps the aggregation of the largest table a hash aggregation
+            F.min(F.ascii("l_returnflag")).alias("code"),
             F.min("l_shipdate").cast("date").alias("invoice_date"),
         )
     )
     owners = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    status = mapped(F.col("flag"), {"A": "paid", "N": "pending", "R": "failed"})
+    status = mapped(F.char("code"), {"A": "paid", "N": "pending", "R": "failed"})
     return lines.join(owners, lines.l_orderkey == owners.o_orderkey).select(
         F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")).alias("invoice_id"),
         F.col("o_custkey").alias("account_id"),
