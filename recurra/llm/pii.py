@@ -28,7 +28,7 @@ PATTERNS = {
     "ip": r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++",
     "card": r"(?<![0-9])[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
-    "local_phone": r"(?<![0-9+(.\x20-])(?:\([0-9]{3}\)\x20?|[0-9]{3}[-.])[0-9]{3}[-.\x20][0-9]{4}(?![0-9-])",
+    "local_phone": r"(?<![0-9+(.-])(?:\([0-9]{3}\)\x20?|[0-9]{3}[-.])[0-9]{3}[-.\x20][0-9]{4}(?![0-9-])",
     "national_id": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
     "account": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){3,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
     "name": r"(?<=\b(?:Mr|Ms|Dr|Mrs|Herr|Frau|Prof)\.?\x20)[A-Z][a-z]{1,30}(?:\x20[A-Z][a-z]{1,30}){0,2}+",
