@@ -7,7 +7,7 @@ STAMP = "TIMESTAMP '2001-07-31 06:00:00'"
 check("csv_text_scan", f"""SELECT invoice_id, account_id::varchar AS account_id, subscription_id::varchar AS subscription_id, amount::varchar AS amount, status,
   invoice_date::varchar AS invoice_date, paid_date::varchar AS paid_date, NULL::varchar AS payment_method, {STAMP} AS _loaded_at, true AS has_lineage FROM inv""")
 check("csv_typed_scan", """SELECT invoice_id, account_id::varchar AS account_id, amount::double AS amount, invoice_date, paid_date, status = 'paid' AS payment_succeeded, status FROM inv""")
-RAW = [("raw_plans", "(SELECT DISTINCT plan_name FROM subs)"), ("raw_features", "feats"), ("raw_calendar", "(SELECT DISTINCT month_start FROM grid)"), ("raw_accounts", "accounts_raw"),
+RAW = [("raw_plans", "(SELECT DISTINCT plan_name FROM subs)"), ("raw_features", "feats"), ("raw_calendar", "(SELECT unnest(generate_series(min(month_start)::timestamp, TIMESTAMP '2001-07-31', INTERVAL 1 DAY)) FROM grid)"), ("raw_accounts", "accounts_raw"),
        ("raw_subscriptions", "subs"), ("raw_invoices", "inv"), ("raw_usage_events", "usage"), ("raw_tickets", "tix"), ("raw_leads", "lead_rows")]
 check("load_raw_layer", " UNION ALL ".join(f"SELECT '{n}' AS table_name, count(*) AS row_count, count(*) AS keyed_rows FROM {t}" for n, t in RAW))
 VIEWS = [("accounts", "accounts_raw"), ("subscriptions", "subs"), ("invoices", "inv"), ("usage_events", "usage"), ("tickets", "tix"), ("leads", "lead_rows")]

@@ -36,6 +36,13 @@ def month_spine(dates: DataFrame, column: str, as_of: dt.date) -> DataFrame:
     )
 
 
+def day_spine(dates: DataFrame, column: str, as_of: dt.date) -> DataFrame:
+    """One row per day from the first of the earliest month in ``column`` to ``as_of``."""
+    span = dates.agg(month_start(F.min(F.col(column).cast("date"))).alias("first_day"))
+    days = span.where(F.col("first_day") <= day(as_of)).select(F.explode(F.sequence("first_day", day(as_of))).alias("full_date"))
+    return days.select("full_date", F.year("full_date").alias("year"), F.quarter("full_date").alias("quarter"), F.month("full_date").alias("month"))
+
+
 def account_months(accounts: DataFrame, as_of: dt.date) -> DataFrame:
     born = F.col("created_at").cast("date")
     grid = with_months(accounts, born, day(as_of))

@@ -39,26 +39,18 @@ def _typed(s):
     return files.csv_typed_scan(s.spark, written_csv(s, noisy, "invoices"))
 
 
-RAW_COLUMNS = {
-    "plans": ["plan_id", "monthly_price"], "features": ["feature_id"], "calendar": ["month_start"],
-    "accounts": ["account_id", "company_name", "industry"], "subscriptions": ["subscription_id", "account_id", "mrr"],
-    "invoices": ["invoice_id", "account_id", "amount"], "usage_events": ["event_id", "account_id"],
-    "support_tickets": ["ticket_id", "account_id"], "leads": ["lead_id", "account_id"],
-}
-
-
 @query("load_raw_layer")
 def _layer(s):
     folder = scratch_path(s.spark, "raw")
     t = s.t
     frames = {
         "plans": adapter.sold_plans(s.spark, s.sf_dir), "features": adapter.event_features(s.spark, s.sf_dir),
-        "calendar": spine.month_spine(t.accounts, "created_at", AS_OF), "accounts": t.accounts, "subscriptions": t.subscriptions,
+        "calendar": spine.day_spine(t.accounts, "created_at", AS_OF), "accounts": t.accounts, "subscriptions": t.subscriptions,
         "invoices": t.invoices, "usage_events": t.usage_events, "support_tickets": t.tickets, "leads": t.leads,
     }
     for name, df in frames.items():
-        files.csv_sink(df.select(*[c for c in RAW_COLUMNS[name]]), f"{folder}/{name}.csv")
-    layer = files.load_raw_layer(s.spark, folder, RAW_COLUMNS)
+        files.csv_sink(df, f"{folder}/{name}.csv")
+    layer = files.load_raw_layer(s.spark, folder, {name: df.columns for name, df in frames.items()})
     return dq.union_all(
         [
             df.agg(F.count(F.lit(1)).alias("row_count"), F.count(F.col(df.columns[0])).alias("keyed_rows")).withColumn(
