@@ -24,7 +24,7 @@ from recurra.llm.common import map_batches, text_or_empty
 END = "</w>"
 NEVER = np.int64(1) << 40
 LONG_WORD = 64
-CACHED_RUNS = 800_000
+CACHED_RUNS = 200_000
 SIGNS = ("", *".,;:!?|)(")
 # Fixed values of the tokenizer: word pattern of its pre-tokenizer.
 WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\p{White_Space}\p{L}\p{N}]+")

@@ -14,7 +14,7 @@ from recurra.session import scratch_path
 
 _shipped: set[str] = set()
 #: Rows of one Arrow batch. Texts have no bound, so batches are kept short.
-BATCH_ROWS = 512
+BATCH_ROWS = 256
 
 
 def short_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
@@ -34,6 +34,8 @@ def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], s
         for batch in batches:
             if batch.num_rows:
                 yield fn(batch)
+        # workers are used again by other stages, so buffers go back to the machine
+        pa.default_memory_pool().release_unused()
 
     return df.mapInArrow(run, schema)
 

@@ -109,8 +109,9 @@ def train(docs: DataFrame, labels: DataFrame, params: Params = Params()) -> tupl
     def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = []
         for batch in batches:
-            for place, label, idx, x in zip(*[c.to_pylist() for c in batch.columns]):
-                rows.append((place, label, np.array([*idx, 1 << bits]), np.array([*x, 1.0])))
+            for place, label, idx, x in zip(*batch.columns):
+                own = np.append(idx.values.to_numpy(), np.int32(1 << bits)), np.append(x.values.to_numpy(), 1.0).astype(np.float32)
+                rows.append((place.as_py(), label.as_py(), *own))
         rows.sort(key=lambda r: r[0])
         w, bias = ftrl([r[1:] for r in rows], params)
         at = np.flatnonzero(w)
