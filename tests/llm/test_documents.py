@@ -189,6 +189,21 @@ def test_near_duplicates_of_documents(spark):
     assert {r.doc_id for r in kept.collect()} == set(got.values()) and kept.columns == docs.columns
 
 
+def test_near_duplicates_within_template_families(spark):
+    rng = random.Random(11)
+    word = lambda: f"w{rng.randrange(10**6)}"
+    passage = [word() for _ in range(175)]  # of 204 words: two of the family are just below a link
+    rows, planted = [], []
+    for k in range(300):
+        own = [word() for _ in range(29)]
+        planted.append((2 * k, 2 * k + 1))
+        rows += [(2 * k, " ".join(passage + own)), (2 * k + 1, " ".join(passage + own[:9] + [word() for _ in range(20)]))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = {r.doc_id: r.class_id for r in order_minhash.classes(docs).collect()}
+    expected = plain_classes(rows)
+    assert got == expected and all(expected[a] == expected[b] == a for a, b in planted)
+
+
 def test_near_duplicates_of_edge_rows(edge, edge_rows, none):
     rows = order_minhash.classes(edge).collect()
     assert Counter(r.doc_id for r in rows) == Counter(r[0] for r in edge_rows)
