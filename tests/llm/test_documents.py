@@ -204,6 +204,20 @@ def test_near_duplicates_within_template_families(spark):
     assert got == expected and all(expected[a] == expected[b] == a for a, b in planted)
 
 
+def test_near_duplicates_with_moved_and_repeated_blocks(spark):
+    rng = random.Random(12)
+    rows = []
+    for k in range(60):
+        words = [f"v{rng.randrange(10**6)}" for _ in range(300)]
+        cuts = [0, 75, 150, 225, 300] if k % 2 else [0, 150, 300]
+        blocks = [words[a:b] for a, b in zip(cuts, cuts[1:])]
+        for text in (words, [w for b in reversed(blocks) for w in b], words * 2):
+            rows.append((len(rows), " ".join(text)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = {r.doc_id: r.class_id for r in order_minhash.classes(docs).collect()}
+    assert got == plain_classes(rows) and set(got.values()) == set(range(0, 180, 3))
+
+
 def test_near_duplicates_of_edge_rows(edge, edge_rows, none):
     rows = order_minhash.classes(edge).collect()
     assert Counter(r.doc_id for r in rows) == Counter(r[0] for r in edge_rows)
