@@ -22,10 +22,14 @@ KINDS = ("assign", "access", "hex", "guess")
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
 ACCESS = re.compile(r"AKIA[A-Z0-9]{12,}")
 HEX = re.compile(r"[0-9a-f]{32,}")
-#: a credential name, a separator and a value; or user and password in an address
+#: a credential name, a separator and a value; or user and password in an address, where the value ends at the host
 CONTEXT = re.compile(
-    r"""(?:\b(?:pass(?:word|wd|phrase|code)?|pwd|secret|token|credentials?|auth(?:orization)?|bearer|login|(?:api|access|private|secret|client|encryption)[_ -]?(?:key|secret))\b["']?\s{0,8}(?:[:=]|\bis\b)\s{0,8}["']?|\bbearer\x20|://[^\s/:@]{1,64}:)([^\s"'<>@]{6,})""",
+    r"""(?:(?<![^\W_])(?<!://)(?:pass(?:word|wd|phrase|code)?|pwd|secret|token|(?P<user>credentials?|auth(?:orization)?|login)|bearer|secret[_ -]?access[_ -]?key|(?:api|access|private|secret|client|encryption)[_ -]?(?:key|secret))_?(?![^\W_])["']?\s{0,8}(?:[:=]|\bis\b)\s{0,8}["']?(?:(?:bearer|basic)\s{1,8})?|(?<![^\W_])bearer\x20)(?P<value>[^\s"'<>]{6,})|://[^\s/:@]{1,64}:(?P<password>[^\s"'<>@]{6,})""",
     re.I | re.A)
+#: addresses name the user where names of logins stand
+EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", re.A)
+#: the next field of a query string or a list
+NEXT_FIELD = re.compile(r"[&,;][A-Za-z_][\w.-]{0,63}[=:]", re.A)
 TRAIL = ".,;:!?)]}>"
 
 
@@ -109,11 +113,24 @@ def scan(text: str, params: Params = Params()) -> list[tuple[int, int, int, int,
     if context or "earer " in text or " is " in text:
         base, taken = sorted((x[3], x[4]) for x in found), 0
         for m in CONTEXT.finditer(text):
-            start, end = m.start(1), m.start(1) + len(m[1].rstrip(TRAIL))
+            start, value = m.start(m.lastgroup), m[m.lastgroup].rstrip(TRAIL)
+            if m["user"] and EMAIL.fullmatch(value):
+                value = value[: value.index("@")]
             while taken < len(base) and base[taken][1] <= start:
                 taken += 1
-            free = taken == len(base) or base[taken][0] >= end
-            if free and end - start >= 6 and guess_cost(text[start:end]) >= params.least_cost:
+            over = []
+            for k in range(taken, len(base)):
+                if base[k][0] >= start + len(value):
+                    break
+                if base[k][1] > start:
+                    over.append(base[k])
+            if over and (field := NEXT_FIELD.search(value)):
+                value = value[: field.start()]
+            end = start + len(value)
+            if end - start < 6 or any(a <= start and end <= b for a, b in over):
+                continue
+            # what goes on from a base value belongs to it, whatever it costs
+            if any(a == start for a, _ in over) or guess_cost(value) >= params.least_cost:
                 found.append((start, 3, end, start, end))
     return sorted(found)
 

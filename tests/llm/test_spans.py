@@ -64,6 +64,23 @@ def test_guessed_secrets_and_their_redaction(spark, edge, none):
     assert secrets.find(none).count() == 0
 
 
+def test_credential_names_and_values_as_they_are_written():
+    cases = {
+        "aws_secret_access_key = wJalrXUtnFEMIK7MDENGbPxRf": "wJalrXUtnFEMIK7MDENGbPxRf", "AWS_SECRET_ACCESS_KEY=wJalrXUtnFEMI/K7MDENG": "wJalrXUtnFEMI/K7MDENG",
+        "db_pwd: kT9vQz7LmX2p": "kT9vQz7LmX2p", "DB_PASSWORD=abc!defGH12$k": "abc!defGH12$k", "password = P@x7w0Rd2024XyZ!": "P@x7w0Rd2024XyZ",
+        "pwd: k7@Zq91mX$w2Lp": "k7@Zq91mX$w2Lp", "password: Winter2024!kx#9Q": "Winter2024!kx#9Q", "password=changeme!x": "changeme!x",
+        "Authorization: Bearer kT9vQz7LmX2p": "kT9vQz7LmX2p", "see https://me:Tr0ub4dor&3zz@host": "Tr0ub4dor&3zz",
+    }
+    for text, value in cases.items():
+        assert [text[a:b] for _, k, _, a, b in secrets.scan(text) if k == 3] == [value], text
+        assert value not in secrets.redact_text(text) and secrets.redact_text(text).count("[SECRET]") == 1
+    assert secrets.redact_text("password: Winter2024!kx#9Q end") == "password: [SECRET] end"
+    assert secrets.redact_text("go?token=abcdefgh12&user=bob") == "go?token=[SECRET]&user=bob"
+    for text in ("login: anna1@example.com", "my_bypass: kT9vQz7LmX2p", "tokens_used = kT9vQz7LmX2p"):
+        assert secrets.redact_text(text) == text
+    assert len(secrets.scan("password: " + "ab@1" * 50_000 + " token=" + "deadbeef" * 9000 + "!x")) == 4
+
+
 def test_personal_base_by_brute_force(spark):
     rows = fuzz(["a", "B", "1", "23", "255", "4111111111111111", "@", "@", ".", ".", " ", "-", "+", "+1", "(", ")", "é", "🎉", "a@b.c", "1.2.3.4", "\n", "_", "0001.2.3.4"], 1500, 3)
     rows += [(9000, None), (9001, "a@" + "b.c" * 3000 + " +1" + " " * 5000 + "a" * 20_000)]
