@@ -24,8 +24,10 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]{12,}")
 HEX = re.compile(r"[0-9a-f]{32,}")
 #: a credential name, a separator and a value; or user and password in an address, where the value ends at the host
 CONTEXT = re.compile(
-    r"""(?:(?<![^\W_])(?<!://)(?:pass(?:word|wd|phrase|code)?|pwd|secret|token|(?P<user>credentials?|auth(?:orization)?|login)|bearer|secret[_ -]?access[_ -]?key|(?:api|access|private|secret|client|encryption)[_ -]?(?:key|secret))_?(?![^\W_])["']?\s{0,8}(?:[:=]|\bis\b)\s{0,8}["']?(?:(?:bearer|basic)\s{1,8})?|(?<![^\W_])bearer\x20)(?P<value>[^\s"'<>]{6,})|://[^\s/:@]{1,64}:(?P<password>[^\s"'<>@]{6,})""",
+    r"""(?:(?<![^\W_])(?<!://)(?:pass(?:word|wd|phrase|code)?|pwd|secret|token|(?P<user>credentials?|auth(?:orization)?|login)|bearer|secret[_ -]?access[_ -]?key|(?:api|access|private|secret|client|encryption)[_ -]?(?:key|secret))_?(?![^\W_])["']?\s{0,8}(?:[:=]|\bis\b)\s{0,8}["']?(?:(?:bearer|basic)\s{1,8})?|(?<![^\W_])bearer\s{1,8})(?P<value>[^\s"'<>]{6,})|://[^\s/:@]{1,64}:(?P<password>[^\s"'<>@]{6,})""",
     re.I | re.A)
+#: a part of every match of CONTEXT
+BEFORE = re.compile(r"pass|pwd|secret|token|credential|auth|login|bearer|key|://", re.I | re.A)
 #: addresses name the user where names of logins stand
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", re.A)
 #: the next field of a query string or a list
@@ -110,7 +112,7 @@ def scan(text: str, params: Params = Params()) -> list[tuple[int, int, int, int,
     if "AKIA" in text:
         found += [(m.start(), 1, m.end(), *m.span()) for m in ACCESS.finditer(text)]
     found += [(m.start(), 2, m.end(), *m.span()) for m in HEX.finditer(text)]
-    if context or "earer " in text or " is " in text:
+    if BEFORE.search(text):
         base, taken = sorted((x[3], x[4]) for x in found), 0
         for m in CONTEXT.finditer(text):
             start, value = m.start(m.lastgroup), m[m.lastgroup].rstrip(TRAIL)

@@ -81,6 +81,11 @@ def test_credential_names_and_values_as_they_are_written():
     assert len(secrets.scan("password: " + "ab@1" * 50_000 + " token=" + "deadbeef" * 9000 + "!x")) == 4
 
 
+def test_contexts_without_colon_or_equals_sign():
+    for text in ("BEARER kT9vQz7LmX2p", "Bearer\tkT9vQz7LmX2p", "the password\nis kT9vQz7LmX2p", "Secret IS\tkT9vQz7LmX2p"):
+        assert [text[a:b] for _, k, _, a, b in secrets.scan(text) if k == 3] == ["kT9vQz7LmX2p"], text
+
+
 def test_personal_base_by_brute_force(spark):
     rows = fuzz(["a", "B", "1", "23", "255", "4111111111111111", "@", "@", ".", ".", " ", "-", "+", "+1", "(", ")", "é", "🎉", "a@b.c", "1.2.3.4", "\n", "_", "0001.2.3.4"], 1500, 3)
     rows += [(9000, None), (9001, "a@" + "b.c" * 3000 + " +1" + " " * 5000 + "a" * 20_000)]
