@@ -24,10 +24,15 @@ from recurra.llm.labelled_pages import pages
 
 # Element kinds of the markup language.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-RAW = set("script style textarea title noscript template iframe svg math object select option button canvas noframes".split())
-INLINE = set("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var nobr".split())
+# Elements whose content is no markup, or that show nothing of it; without an end they go on to the end of the page.
+RAW = set("script style textarea title noscript template iframe noframes".split())
+# Elements that are no content, with all in them. Without an end they close with their parent or before the next block.
+NO_CONTENT = set("svg object select datalist optgroup option button canvas annotation annotation-xml".split())
+INLINE = set("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var nobr".split()) | set(
+    "math semantics mi mn mo ms mtext mrow mfrac msqrt mroot msub msup msubsup munder mover munderover mmultiscripts mtable mtr mtd mstyle mpadded mspace mphantom".split())
 CLOSES_P = set("address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre section table ul".split())
 SIBLINGS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "thead": {"thead", "tbody"}, "tbody": {"thead", "tbody"}}
+BLOCKS = CLOSES_P | set(SIBLINGS)
 SCOPES = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"tr", "table"}, "th": {"tr", "table"}, "thead": {"table"}, "tbody": {"table"}}
 TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*+>?|<(/?)([a-zA-Z][^\s/>]*+)([^>"']*+(?:(?:"[^"]*+"|'[^']*+')[^>"']*+)*+)>""", re.S)
 ATTRIBUTES = re.compile(r"""\b(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)|\b(hidden|keep|drop)\b(?!\s*=)""", re.I)
@@ -68,12 +73,12 @@ def parse(page: str) -> list[Node]:
     nodes = [Node(-1, "root", ["<root"])]
     stack: list[tuple[str, int]] = [("root", 0)]  # open elements; inline ones point to their block
     text: list[str] = []
-    linked = links = 0
+    linked = links = dropped = 0
     at, end = 0, len(page)
 
     def add(segment: str) -> None:
         nonlocal linked
-        if segment:
+        if segment and not dropped:
             plain = html.unescape(segment) if "&" in segment else segment
             text.append(plain)
             linked += len(plain) if links else 0
@@ -90,8 +95,9 @@ def parse(page: str) -> list[Node]:
             linked = 0
 
     def close(upto: int) -> None:
-        nonlocal links
+        nonlocal links, dropped
         links -= sum(t == "a" for t, _ in stack[upto:])
+        dropped -= sum(t in NO_CONTENT for t, _ in stack[upto:])
         del stack[upto:]
 
     def innermost(names: set[str], barrier: set[str]) -> int | None:
@@ -122,14 +128,29 @@ def parse(page: str) -> list[Node]:
                 continue
             i = innermost({tag}, set())
             if i is not None:
-                if tag not in INLINE or any(t not in INLINE for t, _ in stack[i:]):
+                if any(t not in INLINE and t not in NO_CONTENT for t, _ in stack[i:]):
                     flush()
                 close(i)
         elif tag in RAW:
             if not m[3].endswith("/"):
                 stop = re.compile(rf"</{tag}\s*>", re.I).search(page, at)
                 at = stop.end() if stop else end
+        elif tag in NO_CONTENT:
+            if not m[3].endswith("/"):
+                stop = re.compile(rf"<(/?){tag}(?=[\s/>])[^>]*>?", re.I).search(page, at)
+                if stop and stop[1]:
+                    at = stop.end()
+                else:
+                    dropped += 1
+                    stack.append((tag, stack[-1][1]))
         elif tag not in VOID:
+            if dropped:
+                if tag not in BLOCKS:
+                    continue
+                first = len(stack)
+                while stack[first - 1][0] in INLINE or stack[first - 1][0] in NO_CONTENT:
+                    first -= 1
+                close(next(i for i in range(first, len(stack)) if stack[i][0] in NO_CONTENT))
             if tag in INLINE:
                 links += tag == "a"
                 stack.append((tag, stack[-1][1]))

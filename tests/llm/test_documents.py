@@ -38,6 +38,15 @@ def test_pages_of_other_layouts():
         html_content.main_text(page)
 
 
+@pytest.mark.parametrize("before", [
+    "<datalist><option value=a></datalist>", "<select><option>a<option>b</select>", "<select><option>a", "<option>a", "<div><button>Menu</div>", "<button><b>Menu", "<svg><path d='x'><text>t</text>",
+    "<svg><svg></svg><text>t</text></svg>", "<object data=x>", "<canvas>", "<button><div>Menu</div></button>"])
+def test_controls_without_an_end(before):
+    page = f'<body>{before}<article class="post"><h1>Head line</h1><p>One para of text that is long enough.</p>{before}<p>It says <math><mi>x</mi><mo>=</mo><mn>1</mn></math> and ends.</p></article></body>'
+    assert html_content.main_text(page)[0] == "Head line\nOne para of text that is long enough.\nIt says x=1 and ends."
+    assert html_content.main_text(before * 3000) == ("", 0, 0)
+
+
 def test_marginals_are_exact_on_a_small_tree():
     nodes = html_content.parse('<body><div class="content"><p>One two three.</p></div><nav>x</nav></body>')
     model = html_content.model()
