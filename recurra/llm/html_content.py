@@ -35,7 +35,7 @@ SIBLINGS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "
 BLOCKS = CLOSES_P | set(SIBLINGS)
 SCOPES = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"tr", "table"}, "th": {"tr", "table"}, "thead": {"table"}, "tbody": {"table"}}
 TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*+>?|<(/?)([a-zA-Z][^\s/>]*+)([^>"']*+(?:(?:"[^"]*+"|'[^']*+')[^>"']*+)*+)>""", re.S)
-ATTRIBUTES = re.compile(r"""\b(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)|\b(hidden|keep|drop)\b(?!\s*=)""", re.I)
+ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
 HIDDEN = re.compile(r"display\s*:\s*none", re.I)
 NAME_WORDS = re.compile(r"[a-z]+")
 
@@ -55,16 +55,14 @@ class Node:
 def evidence_of(tag: str, attributes: str) -> tuple[tuple[str, ...], str]:
     """Evidence of an element and its training mark, if any."""
     out, mark = ["<" + tag], ""
-    for name, value, flag in ATTRIBUTES.findall(attributes):
-        if flag.lower() == "hidden":
+    for name, value in ATTRIBUTE.findall(attributes):
+        name = name.lower()
+        if name == "hidden" or name == "style" and HIDDEN.search(value):
             out.append("hidden")
-        elif flag:
-            mark = flag.lower()
-        else:
-            words = NAME_WORDS.findall(value.lower())
-            out += {("role:" if name.lower() == "role" else "name:") + w for w in words}
-    if HIDDEN.search(attributes):
-        out.append("hidden")
+        elif name in ("keep", "drop") and not value:
+            mark = name
+        elif name in ("class", "id", "role"):
+            out += {("role:" if name == "role" else "name:") + w for w in NAME_WORDS.findall(value.lower())}
     return tuple(out), mark
 
 

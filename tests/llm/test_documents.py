@@ -47,6 +47,15 @@ def test_controls_without_an_end(before):
     assert html_content.main_text(before * 3000) == ("", 0, 0)
 
 
+def test_only_an_attribute_of_that_name_hides():
+    for attributes in (' style="overflow:hidden"', ' title="the hidden valley"', " data-x='display:none'", ' data-hidden="1" class=hidden-gem'):
+        assert "hidden" not in html_content.evidence_of("div", attributes)[0], attributes
+    for attributes in (" hidden", ' a="b" HIDDEN class=x', ' hidden=""', ' style="color:red; display : none"'):
+        assert "hidden" in html_content.evidence_of("div", attributes)[0], attributes
+    found, mark = html_content.evidence_of("p", ' class="post main" keep')
+    assert sorted(found) == ["<p", "name:main", "name:post"] and mark == "keep"
+
+
 def test_marginals_are_exact_on_a_small_tree():
     nodes = html_content.parse('<body><div class="content"><p>One two three.</p></div><nav>x</nav></body>')
     model = html_content.model()
