@@ -32,6 +32,9 @@ class Params:
     #: one of so many words ends a piece, one of so many paragraphs a section
     piece: int = 16
     section: int = 4
+    #: of the first words of each paragraph one of fewer ends a piece, so that short texts have several
+    head: int = 64
+    head_piece: int = 4
 
 
 def digest(data: bytes) -> bytes:
@@ -59,8 +62,11 @@ def trees(texts: list[str], params: Params = Params()) -> list[Tree]:
     """Tree of each text; cuts and hashes of all texts are found together."""
     data, offsets = utf8(pa.array(texts, pa.large_string()))
     start, end, _ = runs((~SPACES[data]).astype(np.uint8), offsets)
-    chosen = end[run_hashes(data, start, end) % np.uint64(params.piece) == 0]
-    cuts = np.unique(np.concatenate([offsets[:-1], chosen, np.flatnonzero(data == NEWLINE) + 1]))
+    opens = np.unique(np.concatenate([offsets[:-1], np.flatnonzero(data == NEWLINE) + 1]))
+    before = np.searchsorted(start, opens)  # words before each paragraph
+    nth = np.arange(len(start)) - before[np.searchsorted(opens, start, side="right") - 1]
+    chosen = end[run_hashes(data, start, end) % np.where(nth < params.head, params.head_piece, params.piece).astype(np.uint64) == 0]
+    cuts = np.unique(np.concatenate([opens, chosen]))
     cuts = cuts[cuts < len(data)]
     stops = np.append(cuts[1:], len(data))[: len(cuts)]
     hashes = run_hashes(data, cuts, stops).astype("<u8")

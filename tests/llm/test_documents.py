@@ -111,6 +111,19 @@ def test_trees_tell_where_texts_differ():
     assert merkle.Tree.parse(b.fingerprint) == b and merkle.Tree.parse(merkle.trees([""])[0].fingerprint).sections == []
 
 
+def test_short_texts_are_like_their_edited_text():
+    rng = random.Random(13)
+    found = []
+    for _ in range(200):
+        words = [f"w{rng.randrange(10**6)}" for _ in range(16)]
+        a, b = merkle.trees([" ".join(words), " ".join(words[:8] + [f"w{rng.randrange(10**6)}" for _ in range(8)])])
+        found.append(merkle.likeness(a, b))
+    assert sum(x == 0 for x in found) < 40 and 0.15 < sum(found) / 200 < 0.6
+    long = " ".join(f"x{i}" for i in range(200))
+    a, b = merkle.trees([long + "\nend", "another line\n" + long + "\nend"])
+    assert merkle.likeness(a, b) > 0.9  # equal paragraphs have equal pieces
+
+
 def test_fingerprints_of_edge_rows(edge, edge_rows, none):
     rows = merkle.fingerprints(edge).collect()
     assert Counter((r.doc_id, r.n_chars) for r in rows) == Counter((i, len(t or "")) for i, t, *_ in edge_rows)
