@@ -57,11 +57,11 @@ class Block:
         self.reach = int(np.maximum(np.abs(self.low.astype(np.float64)), np.abs(self.high.astype(np.float64))).max())
 
     def exact(self, reach: int) -> Block:
-        """For anchors of magnitudes up to ``reach``: sums of products below 2**53 are exact as doubles, below 2**63 as integers; beyond, a score is no long."""
+        """For anchors of magnitudes up to ``reach``: sums of products below 2**24 are exact as floats, below 2**53 as doubles, below 2**63 as integers; beyond, a score is no long."""
         most = reach * self.reach * len(self.columns)
         if most >= 1 << 63:
             raise OverflowError("an inner product of these vectors can exceed a long")
-        kind = np.float64 if most < 1 << 53 else np.int64
+        kind = np.float32 if most < 1 << 24 else np.float64 if most < 1 << 53 else np.int64
         if self.columns.dtype != kind:
             self.columns, self.low, self.high = (x.astype(kind) for x in (self.columns, self.low, self.high))
         return self
@@ -80,7 +80,8 @@ def scan(block: Block, anchor: np.ndarray, rows: np.ndarray, cut: Callable[[np.n
     while at < len(q) and len(rows):
         to = min(len(q), max(at + params.stride, params.first))
         own = block.columns[order[at:to]]
-        score = score + q[at:to] @ (own if len(rows) == own.shape[1] else own[:, rows])
+        # columns are read whole while most rows are candidates
+        score = score + ((q[at:to] @ own)[rows] if 2 * len(rows) > own.shape[1] else q[at:to] @ own[:, rows])
         low, high = (rest[0, to], rest[1, to]) if to < len(q) else (0, 0)
         stay = cut(score + low, score + high)
         if not stay.all():
