@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from recurra.llm import bpe, hard_negatives, html_content, merkle, order_minhash, packing, pii, quality_model, quality_rules, secrets, sharding
+from recurra.llm import bpe, hard_negatives, html_content, merkle, order_minhash, packing, pii, quality_model, quality_rules, secrets, sharding, spelling
 from recurra.llm.common import ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -87,3 +87,8 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "embeddings")
     moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     return hard_negatives.mine(rows.withColumn("label", moved), F.col("vec_id") % 50 == 0)
+
+
+@query
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(spelling.count_words(table(spark, sf_dir, "documents"), changed=31))
