@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from recurra.llm import bpe, hard_negatives, html_content, merkle, order_minhash, packing, pii, quality_model, quality_rules, secrets, sharding, spelling
+from recurra.llm import bpe, hard_negatives, html_content, merkle, neighbours, order_minhash, packing, pii, quality_model, quality_rules, secrets, sharding, spelling
 from recurra.llm.common import ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -92,3 +92,8 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(spelling.count_words(table(spark, sf_dir, "documents"), changed=31))
+
+
+@query
+def op12_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
