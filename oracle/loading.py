@@ -1,6 +1,7 @@
 """Statements for files, validation, webhooks, keyed updates and streams."""
 
-from oracle.base import block, check
+from oracle import customers, revenue  # noqa: F401  their statements are used again
+from oracle.base import CHECKS, block, check
 from oracle.revenue import PART_COLS
 
 STAMP = "TIMESTAMP '2001-07-31 06:00:00'"
@@ -58,6 +59,9 @@ check("insert_ignore", f"""SELECT subscription_id, account_id, CASE WHEN status
 check("upsert_partial_columns", f"""SELECT subscription_id, CASE WHEN {LATE} THEN -1 ELSE account_id END AS account_id, CASE WHEN status = 'cancelled' THEN 'closed' ELSE status END AS status,
   CASE WHEN status = 'cancelled' THEN 0 ELSE mrr::double END AS mrr, start_date FROM subs""")
 check("incremental_lookback", f"SELECT account_id, month_start, mrr::double AS mrr, prev_mrr::double AS prev_mrr, mtype AS mrr_movement_type, {PART_COLS} FROM moves")
+for name, full in {"account_months": "account_months", "usage_monthly": "usage_monthly", "ticket_monthly": "ticket_monthly", "health": "fct_account_monthly_health"}.items():
+    check(f"lookback_{name}", CHECKS[full])
+check("stored_exec_summary", CHECKS["exec_revenue_summary"])
 check("stream_webhook_upsert", "SELECT key AS subscription_id, account_id, status, amount AS mrr, plan AS plan_name, seats, start_date AS event_day FROM stripe_sub")
 check("stream_dedupe_events", "SELECT event_id, user_id, event_type, cast(ts AS date) AS day FROM events")
 check("stream_usage_counts", """SELECT account_id, event_day AS day, count(*) AS events, cast(sum(duration_seconds) AS bigint) AS duration_seconds, max(duration_seconds) AS longest_seconds, count(DISTINCT user_id) AS users FROM usage GROUP BY 1, 2""")

@@ -20,21 +20,29 @@ def health_signals(t: Tables, cfg: MetricConfig, as_of: dt.date) -> DataFrame:
     Every input is reduced to (account, month) before it is joined, so the joins
     carry one row per account-month on both sides.
     """
-    moves = mrr_movement_type(t.subscriptions, as_of).select(
+    return joined_signals(
+        mrr_movement_type(t.subscriptions, as_of), t.accounts, usage_monthly(t.usage_events, stg_features(t.features)),
+        ticket_monthly(t.tickets), invoice_monthly(t.invoices), cfg,
+    )
+
+
+def joined_signals(movements: DataFrame, accounts: DataFrame, usage: DataFrame, tickets: DataFrame, invoices: DataFrame, cfg: MetricConfig) -> DataFrame:
+    """Signals from classified paying months and monthly measures."""
+    moves = movements.select(
         "account_id", "month_start", "mrr", "prev_mrr", "plan_name", "seat_utilization_rate", "seats_purchased", "seats_used"
     )
     born = F.col("created_at").cast("date")
-    accounts = t.accounts.select("account_id", *ATTRIBUTES, month_start(born).alias("cohort_start"))
-    usage = usage_flags(usage_monthly(t.usage_events, stg_features(t.features)), cfg).select(
+    accounts = accounts.select("account_id", *ATTRIBUTES, month_start(born).alias("cohort_start"))
+    usage = usage_flags(usage, cfg).select(
         "account_id", "month_start", "total_events", "active_users", "total_sessions", "distinct_features_used",
         "feature_adoption_score", "active_days_in_month", "last_active_date", "days_since_last_activity",
         "usage_intensity", "has_usage_drop_flag", "has_no_login_flag", "events_mom_pct_change",
     )
-    support = ticket_burden(ticket_monthly(t.tickets), cfg).select(
+    support = ticket_burden(tickets, cfg).select(
         "account_id", "month_start", "total_tickets", "open_tickets", "unresolved_high_priority", "avg_csat_score",
         "support_burden_score", "support_health_score", "has_high_priority_flag", "has_low_csat_flag", "escalation_rate",
     )
-    paid = invoice_monthly(t.invoices).select("account_id", "month_start", "failed_payments")
+    paid = invoices.select("account_id", "month_start", "failed_payments")
     keys = ["account_id", "month_start"]
     joined = (
         moves.join(accounts, "account_id")

@@ -6,7 +6,6 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, functions as F
 
-from recurra.operators.mrr import account_month_mrr, classify, with_churn_rows
 from recurra.operators.silver import latest_per_key
 
 
@@ -56,29 +55,14 @@ def upsert_partial_columns(target: DataFrame, changes: DataFrame, keys: list[str
     return joined.select(*[F.col(c) if c in keys else value(c) for c in target.columns])
 
 
-def refreshed_months(existing: DataFrame, subscriptions: DataFrame, as_of: dt.date, lookback: int = 2) -> DataFrame:
-    """Movement rows from ``lookback`` months before the newest stored month on.
+def first_paid_months(months: DataFrame, known: DataFrame | None = None, since: dt.date | None = None) -> DataFrame:
+    """State (account_id, first_paid) of a mart of account-months: when each account first paid.
 
-    The source is cut to those months plus one for the comparison with the month
-    before; whether an account paid earlier comes from the stored rows.
+    With ``known``, ``months`` holds the rows from ``since`` on only: what the state says about
+    earlier months stays, the rest follows from the rows, so corrected months count and no history is read.
     """
-    newest = existing.select(F.max("month_start"))
-    since = newest.select(F.add_months(F.col("max(month_start)"), -lookback - 1)).scalar()
-    cutoff = newest.select(F.add_months(F.col("max(month_start)"), -lookback)).scalar()
-    payers = (
-        existing.where((F.col("month_start") < since) & (F.col("mrr") > 0))
-        .groupBy("account_id")
-        .agg(F.lit(True).alias("paid_earlier"))
-    )
-    paying = account_month_mrr(subscriptions, as_of, since).where(F.col("mrr") > 0)
-    known = paying.join(payers, "account_id", "left")
-    labelled = classify(known, F.coalesce("paid_earlier", F.lit(False)))
-    return with_churn_rows(labelled, as_of).where(F.col("month_start") >= cutoff)
-
-
-def incremental_movements(existing: DataFrame, subscriptions: DataFrame, as_of: dt.date, lookback: int = 2) -> DataFrame:
-    """Stored rows before the cut-off and recomputed rows from it on."""
-    newest = existing.select(F.max("month_start"))
-    cutoff = newest.select(F.add_months(F.col("max(month_start)"), -lookback)).scalar()
-    fresh = refreshed_months(existing, subscriptions, as_of, lookback)
-    return existing.where(F.col("month_start") < cutoff).unionByName(fresh)
+    first = months.where(F.col("mrr") > 0).groupBy("account_id").agg(F.min("month_start").alias("first_paid"))
+    if known is None:
+        return first
+    kept = known.where(F.col("first_paid") < F.lit(since))
+    return kept.unionByName(first.join(kept, "account_id", "left_anti"))

@@ -207,11 +207,12 @@ def invoice_monthly(invoices: DataFrame) -> DataFrame:
 
 def fct_mrr_movements(t: Tables, cfg: MetricConfig, as_of: dt.date) -> DataFrame:
     """Account-month movements with account attributes and payment counts."""
+    return movement_facts(movement_rows(t.subscriptions, as_of), t.accounts, invoice_monthly(t.invoices))
+
+
+def movement_facts(rows: DataFrame, accounts: DataFrame, paid: DataFrame) -> DataFrame:
     # the accounts join comes first: the window left rows hashed on account_id
-    rows = movement_rows(t.subscriptions, as_of).join(
-        t.accounts.select("account_id", *ATTRIBUTES), "account_id", "left"
-    )
-    paid = invoice_monthly(t.invoices)
+    rows = rows.join(accounts.select("account_id", *ATTRIBUTES), "account_id", "left")
     joined = rows.join(paid, ["account_id", "month_start"], "left")
     zero = F.lit(0)
     return joined.select(

@@ -43,9 +43,10 @@ def day_spine(dates: DataFrame, column: str, as_of: dt.date) -> DataFrame:
     return days.select("full_date", F.year("full_date").alias("year"), F.quarter("full_date").alias("quarter"), F.month("full_date").alias("month"))
 
 
-def account_months(accounts: DataFrame, as_of: dt.date) -> DataFrame:
+def account_months(accounts: DataFrame, as_of: dt.date, since: Column | None = None) -> DataFrame:
+    """One row for each account and month since its creation, or since a month if one is given."""
     born = F.col("created_at").cast("date")
-    grid = with_months(accounts, born, day(as_of))
+    grid = with_months(accounts, born if since is None else F.greatest(born, since), day(as_of))
     cohort = month_start(born)
     return grid.select(
         surrogate_key("account_id", month_key("month_start")).alias("account_month_key"),

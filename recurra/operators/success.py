@@ -83,9 +83,9 @@ def conversion_context(rows: DataFrame) -> DataFrame:
     )
 
 
-def customer_success_summary(t: Tables, cfg: MetricConfig, as_of: dt.date) -> DataFrame:
-    """One row per account: all inputs are already keyed by account_id before the joins."""
-    latest = recent_states(fct_account_monthly_health(t, cfg, as_of))
+def customer_success_summary(t: Tables, cfg: MetricConfig, as_of: dt.date, health: DataFrame | None = None) -> DataFrame:
+    """One row per account: all inputs are already keyed by account_id before the joins. ``health`` is the stored health mart."""
+    latest = recent_states(fct_account_monthly_health(t, cfg, as_of) if health is None else health)
     cohort = cohort_context(cohort_rows(t, as_of)).drop("cohort_month")
     joined = (
         latest.join(account_lifetime(t.subscriptions), "account_id", "left")

@@ -1,5 +1,6 @@
 """Registered queries: files, validation, webhooks, keyed updates, streams, stored marts."""
 
+import dataclasses
 import datetime as dt
 
 from pyspark.sql import functions as F
@@ -7,6 +8,7 @@ from pyspark.sql import functions as F
 from recurra.functions.expr import rounded
 from recurra.operators import incremental as inc, mrr, quality as dq, spine
 from recurra.plans import models
+from recurra.plans.store import MartStore
 from recurra.plans.registry import AS_OF, CFG, Source, query
 from recurra.session import scratch_path
 from recurra.sources import adapter, files, ingest, webhooks
@@ -349,16 +351,56 @@ def _partial(s):
     return inc.upsert_partial_columns(target, repeated, ["subscription_id"], ["status", "mrr"], "_loaded_at")
 
 
+EARLY = dt.date(2001, 5, 31)
+
+
+def lookback_store(s: Source, models_: list[str]) -> MartStore:
+    """Marts built in full two months ago from what was there then, and refreshed to the present by a look-back build."""
+    t, before = s.t, lambda rows, column: rows.where(F.col(column).cast("date") <= EARLY)
+    early = dataclasses.replace(
+        t, accounts=before(t.accounts, "created_at"), subscriptions=before(t.subscriptions, "start_date"), invoices=before(t.invoices, "invoice_date"),
+        usage_events=before(t.usage_events, "occurred_at"), tickets=before(t.tickets, "created_at"))
+    out = scratch_path(s.spark, "marts")
+    models.build(s.spark, early, CFG, EARLY, out, models_, full_refresh=True)
+    models.build(s.spark, t, CFG, AS_OF, out, models_)
+    return MartStore(s.spark, out)
+
+
 @query("incremental_lookback")
 def _lookback(s):
-    """Rows stored two months ago, refreshed to the present."""
-    path = scratch_path(s.spark, "movements")
-    files.write_full_refresh(mrr.movement_rows(s.t.subscriptions, dt.date(2001, 5, 31)), path, "month_start")
-    existing = s.spark.read.parquet(path)
-    out = inc.incremental_movements(existing, s.t.subscriptions, AS_OF)
+    out = lookback_store(s, ["+mrr_movement_rows"]).read("mrr_movement_rows")
     return out.select("account_id", "month_start", "mrr", "prev_mrr", "mrr_movement_type", *mrr.COMPONENTS)
 
 
+query("lookback_account_months")(lambda s: lookback_store(s, ["account_months"]).read("account_months"))
+
+
+@query("lookback_usage_monthly")
+def _lookback_usage(s):
+    out = lookback_store(s, ["usage_monthly"]).read("usage_monthly")
+    return out.withColumns({c: rounded(F.col(c), 4) for c in ("avg_session_duration_seconds", "avg_events_per_active_day")})
+
+
+@query("lookback_ticket_monthly")
+def _lookback_tickets(s):
+    rates = dict(avg_csat_score=4, avg_resolution_hours=4, avg_first_response_hours=4, escalation_rate=6, resolution_rate=6)
+    out = lookback_store(s, ["ticket_monthly"]).read("ticket_monthly")
+    return out.withColumns({c: rounded(F.col(c), k) for c, k in rates.items()})
+
+
+@query("lookback_health")
+def _lookback_health(s):
+    digits = dict(csat_score=4, seat_utilization_rate=6, events_mom_pct_change=6, avg_csat_score=4, escalation_rate=6)
+    out = lookback_store(s, ["+fct_account_monthly_health"]).read("fct_account_monthly_health")
+    return out.withColumns({c: rounded(F.col(c), k) for c, k in digits.items()})
+
+
+@query("stored_exec_summary")
+def _stored_exec(s):
+    """The executive mart from stored movements, these from a look-back build."""
+    return lookback_store(s, ["+exec_revenue_summary"]).read("exec_revenue_summary")
+
+
 # streams
 @query("stream_webhook_upsert")
 def _stream_webhook(s):
@@ -399,5 +441,6 @@ query("stream_usage_counts")(
 @query("full_refresh")
 def _refresh(s):
     out = scratch_path(s.spark, "marts")
-    models.build(s.spark, s.t, CFG, dt.date(2001, 5, 31), out, ["exec_waterfall"], full_refresh=True)
-    return models.build(s.spark, s.t, CFG, AS_OF, out, ["exec_waterfall"])["exec_waterfall"]
+    models.build(s.spark, s.t, CFG, EARLY, out, ["+exec_waterfall"], full_refresh=True)
+    models.build(s.spark, s.t, CFG, AS_OF, out, ["+exec_waterfall"])
+    return MartStore(s.spark, out).read("exec_waterfall")

@@ -1,84 +1,213 @@
-"""Stored marts: which frames each one reads, and a full or look-back build of them."""
+"""Stored marts: a graph of models, their selection, and full or look-back builds.
+
+A monthly model can be built for its last months only: from sources filtered to those
+months and from the stored rows of the models that it reads. What reaches further back is
+kept as state, the first paid month and the last usage of every account, so no history is read
+again.
+"""
 
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
+from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from recurra.config import MetricConfig, Tables
-from recurra.operators import cohorts, funnel, health, incremental, mrr, success
-from recurra.sources.files import write_full_refresh, write_partitions
-
-UPSTREAM = {
-    "mrr_movement_rows": [],
-    "fct_account_monthly_health": [],
-    "fct_customer_cohorts": [],
-    "fct_sales_conversion": [],
-    "exec_waterfall": ["mrr_movement_rows"],
-    "cs_monthly_rollup": ["fct_account_monthly_health"],
-}
-BY_MONTH = {"mrr_movement_rows", "fct_account_monthly_health"}
-
-
-def stored(spark: SparkSession, out: str, name: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(f"{out}/{name}")
-    except AnalysisException as exc:
-        if "PATH_NOT_FOUND" in str(exc):
-            return None
-        raise
-
-
-def selected(models: list[str] | None) -> list[str]:
-    """Requested models with everything they read, in reading order."""
-    wanted: list[str] = []
-
-    def add(name: str) -> None:
-        for up in UPSTREAM[name]:
-            add(up)
-        if name not in wanted:
-            wanted.append(name)
-
-    for name in models or list(UPSTREAM):
-        add(name)
-    return wanted
-
-
-def frame(name: str, t: Tables, cfg: MetricConfig, as_of: dt.date, read) -> DataFrame:
-    if name == "mrr_movement_rows":
-        return mrr.movement_rows(t.subscriptions, as_of)
-    if name == "fct_account_monthly_health":
-        return health.fct_account_monthly_health(t, cfg, as_of)
-    if name == "fct_customer_cohorts":
-        return cohorts.fct_customer_cohorts(cohorts.cohort_rows(t, as_of))
-    if name == "fct_sales_conversion":
-        return funnel.fct_sales_conversion(t)
-    if name == "exec_waterfall":
-        from recurra.operators.reports import mrr_waterfall
-        from pyspark.sql import functions as F
-
-        rows = read("mrr_movement_rows")
-        return mrr_waterfall(rows.withColumn("is_churned", F.col("mrr_movement_type") == "churned"))
-    return success.cs_monthly_rollup(read("fct_account_monthly_health"))
+from recurra.operators import cohorts, funnel, health, mrr, spine, success, support, usage
+from recurra.operators.incremental import first_paid_months
+from recurra.operators.reports import mrr_waterfall
+from recurra.operators.silver import latest_per_key
+from recurra.operators.staging import stg_features
+from recurra.plans.store import Draft, MartStore, Version, shifted
+
+
+@dataclass
+class Context:
+    """What a model is built from: source tables, stored models, and the first month to build, None for all."""
+
+    t: Tables
+    cfg: MetricConfig
+    as_of: dt.date
+    draft: Draft
+    since: dt.date | None
+    lookback: int
+
+    def whole(self, name: str) -> DataFrame:
+        rows = self.draft.read(name)
+        if rows is None:
+            raise LookupError(f"{name} has not been built; select its upstream models too")
+        return rows
+
+    def stored(self, name: str, months_before: int = 0) -> DataFrame:
+        """A stored model; if only the last months are built, its rows from so many months before them on."""
+        rows = self.whole(name)
+        if self.since is None or not MODELS[name].monthly:
+            return rows
+        return rows.where(F.col("month_start") >= F.lit(shifted(self.since, -months_before)))
+
+    def recent(self, rows: DataFrame, day: Column) -> DataFrame:
+        return rows if self.since is None else rows.where(day >= F.lit(self.since))
+
+
+@dataclass(frozen=True)
+class Model:
+    build: Callable[[Context], DataFrame]
+    upstream: tuple[str, ...] = ()
+    monthly: bool = False
+
+
+MODELS: dict[str, Model] = {}
+
+
+def model(name: str, *upstream: str, monthly: bool = False):
+    def register(fn: Callable[[Context], DataFrame]):
+        MODELS[name] = Model(fn, upstream, monthly)
+        return fn
+
+    return register
+
+
+@model("account_months", monthly=True)
+def _account_months(c: Context) -> DataFrame:
+    return spine.account_months(c.t.accounts, c.as_of, c.since and F.lit(c.since))
+
+
+@model("subscription_mrr", monthly=True)
+def _subscription_mrr(c: Context) -> DataFrame:
+    return mrr.account_month_mrr(c.t.subscriptions, c.as_of, c.since and F.lit(c.since))
+
+
+@model("usage_monthly", monthly=True)
+def _usage(c: Context) -> DataFrame:
+    return usage.usage_monthly(c.recent(c.t.usage_events, F.col("occurred_at")), stg_features(c.t.features))
+
+
+@model("ticket_monthly", monthly=True)
+def _tickets(c: Context) -> DataFrame:
+    return support.ticket_monthly(c.recent(c.t.tickets, F.col("created_at")))
+
+
+@model("invoice_monthly", monthly=True)
+def _invoices(c: Context) -> DataFrame:
+    return mrr.invoice_monthly(c.recent(c.t.invoices, F.col("invoice_date")))
+
+
+def usage_before(c: Context, month: dt.date) -> DataFrame:
+    """The newest usage row of each account before ``month``: from the state, and from the stored months that it does not cover."""
+    rows = c.whole("usage_monthly")
+    state = c.draft.store.read("usage_last", c.draft.before) if c.since else None
+    covered = state.select(F.max("covered")).scalar() if state is not None else F.lit(None).cast("date")
+    known = F.coalesce(covered <= F.lit(month), F.lit(False))
+    # a state that reaches beyond the month says nothing about it: then all months are read
+    older = rows.where((F.col("month_start") < F.lit(month)) & (~known | (F.col("month_start") >= covered)))
+    found = older if state is None else older.unionByName(state.drop("covered").where(known))
+    return latest_per_key(found, ["account_id"], "month_start").select(*rows.columns)
+
+
+@model("usage_last", "usage_monthly")
+def _usage_last(c: Context) -> DataFrame:
+    """State: the newest usage row of each account before the first month that the next look-back can reach."""
+    month = max(filter(None, (c.since, shifted(c.as_of, -c.lookback))))
+    return usage_before(c, month).withColumn("covered", F.lit(month))
+
+
+@model("payers", "subscription_mrr")
+def _payers(c: Context) -> DataFrame:
+    return first_paid_months(c.stored("subscription_mrr"), c.draft.read("payers") if c.since else None, c.since)
+
+
+def classified(c: Context) -> DataFrame:
+    """Paying account-months with their movement: with one month more before the look-back, and the state for all older ones."""
+    paying = c.stored("subscription_mrr", 1).where(F.col("mrr") > 0)
+    if c.since is None:
+        return mrr.classify(paying)
+    earlier = c.stored("payers").where(F.col("first_paid") < F.lit(shifted(c.since, -1))).select("account_id", F.lit(True).alias("paid_earlier"))
+    return mrr.classify(paying.join(earlier, "account_id", "left"), F.coalesce("paid_earlier", F.lit(False)))
+
+
+@model("mrr_movement_rows", "subscription_mrr", "payers", monthly=True)
+def _movement_rows(c: Context) -> DataFrame:
+    return mrr.with_churn_rows(classified(c), c.as_of)
+
+
+@model("fct_mrr_movements", "mrr_movement_rows", "invoice_monthly", monthly=True)
+def _movements(c: Context) -> DataFrame:
+    return mrr.movement_facts(c.stored("mrr_movement_rows"), c.t.accounts, c.stored("invoice_monthly"))
+
+
+@model("fct_account_monthly_health", "subscription_mrr", "payers", "usage_monthly", "usage_last", "ticket_monthly", "invoice_monthly", monthly=True)
+def _health(c: Context) -> DataFrame:
+    rows = c.stored("usage_monthly")
+    if c.since:
+        # usage changes against the account's last month with usage, however long ago
+        rows = rows.unionByName(usage_before(c, c.since))
+    signals = health.joined_signals(classified(c), c.t.accounts, rows, c.stored("ticket_monthly"), c.stored("invoice_monthly"), c.cfg)
+    return health.score_health(health.health_components(signals), c.cfg)
+
+
+model("fct_customer_cohorts")(lambda c: cohorts.fct_customer_cohorts(cohorts.cohort_rows(c.t, c.as_of)))
+model("fct_sales_conversion")(lambda c: funnel.fct_sales_conversion(c.t))
+model("cs_monthly_rollup", "fct_account_monthly_health")(lambda c: success.cs_monthly_rollup(c.whole("fct_account_monthly_health")))
+model("exec_revenue_summary", "fct_mrr_movements")(lambda c: mrr.exec_rates(mrr.exec_monthly(c.whole("fct_mrr_movements"))))
+model("customer_success_summary", "fct_account_monthly_health")(
+    lambda c: success.customer_success_summary(c.t, c.cfg, c.as_of, c.whole("fct_account_monthly_health")))
+
+
+@model("exec_waterfall", "mrr_movement_rows")
+def _waterfall(c: Context) -> DataFrame:
+    return mrr_waterfall(c.whole("mrr_movement_rows").withColumn("is_churned", F.col("mrr_movement_type") == "churned"))
+
+
+def upstream_of(name: str) -> set[str]:
+    return {name}.union(*[upstream_of(u) for u in MODELS[name].upstream])
+
+
+def selected(models: list[str] | None = None) -> list[str]:
+    """Models to build in the order of their dependencies.
+
+    ``name`` is that model alone, ``+name`` also all that it reads, ``name+`` all that read it; None means all.
+    """
+    wanted: set[str] = set(MODELS) if models is None else set()
+    for item in models or []:
+        name = item.strip("+")
+        if name not in MODELS:
+            raise KeyError(f"no model {name}")
+        wanted |= {name}
+        if item.startswith("+"):
+            wanted |= upstream_of(name)
+        if item.endswith("+"):
+            wanted |= {m for m in MODELS if name in upstream_of(m)}
+    order: list[str] = []
+
+    def place(name: str) -> None:
+        for up in MODELS[name].upstream:
+            place(up)
+        if name in wanted and name not in order:
+            order.append(name)
+
+    for name in MODELS:
+        place(name)
+    return order
 
 
 def build(
     spark: SparkSession, t: Tables, cfg: MetricConfig, as_of: dt.date, out: str,
-    models: list[str] | None = None, full_refresh: bool = False,
-) -> dict[str, DataFrame]:
-    """Write the selected marts and return them as stored frames.
+    models: list[str] | None = None, full_refresh: bool = False, lookback: int = 2,
+) -> Version:
+    """Write the selected models and publish them as one version.
 
-    Downstream marts read the stored upstream ones, so nothing is computed twice.
-    Without ``full_refresh`` the movement rows only replace their last months.
+    Without ``full_refresh`` a monthly model that is stored already is built from ``lookback`` months
+    before its newest month on; older months stay as they are. An error leaves the version before in place.
     """
-    read = lambda name: stored(spark, out, name)
-    for name in selected(models):
-        path = f"{out}/{name}"
-        existing = None if full_refresh else stored(spark, out, name)
-        if name == "mrr_movement_rows" and existing is not None:
-            write_partitions(incremental.refreshed_months(existing, t.subscriptions, as_of), path, "month_start")
-        else:
-            write_full_refresh(frame(name, t, cfg, as_of, read), path, "month_start" if name in BY_MONTH else None)
-    return {name: read(name) for name in selected(models)}
+    store = MartStore(spark, out)
+    draft = store.draft(store.current())
+    # one first month for all models of a build, so that each finds the months that it reads
+    chosen = selected(models)
+    stored_already = [draft.newest(m) for m in chosen if MODELS[m].monthly]
+    since = None if full_refresh or not stored_already or None in stored_already else shifted(min(stored_already), -lookback)
+    for name in chosen:
+        rows = MODELS[name].build(Context(t, cfg, as_of, draft, since, lookback))
+        draft.write(name, rows, MODELS[name].monthly, since if MODELS[name].monthly else None)
+    return draft.publish()
