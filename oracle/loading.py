@@ -35,14 +35,14 @@ block("stripe_sub", """SELECT 'sub_' || subscription_id AS key, account_id::varc
   CASE WHEN subscription_id % 5 = 0 THEN 'Stripe Plan' ELSE plan_name END AS plan, CASE WHEN subscription_id % 5 <> 0 AND subscription_id % 3 = 0 THEN 'annual' ELSE 'monthly' END AS every,
   cast(CASE WHEN subscription_id % 6 = 0 THEN 1 ELSE seats_purchased END AS integer) AS seats, start_date, end_date FROM subs WHERE subscription_id % 4 <> 3""")
 check("stripe_events_normalize", """SELECT 'subscription' AS kind, key, account_id, amount, status, concat_ws('/', plan_id, plan, every, seats) AS label, start_date AS starts, end_date AS ends FROM stripe_sub
-  UNION ALL SELECT 'invoice', invoice_id, account_id::varchar, amount::double, status, concat_ws('/', 'sub_' || subscription_id, 'USD', 'card', 1), invoice_date, paid_date FROM inv WHERE status <> 'pending'
+  UNION ALL SELECT 'invoice', invoice_id, account_id::varchar, amount::double, status, concat_ws('/', 'sub_' || subscription_id, 'USD', CASE WHEN account_id % 5 = 0 THEN 'sepa' ELSE 'card' END, CASE WHEN account_id % 4 = 0 THEN 3 ELSE 1 END), invoice_date, paid_date FROM inv WHERE status <> 'pending'
   UNION ALL SELECT 'account', account_id::varchar, account_id::varchar, NULL, 'stripe', concat_ws('/', CASE WHEN account_id % 3 = 0 THEN 'Unknown Company' ELSE company_name END, country), created_day, NULL FROM accounts_raw
   UNION ALL SELECT 'unprocessed', 'evt_s' || subscription_id, NULL, NULL, NULL, 'customer.tax_id.created', NULL, NULL FROM subs WHERE subscription_id % 4 = 3
   UNION ALL SELECT 'unprocessed', 'evt_i' || invoice_id, NULL, NULL, NULL, 'invoice.created', NULL, NULL FROM inv WHERE status = 'pending'""")
 check("chargebee_events_normalize", """SELECT 'subscription' AS kind, 'cb_' || subscription_id AS key, account_id::varchar AS account_id, mrr::double AS amount, CASE WHEN subscription_id % 4 = 2 THEN 'canceled' ELSE 'active' END AS status,
   concat_ws('/', plan_name, CASE WHEN subscription_id % 5 = 0 THEN plan_name ELSE upper(plan_name) END, CASE WHEN subscription_id % 3 = 0 THEN 'annual' ELSE 'monthly' END,
-    CASE WHEN subscription_id % 6 = 0 THEN 1 ELSE seats_purchased END) AS label, start_date AS starts FROM subs WHERE subscription_id % 4 <> 3
-  UNION ALL SELECT 'invoice', invoice_id, account_id::varchar, (CASE WHEN amount > 5000 THEN amount ELSE round(cast(amount / 100 AS decimal(18,6)), 2) END)::double, status, 'USD/card', invoice_date FROM inv WHERE status <> 'pending'
+    CASE WHEN subscription_id % 6 = 0 THEN 1 ELSE seats_purchased END, CASE WHEN status = 'trial' THEN start_date END, CASE WHEN status = 'trial' THEN start_date + 14 END) AS label, start_date AS starts FROM subs WHERE subscription_id % 4 <> 3
+  UNION ALL SELECT 'invoice', invoice_id, account_id::varchar, (CASE WHEN amount > 5000 THEN amount ELSE round(cast(amount / 100 AS decimal(18,6)), 2) END)::double, status, 'USD/card/1', invoice_date FROM inv WHERE status <> 'pending'
   UNION ALL SELECT 'unprocessed', 'ev_' || subscription_id, NULL, NULL, NULL, 'card_added', NULL FROM subs WHERE subscription_id % 4 = 3
   UNION ALL SELECT 'unprocessed', 'ev_i' || invoice_id, NULL, NULL, NULL, 'invoice_generated', NULL FROM inv WHERE status = 'pending'""")
 
@@ -62,7 +62,14 @@ check("incremental_lookback", f"SELECT account_id, month_start, mrr::double AS m
 for name, full in {"account_months": "account_months", "usage_monthly": "usage_monthly", "ticket_monthly": "ticket_monthly", "health": "fct_account_monthly_health"}.items():
     check(f"lookback_{name}", CHECKS[full])
 check("stored_exec_summary", CHECKS["exec_revenue_summary"])
-check("stream_webhook_upsert", "SELECT key AS subscription_id, account_id, status, amount AS mrr, plan AS plan_name, seats, start_date AS event_day FROM stripe_sub")
+check("stream_webhook_upsert", """SELECT 'evt_s' || subscription_id AS event_id, 'sub_' || subscription_id AS subscription_id, s.account_id, plan_id, plan AS plan_name, s.status, amount AS mrr, (cast(mrr AS decimal(14,2)) * 12)::double AS arr,
+  s.seats, s.start_date AS started_at, s.end_date AS canceled_at, CASE WHEN b.status = 'trial' THEN s.start_date END AS trial_started_at, CASE WHEN b.status = 'trial' THEN s.start_date + 14 END AS trial_ended_at, every AS billing_interval
+  FROM stripe_sub s JOIN subs b ON key = 'sub_' || subscription_id""")
+check("stream_webhook_invoices", f"""SELECT 'evt_i' || invoice_id AS event_id, invoice_id, account_id::varchar AS account_id, 'sub_' || subscription_id AS subscription_id, amount::double AS amount, 'USD' AS currency, status,
+  CASE WHEN account_id % 5 = 0 THEN 'sepa' ELSE 'card' END AS payment_method, cast(CASE WHEN account_id % 4 = 0 THEN 3 ELSE 1 END AS integer) AS attempt_count, invoice_date, due_date, paid_date AS paid_at,
+  CASE WHEN status = 'failed' THEN cast({STAMP} AS date) END AS failed_at, invoice_date AS created_at FROM inv WHERE status <> 'pending'""")
+check("stream_webhook_accounts", """SELECT 'evt_a' || account_id AS event_id, account_id::varchar AS account_id, CASE WHEN account_id % 3 = 0 THEN 'Unknown Company' ELSE company_name END AS company_name, 'stripe' AS acquisition_channel,
+  CASE WHEN account_id % 3 <> 0 THEN company_name END AS account_owner, CASE WHEN account_id % 2 = 0 THEN 'https://' || account_id || '.example' END AS website, country, created_day AS created_at FROM accounts_raw""")
 check("stream_dedupe_events", "SELECT event_id, user_id, event_type, cast(ts AS date) AS day FROM events")
 check("stream_usage_counts", """SELECT account_id, event_day AS day, count(*) AS events, cast(sum(duration_seconds) AS bigint) AS duration_seconds, max(duration_seconds) AS longest_seconds, count(DISTINCT user_id) AS users FROM usage GROUP BY 1, 2""")
 check("full_refresh", """SELECT month_start, sum(new_mrr)::double AS new_mrr, sum(expansion_mrr)::double AS expansion_mrr, sum(contraction_mrr)::double AS contraction_mrr, sum(churned_mrr)::double AS churned_mrr,

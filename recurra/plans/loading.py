@@ -155,6 +155,8 @@ def stripe_bodies(s: Source):
                         F.struct(F.array(F.struct(F.struct(F.concat(F.lit("price_"), "plan_id").alias("id"), price.alias("unit_amount")).alias("price"))).alias("data")).alias("items"),
                         F.when(k % 6 != 0, F.col("seats_purchased")).alias("quantity"), epoch(F.col("start_date")).alias("start_date"),
                         epoch(F.col("end_date")).alias("current_period_end"),
+                        F.when(F.col("status") == "trial", epoch(F.col("start_date"))).alias("trial_start"),
+                        F.when(F.col("status") == "trial", epoch(F.date_add("start_date", 14))).alias("trial_end"),
                     ).alias("object")
                 ).alias("data"),
             )
@@ -170,7 +172,8 @@ def stripe_bodies(s: Source):
                 F.struct(
                     F.struct(
                         F.col("invoice_id").alias("id"), F.col("account_id").cast("string").alias("customer"), F.concat(F.lit("sub_"), "subscription_id").alias("subscription"),
-                        cents.alias("amount_due"), F.lit("usd").alias("currency"), epoch(F.col("invoice_date")).alias("created"),
+                        cents.alias("amount_due"), F.lit("usd").alias("currency"), epoch(F.col("invoice_date")).alias("created"), epoch(F.col("due_date")).alias("due_date"),
+                        F.when(F.col("account_id") % 4 == 0, F.lit(3)).alias("attempt_count"), F.when(F.col("account_id") % 5 == 0, F.struct(F.array(F.lit("sepa"), F.lit("card")).alias("payment_method_types"))).alias("payment_settings"),
                         F.struct(epoch(F.col("paid_date")).alias("paid_at")).alias("status_transitions"),
                     ).alias("object")
                 ).alias("data"),
@@ -185,6 +188,7 @@ def stripe_bodies(s: Source):
                     F.struct(
                         F.col("account_id").cast("string").alias("id"), F.when(F.col("account_id") % 3 != 0, F.col("company_name")).alias("name"),
                         F.struct(F.col("country").alias("country")).alias("address"), epoch(F.col("created_at")).alias("created"),
+                        F.when(F.col("account_id") % 2 == 0, F.struct(F.concat(F.lit("https://"), "account_id", F.lit(".example")).alias("website"))).alias("metadata"),
                     ).alias("object")
                 ).alias("data"),
             )
@@ -235,6 +239,7 @@ def _chargebee(s):
                         F.concat(F.lit("cb_"), k).alias("id"), F.col("account_id").cast("string").alias("customer_id"), "plan_id",
                         (F.col("mrr") * 100).cast("bigint").alias("mrr"), F.when(k % 6 != 0, F.col("seats_purchased")).alias("plan_quantity"),
                         epoch(F.col("start_date")).alias("started_at"), F.when(k % 3 == 0, "year").otherwise("month").alias("billing_period_unit"),
+                        F.when(F.col("status") == "trial", epoch(F.col("start_date"))).alias("trial_start"), F.when(F.col("status") == "trial", epoch(F.date_add("start_date", 14))).alias("trial_end"),
                     ).alias("subscription"),
                     F.when(k % 5 != 0, F.struct(F.upper("plan_name").alias("name"))).alias("plan"),
                 ).alias("content"),
@@ -265,9 +270,9 @@ def _chargebee(s):
     return dq.union_all(
         [
             a.select(F.lit("subscription").alias("kind"), F.col("subscription_id").alias("key"), "account_id", F.col("mrr").cast("double").alias("amount"), "status",
-                     F.concat_ws("/", "plan_id", "plan_name", "billing_interval", text("seats")).alias("label"), F.col("started_at").cast("date").alias("starts")),
+                     F.concat_ws("/", "plan_id", "plan_name", "billing_interval", text("seats"), F.col("trial_started_at").cast("date").cast("string"), F.col("trial_ended_at").cast("date").cast("string")).alias("label"), F.col("started_at").cast("date").alias("starts")),
             b.select(F.lit("invoice").alias("kind"), F.col("invoice_id").alias("key"), "account_id", F.col("amount").cast("double").alias("amount"), "status",
-                     F.concat_ws("/", "currency", "payment_method").alias("label"), F.col("invoice_date").alias("starts")),
+                     F.concat_ws("/", "currency", "payment_method", text("attempt_count")).alias("label"), F.col("invoice_date").alias("starts")),
             parsed.where(~F.col("processed")).select(
                 F.lit("unprocessed").alias("kind"), F.col("event_id").alias("key"), none.cast("string").alias("account_id"), none.cast("double").alias("amount"),
                 none.cast("string").alias("status"), F.col("event_type").alias("label"), none.cast("date").alias("starts"),
@@ -402,14 +407,30 @@ def _stored_exec(s):
 
 
 # streams
+def webhook_stream(s: Source) -> dict:
+    """All billing events in four mixed files, each event twice and in two batches, as providers retry."""
+    subs, inv, acc = stripe_bodies(s)
+    folder = scratch_path(s.spark, "bodies")
+    bodies = subs.unionByName(inv).unionByName(acc)
+    older = F.regexp_replace("body", '"status":"[a-z_]*"', '"status":"stale"')
+    # before the event itself comes an older one of the same object
+    stale = subs.select(F.regexp_replace(older, '"created":[0-9]+', '"created":86400').alias("body"))
+    everything = bodies.unionByName(bodies).unionByName(stale)
+    everything.repartition(4).write.text(folder)
+    return changes.stream_webhooks(s.spark, folder, NOW)
+
+
+def days(df, *names):
+    return df.withColumns({n: F.col(n).cast("date") for n in names}).drop("event_at")
+
+
 @query("stream_webhook_upsert")
 def _stream_webhook(s):
-    subs, _, _ = stripe_bodies(s)
-    folder = scratch_path(s.spark, "bodies")
-    # every event also arrives a second time, as providers retry
-    subs.unionByName(subs).write.text(folder)
-    out = changes.stream_webhook_upsert(s.spark, folder, NOW)
-    return out.select("subscription_id", "account_id", "status", "mrr", "plan_name", "seats", F.col("event_at").cast("date").alias("event_day"))
+    return days(webhook_stream(s)["subscription"], "started_at", "canceled_at", "trial_started_at", "trial_ended_at")
+
+
+query("stream_webhook_invoices")(lambda s: days(webhook_stream(s)["invoice"], "paid_at", "failed_at", "created_at"))
+query("stream_webhook_accounts")(lambda s: days(webhook_stream(s)["account"], "created_at"))
 
 
 def table_stream(spark, path: str, schema):

@@ -25,6 +25,7 @@ STRIPE_SCHEMA = """
     amount_due: string, currency: string, due_date: string, attempt_count: string, created: string,
     status_transitions: struct<paid_at: string>,
     payment_settings: struct<payment_method_types: array<string>>,
+    metadata: struct<website: string>,
     address: struct<country: string>>>
 """
 
@@ -106,6 +107,7 @@ def _invoice(now: Column) -> list[Column]:
         epoch_seconds(F.col("o.due_date")).cast("date").alias("due_date"),
         F.when(paid, epoch_seconds(F.col("o.status_transitions.paid_at"))).alias("paid_at"),
         F.when(~paid, now).alias("failed_at"),
+        F.coalesce(epoch_seconds(F.col("o.created")), now).alias("created_at"),
     ]
 
 
@@ -114,6 +116,8 @@ def _account(now: Column) -> list[Column]:
         F.coalesce("o.id", F.concat(F.lit("cust_"), "event_id")).alias("account_id"),
         F.coalesce(filled(F.col("o.name")), filled(F.col("o.description")), F.lit("Unknown Company")).alias("company_name"),
         F.lit("stripe").alias("acquisition_channel"),
+        filled(F.col("o.name")).alias("account_owner"),
+        filled(F.col("o.metadata.website")).alias("website"),
         F.col("o.address.country").alias("country"),
         F.coalesce(epoch_seconds(F.col("o.created")), now).alias("created_at"),
     ]
@@ -194,6 +198,8 @@ def chargebee_subscriptions(parsed: DataFrame, received_at: dt.datetime) -> Data
         safe_int(F.col("s.plan_quantity"), 1).alias("seats"),
         F.coalesce(epoch_seconds(F.col("s.started_at")), now).alias("started_at"),
         epoch_seconds(F.col("s.current_term_end")).alias("canceled_at"),
+        epoch_seconds(F.col("s.trial_start")).alias("trial_started_at"),
+        epoch_seconds(F.col("s.trial_end")).alias("trial_ended_at"),
         billing_interval(F.col("s.billing_period_unit")).alias("billing_interval"),
     )
 
@@ -213,7 +219,9 @@ def chargebee_invoices(parsed: DataFrame, received_at: dt.datetime) -> DataFrame
         F.upper(F.coalesce(filled(x("currency_code")), x("currency"), F.lit("USD"))).alias("currency"),
         F.when(paid, "paid").otherwise("failed").alias("status"),
         F.coalesce(x("payment_method"), F.lit("card")).alias("payment_method"),
+        F.lit(1).alias("attempt_count"),
         F.coalesce(epoch_seconds(x("date")), now).cast("date").alias("invoice_date"),
         F.when(paid, now).alias("paid_at"),
         F.when(~paid, now).alias("failed_at"),
+        now.alias("created_at"),
     )

@@ -9,11 +9,12 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from recurra.operators.silver import latest_per_key
 from recurra.session import scratch_path
 from recurra.sources import webhooks
+from recurra.sources.folders import Folder
 
 
 def append_batch(rows: DataFrame, batch_id: int, path: str) -> None:
@@ -43,17 +44,66 @@ def run_available(stream: DataFrame, write_batch, checkpoint: str, mode: str = "
     query.awaitTermination()
 
 
-def stream_webhook_upsert(spark: SparkSession, folder: str, received_at: dt.datetime, out: str | None = None) -> DataFrame:
-    """Billing events from JSON-lines files, normalised and upserted by subscription."""
+#: entities of the billing events and their keys
+WEBHOOK_KEYS = {"subscription": "subscription_id", "invoice": "invoice_id", "account": "account_id"}
+
+
+class CommittedLogs:
+    """Logs of several tables that show a batch in all of them or in none.
+
+    A batch writes its rows to every log under its number and then publishes its commit. Batches
+    come one after another, so all up to the newest commit are complete; a batch that failed half way is
+    not seen, and is written anew when it is replayed.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, schemas: dict[str, T.StructType]):
+        self.spark, self.path, self.schemas = spark, path, schemas
+        self.commits = Folder(spark, f"{path}/_commits")
+
+    def write(self, tables: dict[str, DataFrame], batch_id: int) -> None:
+        for name, rows in tables.items():
+            append_batch(rows, batch_id, f"{self.path}/{name}")
+        self.commits.publish(f"{batch_id:012d}", "", replace=True)
+
+    def read(self, name: str) -> DataFrame:
+        """Rows of all complete batches with their ``batch_id``; without any batch an empty table."""
+        committed = [int(n) for n in self.commits.names() if n.isdigit()]
+        if not committed:
+            return self.spark.createDataFrame([], self.schemas[name]).withColumn("batch_id", F.lit(0))
+        schema = T.StructType([*self.schemas[name].fields, T.StructField("batch_id", T.IntegerType())])
+        return self.spark.read.schema(schema).parquet(f"{self.path}/{name}").where(F.col("batch_id") <= committed[-1])
+
+
+def webhook_tables(rows: DataFrame) -> dict[str, DataFrame]:
+    """Rows of each entity from parsed events, with the event that brought them."""
+    return {name: rows.where(F.col(name).isNotNull()).select("event_id", "event_at", f"{name}.*") for name in WEBHOOK_KEYS}
+
+
+def stream_webhooks(spark: SparkSession, folder: str, received_at: dt.datetime, out: str | None = None) -> dict[str, DataFrame]:
+    """Billing events from JSON-lines files, upserted as subscriptions, invoices and accounts.
+
+    A batch is parsed once: its rows are written with the three entities side by side, and the three
+    logs are filled from there. Copies of an event, in one batch or several, settle to one row; of the
+    events of a key the newest counts, whatever the order of arrival. Without input all three are empty.
+    """
     out = out or scratch_path(spark, "webhook")
-    bodies = spark.readStream.text(folder).withColumnRenamed("value", "body")
+    bodies = spark.readStream.schema("value string").text(folder).withColumnRenamed("value", "body")
+    parsed = webhooks.stripe_rows(webhooks.parse_stripe(spark.createDataFrame([], "body string")), received_at)
+    logs = CommittedLogs(spark, f"{out}/log", {name: rows.schema for name, rows in webhook_tables(parsed).items()})
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        rows = webhooks.stripe_subscriptions(webhooks.parse_stripe(batch), received_at)
-        append_batch(latest_per_key(rows, ["subscription_id"], "event_at", ["event_id"]), batch_id, f"{out}/log")
+        append_batch(webhooks.stripe_rows(webhooks.parse_stripe(batch), received_at).where("processed"), batch_id, f"{out}/parsed")
+        rows = spark.read.schema(parsed.schema).parquet(f"{out}/parsed/batch_id={batch_id}")
+        newest = {name: latest_per_key(own, [WEBHOOK_KEYS[name]], "event_at", ["event_id"]) for name, own in webhook_tables(rows).items()}
+        logs.write(newest, batch_id)
 
     run_available(bodies, write_batch, f"{out}/checkpoint")
-    return current_rows(spark, f"{out}/log", ["subscription_id"], ["event_at", "event_id"])
+    return {name: latest_per_key(logs.read(name), [key], "event_at", ["event_id"]).drop("batch_id") for name, key in WEBHOOK_KEYS.items()}
+
+
+def stream_webhook_upsert(spark: SparkSession, folder: str, received_at: dt.datetime, out: str | None = None) -> DataFrame:
+    """The subscriptions of :func:`stream_webhooks`."""
+    return stream_webhooks(spark, folder, received_at, out)["subscription"]
 
 
 def opened_log(rows: DataFrame, path: str) -> None:

@@ -1,9 +1,12 @@
+import dataclasses
 import datetime as dt
 
 from pyspark.sql import functions as F
 
-from recurra.config import MetricConfig
-from recurra.operators import incremental, mrr, spine
+from recurra.config import MetricConfig, Tables
+from recurra.operators import mrr, spine
+from recurra.plans import models
+from recurra.plans.store import MartStore
 
 AS_OF = dt.date(2020, 8, 31)
 STORY = [
@@ -78,21 +81,27 @@ def test_components_sum_to_the_change_of_total(spark):
         assert now["t"] - before["t"] == now["n"]
 
 
-def test_lookback_corrects_two_months_and_ignores_older(subs):
+def looked_back(spark, out, early, late):
+    """Movements built in full in June and refreshed by a look-back build later."""
+    for subscriptions, as_of in ((early, dt.date(2020, 6, 30)), (late, AS_OF)):
+        t = Tables(**{f.name: None for f in dataclasses.fields(Tables)} | {"subscriptions": subscriptions})
+        models.build(spark, t, MetricConfig(), as_of, str(out), ["+mrr_movement_rows"])
+    return MartStore(spark, str(out)).read("mrr_movement_rows")
+
+
+def test_lookback_corrects_two_months_and_ignores_older(spark, subs, tmp_path):
     base = [(1, 1, "starter", 100, "2020-01-01", None), (2, 2, "growth", 60, "2020-02-01", "2020-03-31")]
-    existing = mrr.movement_rows(subs(*base), dt.date(2020, 6, 30))
     late = base + [(3, 1, "starter", 20, "2020-04-01", "2020-04-30"), (4, 2, "growth", 70, "2020-03-01", "2020-03-31"),
                    (5, 2, "growth", 70, "2020-07-01", None)]
-    out = incremental.incremental_movements(existing, subs(*late), AS_OF)
+    out = looked_back(spark, tmp_path, subs(*base), subs(*late))
     got = {(r["account_id"], r["month_start"].month): (r["mrr_movement_type"], float(r["mrr"])) for r in out.collect()}
     assert got[(1, 4)] == ("expansion", 120.0)  # within the look-back: corrected
     assert got[(1, 5)] == ("contraction", 100.0)
     assert got[(2, 3)] == ("retained", 60.0)  # older: kept as stored
-    assert got[(2, 7)] == ("reactivation", 70.0)  # known from the stored rows, not new
+    assert got[(2, 7)] == ("reactivation", 70.0)  # known from the state, not new
 
 
-def test_incremental_equals_full(subs):
-    stored = mrr.movement_rows(subs(*STORY), dt.date(2020, 6, 30))
-    a = incremental.incremental_movements(stored, subs(*STORY), AS_OF)
+def test_incremental_equals_full(spark, subs, tmp_path):
+    a = looked_back(spark, tmp_path, subs(*STORY), subs(*STORY))
     b = mrr.movement_rows(subs(*STORY), AS_OF)
     assert sorted(map(tuple, a.collect()), key=str) == sorted(map(tuple, b.select(*a.columns).collect()), key=str)

@@ -22,7 +22,7 @@ def test_webhooks_arriving_later_supersede_earlier_ones(spark, tmp_path):
     got = changes.stream_webhook_upsert(spark, str(folder), NOW, out)
     want = [("s1", 15.0, "active"), ("s2", 20.0, "active"), ("s3", 7.0, "canceled")]
     assert sorted((r["subscription_id"], float(r["mrr"]), r["status"]) for r in got.collect()) == want
-    changes.compact(spark, f"{out}/log", f"{out}/folded", ["subscription_id"], ["event_at", "event_id"])
+    changes.compact(spark, f"{out}/log/subscription", f"{out}/folded", ["subscription_id"], ["event_at", "event_id"])
     folded = changes.current_rows(spark, f"{out}/folded", ["subscription_id"], ["event_at", "event_id"])
     assert sorted((r["subscription_id"], float(r["mrr"]), r["status"]) for r in folded.collect()) == want
 
@@ -75,3 +75,43 @@ def test_streams_without_input_are_empty_tables(spark, tmp_path):
     assert changes.stream_dedupe_events(stream(), str(tmp_path / "a")).columns == [c.split()[0] for c in schema.split(", ")]
     got = changes.stream_usage_counts(stream(), str(tmp_path / "b"))
     assert got.count() == 0 and got.columns == ["account_id", "day", "events", "duration_seconds", "longest_seconds", "users"]
+
+
+def body_of(kind, key, at, **fields):
+    return json.dumps({"id": f"e-{key}-{at}", "type": kind, "created": at, "data": {"object": {"id": key, "customer": "c1", **fields}}})
+
+
+def test_webhooks_fill_three_tables_and_settle_copies(spark, tmp_path):
+    folder, out = tmp_path / "in", str(tmp_path / "out")
+    folder.mkdir()
+    (folder / "a.json").write_text("\n".join([
+        body_of("customer.subscription.created", "s1", 200, status="active", quantity="4"), body_of("invoice.payment_succeeded", "i1", 100, amount_due="1250", currency="eur"),
+        body_of("customer.updated", "c1", 300, name="New", metadata={"website": "w.example"}), "not json", body_of("invoice.created", "i9", 1)]))
+    first = changes.stream_webhooks(spark, str(folder), NOW, out)
+    assert {k: v.count() for k, v in first.items()} == {"subscription": 1, "invoice": 1, "account": 1}
+    (folder / "b.json").write_text("\n".join([
+        body_of("customer.subscription.updated", "s1", 150, status="stale"), body_of("invoice.payment_failed", "i1", 400, amount_due="1250"), body_of("customer.created", "c1", 50, name="Old"),
+        body_of("customer.subscription.created", "s1", 200, status="active", quantity="4"), body_of("customer.subscription.deleted", "s2", 10)]))
+    got = changes.stream_webhooks(spark, str(folder), NOW, out)
+    assert [(r.subscription_id, r.status, r.seats) for r in got["subscription"].orderBy("subscription_id").collect()] == [("s1", "active", 4), ("s2", "canceled", 1)]
+    assert [(r.invoice_id, r.status, float(r.amount), r.failed_at) for r in got["invoice"].collect()] == [("i1", "failed", 12.5, NOW)]
+    assert [(r.account_id, r.company_name, r.account_owner, r.website) for r in got["account"].collect()] == [("c1", "New", "New", "w.example")]
+
+
+def test_webhooks_without_input_are_empty(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    got = changes.stream_webhooks(spark, str(tmp_path / "in"), NOW, str(tmp_path / "out"))
+    assert {k: v.count() for k, v in got.items()} == {"subscription": 0, "invoice": 0, "account": 0}
+    assert "website" in got["account"].columns and changes.stream_webhook_upsert(spark, str(tmp_path / "in"), NOW).count() == 0
+
+
+def test_a_batch_shows_in_all_logs_or_in_none(spark, tmp_path):
+    table = lambda *ids: spark.createDataFrame([(i,) for i in ids], "id int")
+    logs = changes.CommittedLogs(spark, str(tmp_path), {"a": table().schema, "b": table().schema})
+    assert logs.read("a").count() == logs.read("b").count() == 0
+    logs.write({"a": table(1), "b": table(2, 3)}, 0)
+    changes.append_batch(table(9), 1, f"{tmp_path}/a")  # the second log of this batch is never written
+    assert [logs.read(n).count() for n in "ab"] == [1, 2]
+    logs.write({"a": table(4), "b": table()}, 1)  # replayed
+    logs.write({"a": table(4), "b": table()}, 1)
+    assert sorted(r.id for r in logs.read("a").collect()) == [1, 4] and logs.read("b").count() == 2
