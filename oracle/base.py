@@ -37,6 +37,21 @@ def render(sql: str) -> str:
     return ("WITH " + ",\n".join(parts) + "\n" if parts else "") + sql
 
 
+def over(sql: str, **blocks: str) -> str:
+    """``sql`` with other definitions of some blocks; a definition may read its own block as it was, as ``<name>_all``."""
+    kept = dict(BLOCKS)
+    changed = {}
+    for k, body in kept.items():  # a block stands before those that read it
+        changed |= {f"{k}_all": body, k: blocks[k]} if k in blocks else {k: body}
+    try:
+        BLOCKS.clear()
+        BLOCKS.update(changed)
+        return f"SELECT * FROM ({render(sql)})"
+    finally:
+        BLOCKS.clear()
+        BLOCKS.update(kept)
+
+
 def r(expr: str, digits: int) -> str:
     """Half-up rounding through decimal, as a double."""
     return f"round(cast(({expr}) AS decimal(38,{digits + 4})), {digits})::double"

@@ -1,6 +1,7 @@
 """Staging, cohort, usage, support, health, funnel and success statements."""
 
-from oracle.base import ASOF, ASOF_MONTH, block, check, div, div0, gap, key, r
+from oracle import revenue  # noqa: F401  its statements are used again
+from oracle.base import ASOF, ASOF_MONTH, CHECKS, block, check, div, div0, gap, key, over, r
 
 AGE = lambda a, b: f"cast((year({b}) - year({a})) * 12 + month({b}) - month({a}) - (day({b}) < day({a}))::integer AS integer)"
 TIERNO = "cast(CASE {c} WHEN 'starter' THEN 1 WHEN 'growth' THEN 2 WHEN 'business' THEN 3 WHEN 'enterprise' THEN 4 ELSE 99 END AS integer)"
@@ -71,11 +72,42 @@ check("stg_support_tickets", """SELECT ticket_id, account_id, user_id, 'error' A
   created_day::timestamp + INTERVAL 1 HOUR AS first_response_at, t.status = 'escalated' AS is_escalated
   FROM tix t JOIN (SELECT event_id, user_id FROM events) ON event_id = ticket_id""")
 STAMP = "TIMESTAMP '2001-07-31 06:00:00'"
-check("silver_latest_per_key", f"""SELECT invoice_id, account_id, subscription_id, amount::double AS amount, 'usd' AS currency, status,
-  invoice_date, due_date, paid_date, cast(0 AS integer) AS retry_count, {STAMP} AS _loaded_at FROM inv""")
-check("silver_fk_guard", f"""SELECT account_id, event_id, user_id, event_type, session_id, duration_seconds,
-  event_day::timestamp AS occurred_at, {STAMP} AS _loaded_at FROM usage
-  WHERE account_id IN (SELECT account_id FROM accounts_raw) AND account_id % 2 = 0""")
+NONE = lambda kind, *names: ", ".join(f"NULL::{kind} AS {n}" for n in names)
+INVOICES = f"""invoice_id, account_id, subscription_id, amount::double AS amount, 'usd' AS currency, status, invoice_date, due_date, paid_date, failed_date,
+  {NONE('varchar', 'payment_method', 'failure_reason')}, cast(0 AS integer) AS retry_count, {STAMP} AS _loaded_at FROM inv"""
+USAGE = f"""account_id, event_id, user_id, feature_id, feature_id AS feature_name, event_type, 'web' AS platform, session_id, duration_seconds, cast(1 AS integer) AS actions_count,
+  event_day::timestamp AS occurred_at, {STAMP} AS _loaded_at FROM usage"""
+check("silver_latest_per_key", f"SELECT {INVOICES}")
+check("silver_fk_guard", f"SELECT {USAGE} WHERE account_id IN (SELECT account_id FROM accounts_raw) AND account_id % 2 = 0")
+check("silver_invoices", f"SELECT {INVOICES} WHERE subscription_id % 97 <> 0")
+check("silver_usage_events", f"SELECT {USAGE} WHERE event_id % 97 <> 0")
+check("silver_plans", f"""SELECT plan_name AS plan_id, plan_name, monthly_price::double AS monthly_price, annual_price::double AS annual_price, {NONE('integer', 'max_seats', 'max_workflows')},
+  tier::varchar AS tier, true AS is_active, {STAMP} AS _loaded_at FROM plans_t WHERE plan_name <> 'growth'""")
+check("silver_features", f"""SELECT feature_id, feature_id AS feature_name, feature_category, feature_tier, is_core, is_premium, is_beta, false AS is_deprecated, {STAMP} AS _loaded_at FROM feats WHERE feature_id <> 'click'""")
+block("days", f"SELECT cast(unnest(generate_series((SELECT min(d) FROM ord)::timestamp, {ASOF}::timestamp, INTERVAL 1 DAY)) AS date) AS d")
+check("silver_calendar", f"""SELECT cast(strftime(d, '%Y%m%d') AS integer) AS date_id, d AS full_date, cast(year(d) AS integer) AS year, cast(quarter(d) AS integer) AS quarter, cast(month(d) AS integer) AS month,
+  strftime(d, '%B') AS month_name, cast(weekofyear(d) AS integer) AS week, cast(isodow(d) - 1 AS integer) AS day_of_week, strftime(d, '%A') AS day_name, isodow(d) >= 6 AS is_weekend, day(d) = 1 AS is_month_start,
+  d = last_day(d) AS is_month_end, {STAMP} AS _loaded_at FROM days WHERE cast(strftime(d, '%Y%m%d') AS integer) % 97 <> 0""")
+check("silver_accounts", f"""SELECT account_id, company_name, industry, company_size, region, country, acquisition_channel, {NONE('varchar', 'account_owner', 'website')}, created_day::timestamp AS created_at,
+  {NONE('timestamp', 'updated_at')}, {NONE('double', 'annual_revenue_usd')}, {NONE('integer', 'employee_count')}, {STAMP} AS _loaded_at FROM accounts_raw WHERE account_id % 97 <> 0""")
+check("silver_subscriptions", f"""SELECT subscription_id, account_id, plan_name AS plan_id, plan_name, status, billing_cycle, mrr::double AS mrr, (cast(mrr AS decimal(18,2)) * 12)::double AS arr, seats_purchased, seats_used, start_date, end_date,
+  {NONE('date', 'trial_start', 'trial_end')}, CASE WHEN status = 'cancelled' THEN end_date::timestamp END AS cancelled_at, {NONE('varchar', 'cancellation_reason')}, {NONE('double', 'discount_pct')}, {STAMP} AS _loaded_at
+  FROM subs WHERE subscription_id % 97 <> 0""")
+check("silver_tickets", f"""SELECT ticket_id, account_id, user_id, {NONE('varchar', 'subject', 'agent_id')}, 'error' AS category, priority, t.status, csat_score::double AS csat_score, t.status = 'escalated' AS is_escalated,
+  created_day::timestamp AS created_at, CASE WHEN solved THEN created_day::timestamp + INTERVAL 6 HOUR END AS resolved_at, created_day::timestamp + INTERVAL 1 HOUR AS first_response_at, {STAMP} AS _loaded_at
+  FROM tix t JOIN (SELECT event_id, user_id FROM events) ON event_id = ticket_id WHERE ticket_id % 97 <> 0""")
+check("silver_leads", f"""SELECT lead_id, account_id, {NONE('varchar', 'company_name', 'region', 'lead_source', 'plan_id', 'lost_reason')}, industry, company_size, acquisition_channel, lead_score, trial_engagement_score,
+  {", ".join(f"{c}_day::timestamp AS {c}_at" for c in ("created", "qualified", "demo_requested", "demo_completed", "trial_started", "trial_ended", "converted", "lost"))},
+  {NONE('double', 'first_mrr')}, {STAMP} AS _loaded_at FROM lead_rows WHERE lead_id % 97 <> 0""")
+QUARANTINE = [("plans", "'growth'", "monthly_price", "(SELECT 1)"), ("features", "feature_id", "is_core", "feats WHERE feature_id = 'click'"),
+              ("calendar", "strftime(d, '%Y%m%d')", "week", "days WHERE cast(strftime(d, '%Y%m%d') AS integer) % 97 = 0"), ("accounts", "account_id::varchar", "created_at", "accounts_raw WHERE account_id % 97 = 0"),
+              ("subscriptions", "subscription_id::varchar", "seats_purchased", "subs WHERE subscription_id % 97 = 0"), ("invoices", "invoice_id", "amount", "inv WHERE subscription_id % 97 = 0"),
+              ("usage_events", "event_id::varchar", "occurred_at", "usage WHERE event_id % 97 = 0"), ("tickets", "ticket_id::varchar", "csat_score", "tix WHERE ticket_id % 97 = 0"),
+              ("leads", "lead_id::varchar", "converted_at", "lead_rows WHERE lead_id % 97 = 0")]
+check("silver_quarantine", " UNION ALL ".join(f"SELECT '{e}' AS entity, {k} AS key, '{c}' AS columns, 'n/a' AS shown FROM {t}" for e, k, c, t in QUARANTINE))
+check("pipeline_exec_summary", over(
+    CHECKS["exec_revenue_summary"], accounts_raw="SELECT * FROM accounts_raw_all WHERE account_id % 97 <> 0",
+    subs="SELECT * FROM subs_all WHERE subscription_id % 97 <> 0 AND account_id % 97 <> 0", inv="SELECT * FROM inv_all WHERE subscription_id % 97 <> 0 AND account_id % 97 <> 0 AND amount > 0"))
 check("derived_durations", """SELECT 'ticket' AS entity, ticket_id AS id, CASE WHEN solved THEN 6.0::double END AS amount FROM tix
   UNION ALL SELECT 'lead_conversion', lead_id, (converted_day - created_day)::double FROM lead_rows
   UNION ALL SELECT 'lead_trial', lead_id, (trial_ended_day - trial_started_day)::double FROM lead_rows""")

@@ -1,12 +1,19 @@
 """Registered queries: staging, cohorts, usage, support, health, funnel, success."""
 
+import dataclasses
+
 from pyspark.sql import functions as F
 
+from recurra.config import Tables
 from recurra.functions.expr import rounded
 from recurra.operators import cohorts, funnel, health, silver, staging, success, support, usage
 from recurra.operators.mrr import invoice_monthly
+from recurra.operators.quality import union_all
+from recurra.plans import models
 from recurra.plans.registry import AS_OF, CFG, Source, query
 from recurra.plans.revenue import movements
+from recurra.plans.store import MartStore
+from recurra.session import scratch_path
 from recurra.sources import adapter
 
 
@@ -65,6 +72,39 @@ def _silver(s: Source):
     return silver.silver(raw, "invoices")
 
 
+def typed_layer(s: Source, *names: str):
+    """(typed rows, quarantine) of the entities, each stored by one job."""
+    raw = adapter.raw_layer(s.spark, s.sf_dir)
+    return {n: silver.write_typed(raw[n], n, scratch_path(s.spark, f"typed-{n}")) for n in names}
+
+
+for _entity in silver.TYPED:
+    query(f"silver_{_entity}")(lambda s, n=_entity: typed_layer(s, n)[n][0])
+
+
+@query("silver_quarantine")
+def _quarantine(s: Source):
+    bad = [b.select("entity", "key", "columns", F.get_json_object("text", f"$.{adapter.BROKEN[n][0]}").alias("shown")) for n, (_, b) in typed_layer(s, *silver.TYPED).items()]
+    return union_all(bad)
+
+
+def typed_tables(s: Source) -> Tables:
+    """The marts' inputs from the typed layer: what is in quarantine or has no account does not reach them."""
+    t = {n: rows for n, (rows, _) in typed_layer(s, "accounts", "subscriptions", "invoices").items()}
+    owned = lambda n: silver.fk_guard(t[n], t["accounts"])
+    # the staging rules of invoices: a known account and a positive amount
+    invoices = owned("invoices").where((F.col("amount") > 0) & F.col("invoice_date").isNotNull())
+    return dataclasses.replace(s.t, accounts=t["accounts"], subscriptions=owned("subscriptions"), invoices=invoices)
+
+
+@query("pipeline_exec_summary")
+def _connected(s: Source):
+    """Raw text to typed tables to staging rules to the executive mart, each stored mart read by the next."""
+    out = scratch_path(s.spark, "marts")
+    models.build(s.spark, typed_tables(s), CFG, AS_OF, out, ["+exec_revenue_summary"])
+    return MartStore(s.spark, out).read("exec_revenue_summary")
+
+
 @query("silver_fk_guard")
 def _guard(s: Source):
     # accounts 0..24 only appear as owners of some events; the rest must go

@@ -35,3 +35,22 @@ def test_positions_number_every_row_of_a_tied_table(spark):
     got = positions(df, [F.desc("v"), F.asc("id")], "place").orderBy("place").collect()
     assert [r["place"] for r in got] == list(range(1, 5001))
     assert [(r["v"], r["id"]) for r in got] == sorted(((i % 3, i) for i in range(5000)), key=lambda x: (-x[0], x[1]))
+
+
+def test_rows_that_do_not_parse_go_to_quarantine(spark, tmp_path):
+    raw = spark.createDataFrame(
+        [("1", "9", "x", "2020-01-01", AT, 1), ("2", "9", "12.5", "2020-13-01", AT, 2), ("3", "", "", "", AT, 3), ("oops", "9", "1", "", AT, 4), ("", "9", "1", "", AT, 5),
+         ("4", "9", "bad", "", AT, 6), ("4", "9", "7", "", AT + dt.timedelta(days=1), 7)],
+        "subscription_id string, account_id string, mrr string, start_date string, _loaded_at timestamp_ntz, _row_id long")
+    good, bad = silver.write_typed(raw, "subscriptions", str(tmp_path / "typed"))
+    assert [(r.subscription_id, r.account_id, r.mrr and float(r.mrr), r.start_date) for r in good.orderBy("subscription_id").collect()] == [(3, None, None, None), (4, 9, 7.0, None)]
+    assert sorted((r.entity, r.key, r["columns"]) for r in bad.collect()) == [("subscriptions", "1", "mrr"), ("subscriptions", "2", "start_date"), ("subscriptions", "oops", "subscription_id")]
+    assert good.columns[:-1] == list(silver.TYPED["subscriptions"]) or set(good.columns) == {*silver.TYPED["subscriptions"], "_loaded_at"}
+    assert '"mrr":"x"' in bad.where("key = '1'").first().text
+
+
+def test_typed_tables_of_empty_sources(spark, tmp_path):
+    for entity, columns in silver.TYPED.items():
+        raw = spark.createDataFrame([], ", ".join(f"{c} string" for c in columns) + ", _loaded_at timestamp_ntz")
+        good, bad = silver.write_typed(raw, entity, str(tmp_path / entity))
+        assert good.count() == bad.count() == 0 and dict(good.dtypes)[silver.KEYS[entity]] == columns[silver.KEYS[entity]]
