@@ -30,7 +30,7 @@ from recurra.functions.expr import (
     unscaled,
 )
 from recurra.operators.ranking import rank_within
-from recurra.operators.spine import subscription_months, with_months
+from recurra.operators.spine import paid_spans, running_months, with_months
 
 COMPONENTS = ["new_mrr", "expansion_mrr", "contraction_mrr", "churned_mrr", "reactivation_mrr", "retained_mrr"]
 ATTRIBUTES = ["company_name", "industry", "company_size", "region", "acquisition_channel"]
@@ -43,26 +43,19 @@ def plan_tier_order(plan: Column) -> Column:
 def account_month_mrr(subscriptions: DataFrame, as_of: dt.date, since: Column | None = None) -> DataFrame:
     """Active MRR, plan and seats per account and month.
 
-    The first aggregation keeps the plan among its keys: its buffers are then all
-    fixed-width and it runs as a hash aggregation with map-side combine, where
-    max(text) over all rows would sort them. Sums run on 64-bit integers. What is left (account x month x plan)
+    The ends of all subscriptions are swept by account and plan: the first aggregation has
+    fixed-width buffers and runs as a hash aggregation with map-side combine, and months are
+    generated from its sums. Sums run on 64-bit integers. What is left (account x month x plan)
     is hashed on the account alone, which also serves the windows per account.
     """
     utilisation = scaled(safe_divide("seats_used", "seats_purchased"))
-    per_plan = (
-        subscription_months(subscriptions, as_of, since)
-        .groupBy("account_id", "month_start", "plan_name")
-        .agg(
-            F.sum(in_cents("mrr")).alias("mrr_cents"),
-            F.sum(utilisation).alias("util_sum"),
-            F.count(utilisation).alias("util_n"),
-            F.sum("seats_purchased").alias("seats_purchased"),
-            F.sum("seats_used").alias("seats_used"),
-        )
-    )
+    sums = {
+        "mrr_cents": in_cents("mrr"), "util_sum": utilisation, "util_n": F.when(utilisation.isNotNull(), 1),
+        "seats_purchased": F.col("seats_purchased"), "seats_used": F.col("seats_used"),
+    }
+    per_plan = running_months(paid_spans(subscriptions, as_of, since), ["account_id", "plan_name"], "account_id", sums)
     return (
-        per_plan.repartition("account_id")
-        .groupBy("account_id", "month_start")
+        per_plan.groupBy("account_id", "month_start")
         .agg(
             from_cents(F.sum("mrr_cents")).alias("mrr"),
             F.max("plan_name").alias("plan_name"),

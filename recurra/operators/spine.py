@@ -1,13 +1,14 @@
 """Month grids: one row per month, account-month or subscription-month.
 
-Each grid is a narrow ``sequence`` + ``explode``: no join and no shuffle.
+Each grid is a narrow ``sequence`` + ``explode``: no join and no shuffle. Sums over
+overlapping spans sweep over their ends.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from recurra.functions.expr import day, month_key, month_start, months_apart, surrogate_key
 
@@ -69,19 +70,23 @@ def account_months(accounts: DataFrame, as_of: dt.date, since: Column | None = N
     )
 
 
-def subscription_months(subscriptions: DataFrame, as_of: dt.date, since: Column | None = None) -> DataFrame:
-    """Paid subscriptions spread over their active months, both ends included.
-
-    ``since`` limits the work to months from that date on.
-    """
-    last = F.least(F.coalesce("end_date", day(as_of)), day(as_of))
+def paid_spans(subscriptions: DataFrame, as_of: dt.date, since: Column | None = None) -> DataFrame:
+    """Paid subscriptions with their first active day (``_from``) and last one (``_to``), cut to ``since`` and ``as_of``."""
     paid = subscriptions.where(F.col("status") != "trial")
     first = F.col("start_date")
     if since is not None:
         paid = paid.where(F.col("end_date").isNull() | (F.col("end_date") >= since))
         first = F.greatest(first, since)
+    return paid.withColumns({"_from": first, "_to": F.least(F.coalesce("end_date", day(as_of)), day(as_of))})
+
+
+def subscription_months(subscriptions: DataFrame, as_of: dt.date, since: Column | None = None) -> DataFrame:
+    """Paid subscriptions spread over their active months, both ends included.
+
+    ``since`` limits the work to months from that date on.
+    """
     return (
-        with_months(paid, first, last)
+        with_months(paid_spans(subscriptions, as_of, since), F.col("_from"), F.col("_to"))
         .select(
             surrogate_key("subscription_id", month_key("month_start")).alias("sub_month_key"),
             "subscription_id",
@@ -99,3 +104,26 @@ def subscription_months(subscriptions: DataFrame, as_of: dt.date, since: Column
             F.col("end_date").alias("ended_date"),
         )
     )
+
+
+def running_months(spans: DataFrame, keys: list[str], owner: str, sums: dict[str, Column]) -> DataFrame:
+    """Sums of ``spans`` (``_from``, ``_to``) in each month that one of them covers, by ``keys`` and month.
+
+    A sweep: every span adds its values in its first month and takes them back in the month
+    behind its last. These ends are summed by key and month, and running sums over
+    the sorted ends hold until the next one, so months are generated once for all spans of a
+    key and not for each span. Values must be whole numbers; a sum without any value is NULL.
+    """
+    counted = {f"_n_{c}": v.isNotNull().cast("bigint") for c, v in sums.items()}
+    values = {c: F.coalesce(v.cast("bigint"), F.lit(0)) for c, v in sums.items()} | counted | {"_spans": F.lit(1).cast("bigint")}
+    named = spans.where(months_apart(F.col("_from"), F.col("_to")) >= 0).select(*keys, "_from", "_to", *[v.alias(c) for c, v in values.items()])
+    ends = F.array(
+        F.struct(month_start("_from").alias("month_start"), F.lit(1).alias("_sign")),
+        F.struct(F.add_months(month_start("_to"), 1).alias("month_start"), F.lit(-1).alias("_sign")),
+    )
+    deltas = named.select(*keys, *values, F.inline(ends)).groupBy(*keys, "month_start").agg(*[F.sum(F.col(c) * F.col("_sign")).alias(c) for c in values])
+    order = Window.partitionBy(*keys).orderBy("month_start")
+    running = deltas.repartition(owner).withColumns({c: F.sum(c).over(order) for c in values} | {"_until": F.lead("month_start").over(order)})
+    live = running.where("_spans > 0").withColumnRenamed("month_start", "_since")
+    months = with_months(live, F.col("_since"), F.add_months("_until", -1))
+    return months.select(*keys, "month_start", *[F.when(F.col(f"_n_{c}") > 0, F.col(c)).alias(c) for c in sums])

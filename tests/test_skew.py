@@ -4,8 +4,9 @@ import datetime as dt
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
-from recurra.operators import extras, incremental, ranking
+from recurra.operators import extras, incremental, ranking, spine, usage
 from recurra.operators.silver import latest_per_key
 from recurra.session import shared_dir
 
@@ -107,3 +108,35 @@ def test_time_to_value_takes_the_next_core_action(spark):
     features = spark.createDataFrame([("a", True), ("x", False)], "feature_id string, is_core boolean")
     r = extras.time_to_value(events, leads, features).collect()[0]
     assert (r["leads"], r["avg_days_to_value"]) == (3, 3.33)
+
+
+def test_running_months_equal_generated_months(spark):
+    rng, end = random.Random(3), dt.date(2003, 6, 15)
+    day = lambda: dt.date(2000, 1, 1) + dt.timedelta(days=rng.randint(0, 1500))
+    rows = [(k, rng.randint(1, 5) if k % 3 else 1, rng.choice("ab"), rng.choice(["active", "trial"]), rng.choice([None, 3, 7]), day(), rng.choice([None, day()])) for k in range(400)]
+    subs = spark.createDataFrame(rows, "subscription_id int, account_id int, plan_name string, status string, seats int, start_date date, end_date date")
+    for since in (None, F.lit(dt.date(2002, 3, 1))):
+        spans = spine.paid_spans(subs, end, since)
+        got = spine.running_months(spans, ["account_id", "plan_name"], "account_id", {"seats": F.col("seats")})
+        want = spine.with_months(spans, F.col("_from"), F.col("_to")).groupBy("account_id", "plan_name", "month_start").agg(F.sum("seats").alias("seats"))
+        assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.select(got.columns).collect()), key=str)
+
+
+def test_usage_counts_are_exact_beyond_the_bits(spark):
+    rng = random.Random(8)
+    catalogue = spark.createDataFrame([(f"f{k:03}", k % 2 == 0, k % 5 == 0, float(1 + k % 3)) for k in range(90)], "feature_id string, is_core boolean, is_premium boolean, health_weight double")
+    names = [f"f{k:03}" for k in range(90)] + ["unknown", "other", None]
+    rows = [(k, k % 3 and 1, rng.choice([1, 2, 3, None]), rng.choice(["s", "t", "u", None]), rng.choice(names if k % 3 else names[-2:]), rng.choice([None, 5, 9]), dt.datetime(2020, 1 + k % 2, rng.randint(1, 28))) for k in range(600)]
+    events = spark.createDataFrame(rows, "event_id long, account_id int, user_id int, session_id string, feature_id string, duration_seconds int, occurred_at timestamp_ntz")
+    got = {(r.account_id, r.month_start.month): r for r in usage.usage_monthly(events, catalogue).collect()}
+    known = {r.feature_id: r for r in catalogue.collect()}
+    for key in got:
+        own = [r for r in rows if (r[1], r[6].month) == key]
+        r, feats = got[key], {x[4] for x in own} - {None}
+        weights = {known[f].health_weight for f in feats if f in known} | ({0.0} if any(x[4] is None for x in own) else set())
+        distinct = lambda i: len({x[i] for x in own} - {None})
+        assert (r.total_events, r.active_users, r.total_sessions, r.distinct_features_used, r.active_days_in_month) == (len(own), distinct(2), distinct(3), len(feats), distinct(6))
+        assert (r.core_features_used, r.premium_features_used) == (sum(f in known and known[f].is_core for f in feats), sum(f in known and known[f].is_premium for f in feats))
+        assert r.feature_adoption_score == (sum(weights) if weights else None) and r.total_duration_seconds == sum(x[5] or 0 for x in own)
+    plan = usage.usage_monthly(events, catalogue)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Expand") < plan.index("Join")  # rows are expanded after the first aggregation only
