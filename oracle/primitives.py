@@ -1,6 +1,6 @@
 """Statements for relational shapes, scalar functions, quality checks and glossary measures."""
 
-from oracle.base import ASOF, block, check, div, div0, key, r
+from oracle.base import ASOF, CHECKS, block, check, div, div0, key, r
 from oracle.customers import AGE
 from oracle.quality_rules import MART_CHECKS
 
@@ -162,10 +162,22 @@ check("dq_between_mostly", """SELECT 'invoices' AS table_name, 'amount' AS colum
   CASE WHEN count(*) FILTER (amount BETWEEN 1000 AND 90000) / count(amount) >= 0.95 THEN 'PASS' ELSE 'FAIL' END AS status FROM inv UNION ALL
   SELECT 'tickets', 'csat_score', count(csat_score), count(*) FILTER (csat_score BETWEEN 1 AND 5), CASE WHEN count(*) FILTER (csat_score BETWEEN 1 AND 5) = count(csat_score) THEN 'PASS' ELSE 'FAIL' END FROM tix""")
 check("dq_positive_values", "SELECT seats_used AS value, count(*) AS failing FROM subs WHERE seats_used <= 0 GROUP BY 1")
-COUNTS = [("accounts", "accounts_raw", "account_id", 100, 1000000), ("subscriptions", "subs", "subscription_id", 200, 600), ("invoices", "inv", "invoice_id", 1000, 10000),
-          ("usage_events", "usage", "event_id", 5000, 100000), ("tickets", "tix", "ticket_id", 500, 5000), ("leads", "lead_rows", "lead_id", 500, 3000)]
-check("dq_row_count_range", " UNION ALL ".join(f"""SELECT '{n}' AS table_name, count({k}) AS row_count, {a}::bigint AS min_expected, {b}::bigint AS max_expected,
-  CASE WHEN count({k}) BETWEEN {a} AND {b} THEN 'PASS' ELSE 'FAIL' END AS status FROM {t}""" for n, t, k, a, b in COUNTS))
+TABLES = [("raw", f"raw_{n}", f"(SELECT * FROM {t}, (VALUES (0), (1)) v(older))", a, b) for n, t, a, b in (
+    ("plans", "plans_t", 4, 20), ("features", "feats", 10, 100), ("calendar", "days", 700, 1000), ("accounts", "accounts_raw", 200, 500), ("subscriptions", "subs", 200, 600),
+    ("invoices", "inv", 1000, 10000), ("usage_events", "usage", 5000, 100000), ("tickets", "tix", 500, 5000), ("leads", "lead_rows", 500, 3000))]
+TABLES += [("staging", n, f"({CHECKS[n]})", a, b) for n, a, b in (
+    ("stg_plans", 4, 20), ("stg_features", 10, 100), ("stg_calendar", 700, 1000), ("stg_accounts", 200, 500), ("stg_subscriptions", 200, 600), ("stg_invoices", 1000, 10000),
+    ("stg_usage_events", 5000, 100000), ("stg_support_tickets", 500, 5000), ("stg_leads", 500, 3000))]
+TABLES += [("marts", "fct_mrr_movements", "moves", 500, 10000), ("marts", "exec_revenue_summary", "exec", 12, 36), ("marts", "fct_sales_conversion", f"({CHECKS['fct_sales_conversion']})", 500, 3000)]
+ROWS_BROKEN = [("raw", "raw_subscriptions", "seats unreadable", "subs WHERE subscription_id % 97 = 0"), ("staging", "stg_subscriptions", "mrr negative", "subs WHERE mrr < 0"),
+               ("staging", "stg_subscriptions", "account missing", "subs WHERE account_id IS NULL"), ("staging", "stg_invoices", "amount not positive", f"({CHECKS['stg_invoices']}) WHERE amount <= 0"),
+               ("staging", "stg_support_tickets", "csat out of range", "tix WHERE csat_score NOT BETWEEN 1 AND 5"), ("marts", "fct_mrr_movements", "mrr negative", "moves WHERE mrr < 0"),
+               ("marts", "fct_mrr_movements", "payment failed", "moves WHERE failed > 0"), ("marts", "exec_revenue_summary", "nrr out of range", "exec WHERE nrr NOT BETWEEN 0.5 AND 2")]
+block("table_checks", "SELECT *, CASE WHEN measured BETWEEN low AND high THEN 'PASS' ELSE 'FAIL' END AS status FROM (" + " UNION ALL ".join(
+    [f"SELECT '{layer}' AS layer, '{n}' AS table_name, 'row_count' AS check_name, count(*) AS measured, {a}::bigint AS low, {b}::bigint AS high FROM {t}" for layer, n, t, a, b in TABLES]
+    + [f"SELECT '{layer}', '{n}', '{c}', count(*), 0::bigint, 0::bigint FROM {t}" for layer, n, c, t in ROWS_BROKEN]) + ")")
+check("dq_table_checks", "SELECT * FROM table_checks")
+check("dq_row_count_range", "SELECT layer, table_name, measured AS row_count, low AS min_expected, high AS max_expected, status FROM table_checks WHERE check_name = 'row_count'")
 TEN = [("no null account_id", "subscriptions", "SELECT count(*) FROM subs WHERE account_id IS NULL"),
        ("no negative mrr", "subscriptions", "SELECT count(*) FROM subs WHERE mrr < 0"),
        ("all accounts exist", "subscriptions", "SELECT count(*) FROM subs WHERE account_id NOT IN (SELECT account_id FROM accounts_raw)"),
@@ -178,7 +190,9 @@ TEN = [("no null account_id", "subscriptions", "SELECT count(*) FROM subs WHERE
        ("converted leads have an account", "leads", "SELECT count(*) FROM lead_rows WHERE converted_day IS NOT NULL AND account_id IS NULL")]
 block("ten", " UNION ALL ".join(f"SELECT '{n}' AS check_name, '{t}' AS table_name, ({q})::double AS result" for n, t, q in TEN))
 check("dq_sql_checks", "SELECT check_name, table_name, result, 'eq 0' AS expected, CASE WHEN result = 0 THEN 'PASS' ELSE 'FAIL' END AS status FROM ten")
-check("dq_report", "SELECT count(*) AS checks, count(*) FILTER (result = 0) AS passed, count(*) FILTER (result <> 0) AS failed, CASE WHEN bool_and(result = 0) THEN 'PASS' ELSE 'FAIL' END AS overall FROM ten")
+block("all_checks", "SELECT table_name, check_name, CASE WHEN result = 0 THEN 0 ELSE 1 END AS failed FROM ten UNION ALL SELECT table_name, check_name, CASE status WHEN 'FAIL' THEN 1 ELSE 0 END FROM table_checks")
+SUMS = "cast(count(*) AS bigint) AS checks, cast(sum(failed) AS bigint) AS failed, CASE WHEN sum(failed) = 0 THEN 'PASS' ELSE 'FAIL' END AS status FROM all_checks"
+check("dq_report", f"SELECT 'check' AS level, table_name, check_name, {SUMS} GROUP BY table_name, check_name UNION ALL SELECT 'table', table_name, 'all', {SUMS} GROUP BY table_name UNION ALL SELECT 'overall', 'all', 'all', {SUMS}")
 check("dq_freshness", "SELECT 'invoices' AS table_name, 30::bigint AS age_hours, 'WARN' AS status FROM inv HAVING count(*) > 0")
 ENUM = [("subscriptions", "status", "subs", "status NOT IN ('active', 'trial', 'cancelled', 'past_due', 'paused')"), ("subscriptions", "billing_cycle", "subs", "billing_cycle NOT IN ('monthly', 'annual')"),
         ("invoices", "status", "inv", "status NOT IN ('paid', 'failed', 'pending', 'refunded')"), ("tickets", "priority", "tix", "priority NOT IN ('low', 'medium', 'high', 'critical')"),

@@ -15,6 +15,9 @@ from recurra.functions.expr import (
     MONEY,
     banded,
     count_if,
+    day,
+    in_cents,
+    month_key,
     month_start,
     months_apart,
     rounded,
@@ -22,7 +25,7 @@ from recurra.functions.expr import (
     surrogate_key,
 )
 from recurra.operators.mrr import account_month_mrr, plan_tier_order
-from recurra.operators.spine import account_months
+from recurra.operators.spine import account_months, paid_spans, running_spans
 
 ACTIVE = ["new", "retained", "reactivated"]
 BROADCAST_ROWS = 200_000  # about 40 MB of period totals; beyond it the join shuffles and AQE splits hot cohorts
@@ -68,6 +71,29 @@ def cohort_rows(t: Tables, as_of: dt.date) -> DataFrame:
     )
 
 
+def retention_at(t: Tables, as_of: dt.date, periods: tuple[int, ...]) -> DataFrame:
+    """Retention status of each account some months after its first one, NULL where that month is still to come.
+
+    Points are looked up in the spans over which an account's MRR holds; neither the
+    account x month grid nor any month is generated.
+    """
+    born = month_start(F.col("created_at").cast("date"))
+    cohort = t.accounts.where(born <= day(as_of)).select("account_id", born.alias("_born"))
+    spans = running_spans(paid_spans(t.subscriptions, as_of), ["account_id", "plan_name"], "account_id", {"cents": in_cents("mrr")})
+    points = sorted({k for p in periods for k in (p - 1, p)})
+    at = lambda k: F.add_months("_born", k)
+    holds = lambda k: (F.col("_since") <= at(k)) & (at(k) < F.col("_until"))
+    paid = spans.join(cohort, "account_id").groupBy("account_id").agg(*[(F.sum(F.when(holds(k), F.col("cents"))) > 0).alias(f"_{k}") for k in points])
+    known = cohort.join(paid, "account_id", "left")
+
+    def status(k: int):
+        now, before = (F.coalesce(f"_{n}", F.lit(False)) for n in (k, k - 1))
+        word = F.when(now & before, "retained").when(now, "reactivated").when(before, "churned").otherwise("inactive")
+        return F.when(at(k) <= day(as_of), word).alias(f"retention_status_{k}m")
+
+    return known.select("account_id", month_key("_born").alias("cohort_month"), *[status(p) for p in periods])
+
+
 def cohort_period_summary(rows: DataFrame) -> DataFrame:
     status = F.col("retention_status")
     active = status.isin(ACTIVE)

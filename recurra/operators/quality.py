@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
+from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from recurra.functions.expr import count_if, safe_divide
 
@@ -69,20 +71,6 @@ def positive_values(df: DataFrame, column: str) -> DataFrame:
     return df.where(F.col(column) <= 0).groupBy(F.col(column).alias("value")).agg(F.count(F.lit(1)).alias("failing"))
 
 
-def row_count_range(tables: dict[str, tuple[DataFrame, str, int, int]]) -> DataFrame:
-    """Rows with a key per table, against minimum and maximum."""
-    parts = []
-    for name, (df, key, low, high) in tables.items():
-        n = df.agg(F.count(key).alias("row_count"))
-        parts.append(
-            n.select(
-                F.lit(name).alias("table_name"), "row_count", F.lit(low).cast("bigint").alias("min_expected"),
-                F.lit(high).cast("bigint").alias("max_expected"), verdict(F.col("row_count").between(low, high)).alias("status"),
-            )
-        )
-    return union_all(parts)
-
-
 def union_all(parts: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), parts)
 
@@ -152,14 +140,58 @@ def named_checks(t, movements: DataFrame, executive: DataFrame, as_of: dt.date)
     )
 
 
+@dataclass(frozen=True)
+class TableChecks:
+    """A table with its key, the accepted number of keyed rows, and conditions that no row may meet."""
+
+    rows: DataFrame
+    key: str
+    low: int
+    high: int
+    layer: str = "raw"
+    broken: dict[str, Column] = field(default_factory=dict)
+
+
+def table_results(tables: dict[str, TableChecks]) -> DataFrame:
+    """A row for every check of every table: (layer, table_name, check_name, measured, low, high, status).
+
+    All checks of a table are measured in one scan of it, as one aggregation.
+    """
+    parts = []
+    for name, t in tables.items():
+        checks = {"row_count": (F.count(t.key), t.low, t.high)} | {c: (count_if(e), 0, 0) for c, e in t.broken.items()}
+        counts = t.rows.agg(*[m.cast("bigint").alias(f"c{i}") for i, (m, _, _) in enumerate(checks.values())])
+        rows = [F.struct(F.lit(c).alias("check_name"), F.col(f"c{i}").alias("measured"), F.lit(low).cast("bigint").alias("low"), F.lit(high).cast("bigint").alias("high")) for i, (c, (_, low, high)) in enumerate(checks.items())]
+        parts.append(counts.select(F.lit(t.layer).alias("layer"), F.lit(name).alias("table_name"), F.inline(F.array(*rows))))
+    return union_all(parts).withColumn("status", verdict(F.col("measured").between(F.col("low"), F.col("high"))))
+
+
+def observed(name: str, t: TableChecks) -> tuple[DataFrame, Callable[[], list[dict]]]:
+    """The table's rows, measured while they are written or read for another purpose, and a function that then gives the results.
+
+    No scan is added: the measures are collected by the job that consumes the rows. The function
+    raises if no job has done so.
+    """
+    seen = Observation(f"checks of {name}")
+    conditions = {c: count_if(e).cast("bigint").alias(f"c{i}") for i, (c, e) in enumerate(t.broken.items())}
+    rows = t.rows.observe(seen, F.count(t.key).alias("n"), *conditions.values())
+
+    def results() -> list[dict]:
+        found = seen.get
+        checks = [("row_count", found["n"], t.low, t.high)] + [(c, found[f"c{i}"], 0, 0) for i, c in enumerate(t.broken)]
+        return [{"layer": t.layer, "table_name": name, "check_name": c, "measured": n, "low": low, "high": high, "status": "PASS" if low <= n <= high else "FAIL"} for c, n, low, high in checks]
+
+    return rows, results
+
+
 def report(results: DataFrame) -> DataFrame:
-    """All result rows, the totals, and the overall status as the last rows."""
-    overall = results.agg(
-        F.count(F.lit(1)).alias("checks"),
-        count_if(F.col("status") == "PASS").alias("passed"),
-        count_if(F.col("status") == "FAIL").alias("failed"),
-    )
-    return overall.withColumn("overall", verdict(F.col("failed") == 0))
+    """All result rows, then a row of totals for each table and one for all: ``failed`` of ``checks``."""
+    totals = results.groupBy("table_name").agg(F.count(F.lit(1)).alias("checks"), count_if(F.col("status") == "FAIL").alias("failed"))
+    overall = totals.agg(F.sum("checks").alias("checks"), F.sum("failed").alias("failed"))
+    line = lambda df, level, table, check: df.select(
+        F.lit(level).alias("level"), table.alias("table_name"), check.alias("check_name"), F.col("checks"), F.col("failed"), verdict(F.col("failed") == 0).alias("status"))
+    one = results.withColumns({"checks": F.lit(1).cast("bigint"), "failed": F.when(F.col("status") == "FAIL", 1).otherwise(0).cast("bigint")})
+    return union_all([line(one, "check", F.col("table_name"), F.col("check_name")), line(totals, "table", F.col("table_name"), F.lit("all")), line(overall, "overall", F.lit("all"), F.lit("all"))])
 
 
 def fail_fast(results: DataFrame) -> None:
@@ -169,6 +201,12 @@ def fail_fast(results: DataFrame) -> None:
         raise AssertionError(f"data quality check failed: {first[0].asDict()}")
 
 
+def fail_fast_tables(tables: dict[str, TableChecks]) -> None:
+    """Check one table after another and raise at the first that fails, before the others are read."""
+    for name, t in tables.items():
+        fail_fast(table_results({name: t}))
+
+
 # Rules every mart must satisfy: required columns, key, accepted values, ranges.
 MART_RULES = {
     "fct_mrr_movements": {

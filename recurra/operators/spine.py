@@ -106,24 +106,28 @@ def subscription_months(subscriptions: DataFrame, as_of: dt.date, since: Column
     )
 
 
-def running_months(spans: DataFrame, keys: list[str], owner: str, sums: dict[str, Column]) -> DataFrame:
-    """Sums of ``spans`` (``_from``, ``_to``) in each month that one of them covers, by ``keys`` and month.
+def running_spans(spans: DataFrame, keys: list[str], owner: str, sums: dict[str, Column]) -> DataFrame:
+    """Sums of ``spans`` (``_from``, ``_to``) by ``keys`` as long as they hold: from month ``_since`` to before ``_until``.
 
     A sweep: every span adds its values in its first month and takes them back in the month
     behind its last. These ends are summed by key and month, and running sums over
-    the sorted ends hold until the next one, so months are generated once for all spans of a
-    key and not for each span. Values must be whole numbers; a sum without any value is NULL.
+    the sorted ends hold until the next one. Values must be whole numbers; a sum without
+    any value is NULL.
     """
     counted = {f"_n_{c}": v.isNotNull().cast("bigint") for c, v in sums.items()}
     values = {c: F.coalesce(v.cast("bigint"), F.lit(0)) for c, v in sums.items()} | counted | {"_spans": F.lit(1).cast("bigint")}
     named = spans.where(months_apart(F.col("_from"), F.col("_to")) >= 0).select(*keys, "_from", "_to", *[v.alias(c) for c, v in values.items()])
     ends = F.array(
-        F.struct(month_start("_from").alias("month_start"), F.lit(1).alias("_sign")),
-        F.struct(F.add_months(month_start("_to"), 1).alias("month_start"), F.lit(-1).alias("_sign")),
+        F.struct(month_start("_from").alias("_since"), F.lit(1).alias("_sign")),
+        F.struct(F.add_months(month_start("_to"), 1).alias("_since"), F.lit(-1).alias("_sign")),
     )
-    deltas = named.select(*keys, *values, F.inline(ends)).groupBy(*keys, "month_start").agg(*[F.sum(F.col(c) * F.col("_sign")).alias(c) for c in values])
-    order = Window.partitionBy(*keys).orderBy("month_start")
-    running = deltas.repartition(owner).withColumns({c: F.sum(c).over(order) for c in values} | {"_until": F.lead("month_start").over(order)})
-    live = running.where("_spans > 0").withColumnRenamed("month_start", "_since")
-    months = with_months(live, F.col("_since"), F.add_months("_until", -1))
-    return months.select(*keys, "month_start", *[F.when(F.col(f"_n_{c}") > 0, F.col(c)).alias(c) for c in sums])
+    deltas = named.select(*keys, *values, F.inline(ends)).groupBy(*keys, "_since").agg(*[F.sum(F.col(c) * F.col("_sign")).alias(c) for c in values])
+    order = Window.partitionBy(*keys).orderBy("_since")
+    running = deltas.repartition(owner).withColumns({c: F.sum(c).over(order) for c in values} | {"_until": F.lead("_since").over(order)})
+    return running.where("_spans > 0").select(*keys, "_since", "_until", *[F.when(F.col(f"_n_{c}") > 0, F.col(c)).alias(c) for c in sums])
+
+
+def running_months(spans: DataFrame, keys: list[str], owner: str, sums: dict[str, Column]) -> DataFrame:
+    """:func:`running_spans` month by month: months are generated once for all spans of a key and not for each span."""
+    live = running_spans(spans, keys, owner, sums)
+    return with_months(live, F.col("_since"), F.add_months("_until", -1)).select(*keys, "month_start", *sums)

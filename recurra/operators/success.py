@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from recurra.config import MetricConfig, Tables
 from recurra.functions.expr import MONEY, count_if, mean_exact, rounded, surrogate_key
-from recurra.operators.cohorts import cohort_rows
+from recurra.operators.cohorts import retention_at
 from recurra.operators.funnel import conversion_rows
 from recurra.operators.health import fct_account_monthly_health
 
@@ -64,11 +64,8 @@ def account_lifetime(subscriptions: DataFrame) -> DataFrame:
     )
 
 
-def cohort_context(rows: DataFrame) -> DataFrame:
-    at = lambda k: F.max(F.when(F.col("months_since_created") == k, F.col("retention_status")))
-    return rows.groupBy("account_id", "cohort_month").agg(
-        *[at(k).alias(f"retention_status_{k}m") for k in (3, 6, 12)]
-    )
+def cohort_context(t: Tables, as_of: dt.date) -> DataFrame:
+    return retention_at(t, as_of, (3, 6, 12))
 
 
 def conversion_context(rows: DataFrame) -> DataFrame:
@@ -86,7 +83,7 @@ def conversion_context(rows: DataFrame) -> DataFrame:
 def customer_success_summary(t: Tables, cfg: MetricConfig, as_of: dt.date, health: DataFrame | None = None) -> DataFrame:
     """One row per account: all inputs are already keyed by account_id before the joins. ``health`` is the stored health mart."""
     latest = recent_states(fct_account_monthly_health(t, cfg, as_of) if health is None else health)
-    cohort = cohort_context(cohort_rows(t, as_of)).drop("cohort_month")
+    cohort = cohort_context(t, as_of).drop("cohort_month")
     joined = (
         latest.join(account_lifetime(t.subscriptions), "account_id", "left")
         .join(conversion_context(conversion_rows(t)), "account_id", "left")

@@ -172,7 +172,7 @@ query("conversion_simple")(lambda s: funnel.conversion_simple(s.t.leads))
 # success
 query("health_trend")(lambda s: success.health_trend(scores(s)))
 query("account_lifetime")(lambda s: success.account_lifetime(s.t.subscriptions))
-query("cohort_context")(lambda s: success.cohort_context(retention(s)))
+query("cohort_context")(lambda s: success.cohort_context(s.t, AS_OF))
 query("mart_customer_success_summary")(summary)
 query("latest_snapshot_simple")(lambda s: success.latest_snapshot_simple(scores(s)))
 query("cs_monthly_rollup")(lambda s: success.cs_monthly_rollup(scores(s)))

@@ -9,7 +9,7 @@ from recurra.functions import scalars as sc
 from recurra.functions.expr import age_months, clamp, divide_or, month_key, percent, rounded, safe_divide, surrogate_key
 from recurra.operators import extras, mrr, quality as dq, relational as rel, silver, spine, staging, usage
 from recurra.plans.customers import cohort_fact, conversions, scores, summary, usage_rows
-from recurra.plans.registry import AS_OF, CFG, Source, query
+from recurra.plans.registry import AS_OF, CFG, QUERIES, Source, query
 from recurra.plans.revenue import executive, movements
 from recurra.sources import adapter
 
@@ -283,15 +283,43 @@ query("dq_between_mostly")(
     )
 )
 query("dq_positive_values")(lambda s: dq.positive_values(s.t.subscriptions, "seats_used"))
-query("dq_row_count_range")(
-    lambda s: dq.row_count_range(
-        {
-            "accounts": (s.t.accounts, "account_id", 100, 1000000), "subscriptions": (s.t.subscriptions, "subscription_id", 200, 600),
-            "invoices": (s.t.invoices, "invoice_id", 1000, 10000), "usage_events": (s.t.usage_events, "event_id", 5000, 100000),
-            "tickets": (s.t.tickets, "ticket_id", 500, 5000), "leads": (s.t.leads, "lead_id", 500, 3000),
-        }
-    )
-)
+# Layers, tables, keys and accepted numbers of keyed rows.
+ROW_RANGES = [
+    ("raw", "raw_plans", "plan_id", 4, 20), ("raw", "raw_features", "feature_id", 10, 100), ("raw", "raw_calendar", "full_date", 700, 1000),
+    ("raw", "raw_accounts", "account_id", 200, 500), ("raw", "raw_subscriptions", "subscription_id", 200, 600), ("raw", "raw_invoices", "invoice_id", 1000, 10000),
+    ("raw", "raw_usage_events", "event_id", 5000, 100000), ("raw", "raw_tickets", "ticket_id", 500, 5000), ("raw", "raw_leads", "lead_id", 500, 3000),
+    ("staging", "stg_plans", "plan_id", 4, 20), ("staging", "stg_features", "feature_id", 10, 100), ("staging", "stg_calendar", "calendar_date", 700, 1000),
+    ("staging", "stg_accounts", "account_id", 200, 500), ("staging", "stg_subscriptions", "subscription_id", 200, 600), ("staging", "stg_invoices", "invoice_id", 1000, 10000),
+    ("staging", "stg_usage_events", "event_id", 5000, 100000), ("staging", "stg_support_tickets", "ticket_id", 500, 5000), ("staging", "stg_leads", "lead_id", 500, 3000),
+    ("marts", "fct_mrr_movements", "month_start", 500, 10000), ("marts", "exec_revenue_summary", "month_start", 12, 36), ("marts", "fct_sales_conversion", "lead_id", 500, 3000),
+]
+
+
+def checked_tables(s) -> dict[str, dq.TableChecks]:
+    """All layers with their row-count rules and the conditions that no row may meet."""
+    raw = adapter.raw_layer(s.spark, s.sf_dir)
+    stg = {n: lambda n=n: QUERIES[n](s.spark, s.sf_dir) for _, n, *_ in ROW_RANGES if n.startswith("stg_")}
+    marts = {"fct_mrr_movements": lambda: movements(s), "exec_revenue_summary": lambda: executive(s), "fct_sales_conversion": lambda: conversions(s)}
+    frames = {f"raw_{n}": lambda n=n: raw[n] for n in raw} | stg | marts
+    c = F.col
+    broken = {
+        "raw_subscriptions": {"seats unreadable": c("seats_purchased").try_cast("int").isNull()},
+        "stg_subscriptions": {"mrr negative": c("mrr") < 0, "account missing": c("account_id").isNull()},
+        "stg_invoices": {"amount not positive": c("amount") <= 0},
+        "stg_support_tickets": {"csat out of range": ~c("csat_score").between(1, 5)},
+        "fct_mrr_movements": {"mrr negative": c("mrr") < 0, "payment failed": c("has_payment_failure")},
+        "exec_revenue_summary": {"nrr out of range": ~c("nrr").between(0.5, 2.0)},
+    }
+    return {n: dq.TableChecks(frames[n](), key, low, high, layer, broken.get(n, {})) for layer, n, key, low, high in ROW_RANGES}
+
+
+@query("dq_row_count_range")
+def _row_counts(s):
+    rows = dq.table_results(checked_tables(s)).where("check_name = 'row_count'")
+    return rows.select("layer", "table_name", F.col("measured").alias("row_count"), F.col("low").alias("min_expected"), F.col("high").alias("max_expected"), "status")
+
+
+query("dq_table_checks")(lambda s: dq.table_results(checked_tables(s)))
 
 
 def checks(s):
@@ -299,7 +327,14 @@ def checks(s):
 
 
 query("dq_sql_checks")(checks)
-query("dq_report")(lambda s: dq.report(checks(s)))
+
+
+@query("dq_report")
+def _report(s):
+    shared = ["table_name", "check_name", "status"]
+    return dq.report(checks(s).select(*shared).unionByName(dq.table_results(checked_tables(s)).select(*shared)))
+
+
 query("dq_freshness")(
     lambda s: dq.freshness(
         adapter.raw_text(s.t.invoices, "invoices", {"status": "draft"}), "invoices", adapter.LOADED_AT + dt.timedelta(hours=30)

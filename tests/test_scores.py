@@ -92,3 +92,30 @@ def test_funnel_stages(spark, subs, reached, stage, order):
     t = Tables(None, None, None, subs((1, 9, "starter", 1, "2020-01-01", None)), None, None, None, lead)
     r = funnel.funnel_progression(t).collect()[0]
     assert (r["funnel_stage"], r["funnel_stage_order"], r["conversion_velocity"]) == (stage, order, "in_progress")
+
+
+def test_checks_are_measured_while_rows_are_written(spark, tmp_path):
+    from pyspark.sql import functions as F
+    from recurra.operators import quality as dq
+
+    rows = spark.createDataFrame([(1, 5.0), (2, -1.0), (None, 3.0)], "id int, mrr double")
+    checks = dq.TableChecks(rows, "id", 1, 10, "marts", {"mrr negative": F.col("mrr") < 0, "id missing": F.col("id").isNull()})
+    seen, results = dq.observed("t", checks)
+    seen.write.parquet(str(tmp_path / "t"))
+    want = dq.table_results({"t": checks}).collect()
+    assert results() == [r.asDict() for r in want]
+    assert [(r.check_name, r.measured, r.status) for r in want] == [("row_count", 2, "PASS"), ("mrr negative", 1, "FAIL"), ("id missing", 1, "FAIL")]
+    lines = {(r.level, r.check_name): (r.checks, r.failed, r.status) for r in dq.report(dq.table_results({"t": checks})).collect()}
+    assert lines[("overall", "all")] == lines[("table", "all")] == (3, 2, "FAIL") and lines[("check", "row_count")] == (1, 0, "PASS")
+
+
+def test_fail_fast_stops_before_the_next_table(spark):
+    import pytest
+    from pyspark.sql import functions as F
+    from recurra.operators import quality as dq
+
+    few = spark.range(2)
+    unread = spark.range(3).select(F.raise_error(F.lit("read")).cast("long").alias("id"))
+    with pytest.raises(AssertionError, match="data quality check failed"):
+        dq.fail_fast_tables({"a": dq.TableChecks(few, "id", 5, 9), "b": dq.TableChecks(unread, "id", 0, 9)})
+    dq.fail_fast_tables({"a": dq.TableChecks(few, "id", 1, 9)})
