@@ -47,6 +47,21 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(*tables: DataFrame) -> None:
+    """Delete tables of :func:`stored` that no later step reads.
+
+    Only where all that was derived from them is stored too: a shuffle that is lost with its
+    executor would have to read them again.
+    """
+    for df in tables:
+        spark = df.sparkSession
+        files = df.inputFiles()
+        if files:
+            folder = spark._jvm.org.apache.hadoop.fs.Path(files[0]).getParent()
+            folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+        spark._jvm.System.gc()  # the cleaner drops the shuffle files of plans that nothing holds any more
+
+
 def in_fold(doc_id: Column, folds: int = 5, fold: int = 0) -> Column:
     """Rows of one fold by checksum of the id; rows without an id belong to no fold."""
     return F.coalesce(F.crc32(doc_id.cast("string")) % folds == fold, F.lit(False))

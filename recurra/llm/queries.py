@@ -69,7 +69,7 @@ def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return order_minhash.classes(table(spark, sf_dir, "documents")).select("doc_id", "class_id")
+    return order_minhash.classes(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_links")
 
 
 @query

@@ -255,18 +255,59 @@ def test_near_duplicates_of_edge_rows(edge, edge_rows, none):
     home = {}
     for r in rows:
         home.setdefault(r.doc_id, set()).add(r.class_id)
-    assert home[4] == home[7] == {4} and home[5] == {4, 5} and home[1] == home[2] == home[3] == {None}
+    assert home[4] == home[7] == {4} and home[5] == {4, 5} and len(home[1]) == 1 and home[1] == home[2] == home[3] < home[None]
+    # a class has one name, and no other class has it
+    assert len({(r.class_id, r.class_key) for r in rows}) == len({r.class_id for r in rows}) == len({r.class_key for r in rows})
+    assert {r.least_id for r in rows if r.doc_id in (1, 2, 3)} == {None} and min(home[1]) < 0
     kept = Counter((r.doc_id, r.text) for r in order_minhash.keep_one(edge).collect())
     assert max(kept.values()) == 1 and len(kept) == len({(r.class_key) for r in rows})
     assert order_minhash.classes(none).count() == 0 and order_minhash.keep_one(none).count() == 0
 
 
+def test_classes_of_texts_that_share_an_id(spark):
+    rng = random.Random(12)
+    text = lambda: " ".join(f"w{rng.randrange(5000)}" for _ in range(60))
+    near = lambda t: t + " tail"
+    a, b, c, d = text(), text(), text(), text()
+    rows = [(None, a), (None, b), (7, c), (7, d), (8, near(d)), (None, near(a)), (9, "x y")] + [(None, text()) for _ in range(150)] + [(None, b)] * 3
+    got = order_minhash.classes(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    assert len(got) == len(rows)
+    classes = {}
+    for r in got:
+        classes.setdefault(r.class_id, set()).add((r.doc_id, r.key, r.n_links))
+    assert sorted(len({k for _, k, _ in members}) for members in classes.values())[-2:] == [2, 2] and len(classes) == 4 + 1 + 150
+    assert sum(r.n_links for r in got) == 4 and len({r.class_key for r in got}) == len(classes)
+    assert {r.class_id for r in got if r.doc_id == 8} < {r.class_id for r in got if r.doc_id == 7}
+    # rows without an id are joined with the texts they equal, not with each other
+    nodes = spark.createDataFrame([(0, None, 5)], "id long, doc long, mark long")
+    assert order_minhash.gram_rows(spark.createDataFrame(rows, "doc_id long, text string"), nodes, order_minhash.Params()).count() == 0
+
+
 def test_components_of_long_chains(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101)], "id long, least long")
     got = {r.id: r.root for r in order_minhash.components(edges).collect()}
     assert got == {**{i: 0 for i in range(1, 41)}, 101: 100}
 
 
+def test_pipeline_of_odd_rows(spark, edge, edge_rows, none, tmp_path, monkeypatch):
+    """Nulls, empty and very long texts, ties, repeated rows, clashing columns and an empty table, through every stage in sequence."""
+    labels = spark.createDataFrame([(4, 1, 0), (7, 1, 0), (12, 0, 0), (None, 1, None), (6, None, 0)], "doc_id long, quality int, toxic int")
+    for name, docs in (("odd", edge), ("none", none)):
+        folder = tmp_path / name
+        docs.write.parquet(f"{folder}/documents.parquet")
+        labels.write.parquet(f"{folder}/labels.parquet")
+        now = spark.read.parquet(f"{folder}/documents.parquet")
+        for stage, fn in corpus_pipeline.STAGES[:-1]:
+            before = Counter(map(str, now.collect()))
+            out = corpus_pipeline.stored(fn(spark, now, str(folder)), f"odd-{stage}")
+            assert out.columns == docs.columns
+            after = Counter(map(str, out.collect()))
+            assert after <= before or stage == "secret_scan" and after.total() == before.total()
+            now = out
+        packed = corpus_pipeline.run(spark, str(folder)).collect()
+        assert {r.doc_id for r in packed} == {r.doc_id for r in now.collect()}
+
+
 def test_pipeline_stage_by_stage(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
     names = [n for n, _ in corpus_pipeline.STAGES]
