@@ -3,6 +3,11 @@
 Each stage takes (spark, docs, sf_dir) and works on everything that the stage before it
 kept. All but the last return the columns of ``documents`` as they came in; the last
 returns the pieces of the packed sequences.
+
+In every stage null texts are empty, null and repeated ids are kept as rows of their own,
+whole texts of any length are read, other columns pass through under whatever names, and an
+empty table gives an empty result. Texts with too few words, the empty ones among
+them, do not pass the quality rules.
 """
 
 from __future__ import annotations
