@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import tempfile
 import zipfile
 from collections.abc import Callable, Iterator
@@ -26,8 +29,15 @@ def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 
 
-def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str) -> DataFrame:
-    """``fn`` over each Arrow batch; rows are independent, so a lost task is simply run again."""
+def give_back() -> None:
+    """Return the memory that a task has freed to the machine; workers stay for the next stages."""
+    gc.collect()
+    with contextlib.suppress(OSError, AttributeError):  # other C libraries have no such call
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str, done: Callable[[], None] | None = None) -> DataFrame:
+    """``fn`` over each Arrow batch, ``done`` at the end of each task; rows are independent, so a lost task is simply run again."""
     short_batches(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -36,6 +46,8 @@ def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], s
                 yield fn(batch)
         # workers are used again by other stages, so buffers go back to the machine
         pa.default_memory_pool().release_unused()
+        if done:
+            done()
 
     return df.mapInArrow(run, schema)
 

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from recurra.llm.bpe import bpe
-from recurra.llm.common import map_batches, short_batches, stored, text_or_empty
+from recurra.llm.common import give_back, map_batches, short_batches, stored, text_or_empty
 from recurra.session import reliable_checkpoint
 
 OPEN, GAP = 0, 1
@@ -54,7 +54,12 @@ def pieces(docs: DataFrame, tokenizer: str, params: Params = Params(), with_ids:
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids array<int>" * with_ids
-    return map_batches(rows, run, schema)
+
+    def done() -> None:
+        bpe(tokenizer).cache.clear()
+        give_back()
+
+    return map_batches(rows, run, schema, done)
 
 
 def left_over(kinds: np.ndarray) -> tuple[int, int]:
