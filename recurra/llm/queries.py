@@ -94,6 +94,20 @@ def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(spelling.count_words(table(spark, sf_dir, "documents"), changed=31))
 
 
+ORACLES["op11_hard_negatives"] = """WITH live AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same, cast(list_inner_product(a.v, b.v) AS BIGINT) AS score
+  FROM live a JOIN live b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id),
+positives AS (SELECT anchor_id, id, score FROM scored WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5),
+negatives AS (
+  SELECT p.anchor_id, p.id AS positive_id, n.id AS negative_id, p.score AS positive_score, n.score AS negative_score,
+    row_number() OVER (PARTITION BY p.anchor_id, p.id ORDER BY n.score DESC, n.id) AS place
+  FROM positives p JOIN scored n USING (anchor_id) WHERE NOT n.same AND 100 * n.score BETWEEN 50 * p.score AND 95 * p.score)
+SELECT anchor_id, positive_id, cast(place AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM negatives WHERE place <= 3"""
+
+
 @query
 def op12_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
