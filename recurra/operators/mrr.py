@@ -339,21 +339,27 @@ def revenue_by_segment(movements: DataFrame) -> DataFrame:
     )
 
 
-def top_expanding_per_month(movements: DataFrame, k: int | None = None) -> DataFrame:
-    rows = movements.where(F.col("mrr_movement_type") == "expansion").select(
+def expanding_rows(movements: DataFrame) -> DataFrame:
+    return movements.where(F.col("mrr_movement_type") == "expansion").select(
         "month_key", "account_id", *[a for a in ATTRIBUTES if a != "acquisition_channel"], "plan_name", "mrr",
         "expansion_mrr", "mrr_delta",
     )
-    return rank_within(rows, "month_key", "expansion_mrr", "account_id", "expansion_rank", k)
 
 
-def top_churn_loss_per_month(movements: DataFrame, k: int | None = None) -> DataFrame:
-    rows = movements.where(F.col("mrr_movement_type").isin("churned", "contraction")).select(
+def top_expanding_per_month(movements: DataFrame, k: int | None = None) -> DataFrame:
+    return rank_within(expanding_rows(movements), "month_key", "expansion_mrr", "account_id", "expansion_rank", k)
+
+
+def churn_loss_rows(movements: DataFrame) -> DataFrame:
+    return movements.where(F.col("mrr_movement_type").isin("churned", "contraction")).select(
         "month_key", "account_id", *[a for a in ATTRIBUTES if a != "acquisition_channel"], "plan_name", "mrr",
         "churned_mrr", "contraction_mrr", "mrr_movement_type",
         (F.col("churned_mrr") + F.col("contraction_mrr")).alias("mrr_loss"),
     )
-    return rank_within(rows, "month_key", "mrr_loss", "account_id", "churn_risk_rank", k)
+
+
+def top_churn_loss_per_month(movements: DataFrame, k: int | None = None) -> DataFrame:
+    return rank_within(churn_loss_rows(movements), "month_key", "mrr_loss", "account_id", "churn_risk_rank", k)
 
 
 # --- variants -----------------------------------------------------------------

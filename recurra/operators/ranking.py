@@ -28,15 +28,25 @@ def _rank_all(df: DataFrame, group: str, value: str, tiebreak: str, out: str) ->
     The sorted rows are checkpointed so that partition numbers stay fixed if an
     executor is lost.
     """
+    placed = reliable_checkpoint(sorted_pieces(df, group, value, tiebreak))
+    return ranked(placed, piece_offsets(placed, group), group, out)
+
+
+def sorted_pieces(df: DataFrame, group: str, value: str, tiebreak: str) -> DataFrame:
+    """Rows in order with the sorted partition that holds them and their place in it; to be stored before they are used."""
     ordered = df.orderBy(F.col(group), F.desc(value), F.col(tiebreak))
-    placed = reliable_checkpoint(
-        ordered.withColumn("_part", F.spark_partition_id()).withColumn("_seq", F.monotonically_increasing_id())
-    )
+    return ordered.withColumn("_part", F.spark_partition_id()).withColumn("_seq", F.monotonically_increasing_id())
+
+
+def piece_offsets(placed: DataFrame, group: str) -> DataFrame:
+    """For each group and sorted partition, the first place there and the rows of the group before it."""
     pieces = placed.groupBy(group, "_part").agg(F.min("_seq").alias("_first"), F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = pieces.select(
-        group, "_part", "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before")
-    )
+    return pieces.select(group, "_part", "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+
+
+def ranked(placed: DataFrame, offsets: DataFrame, group: str, out: str) -> DataFrame:
+    """Stored pieces with the position of every row in its group, from the offsets stored beside them."""
     position = (F.col("_seq") - F.col("_first") + F.col("_before") + 1).cast("int")
     return placed.join(offsets, [group, "_part"]).withColumn(out, position).drop("_part", "_seq", "_first", "_before")
 

@@ -23,6 +23,7 @@ from recurra.functions.expr import (
     rounded,
     safe_divide,
 )
+from recurra.operators.intervals import interval_join
 from recurra.operators.mrr import account_month_mrr, invoice_monthly
 from recurra.operators.ranking import positions, rank_within
 from recurra.operators.reports import whole
@@ -63,19 +64,15 @@ def join_month_spine(subscriptions: DataFrame, as_of: dt.date) -> DataFrame:
 def join_theta_spine(subscriptions: DataFrame, months: DataFrame, as_of: dt.date) -> DataFrame:
     """The same interval join against a real month table.
 
-    Each interval is cut into calendar years, so the range condition runs behind
-    an equi-join on the year instead of a nested loop over all months.
+    Days are positions and intervals are covered by aligned blocks of days, so this is an
+    equi-join on blocks instead of a nested loop over all months.
     """
     last = F.least(F.coalesce("end_date", day(as_of)), day(as_of))
-    cut = subscriptions.select(
-        "subscription_id",
-        month_start("start_date").alias("first_month"),
-        last.alias("last_day"),
-        F.explode(F.sequence(F.year("start_date"), F.year(last))).alias("year"),
+    spans = subscriptions.select(
+        "subscription_id", F.unix_date(month_start("start_date")).alias("low"), F.unix_date(last).alias("high")
     )
-    spine = months.select("month_start", F.year("month_start").alias("year"))
-    inside = (F.col("month_start") >= F.col("first_month")) & (F.col("month_start") <= F.col("last_day"))
-    return cut.join(spine, "year").where(inside).select("subscription_id", "month_start")
+    spine = months.select("month_start", F.unix_date("month_start").alias("at"))
+    return interval_join(spans, spine, "low", "high", "at").select("subscription_id", "month_start")
 
 
 def join_truncated_key(events: DataFrame, months: DataFrame) -> DataFrame:

@@ -232,9 +232,9 @@ def top_accounts(success: DataFrame, movements: DataFrame, sort_by: str = "churn
         rows = rows.where(F.col("churn_risk_level").isin(RISKY)).withColumn("sort_value", F.col("risk_priority_score"))
     else:
         grown = movements.where(F.col("expansion_mrr") > 0).select(
-            "account_id", F.col("month_key").alias("snapshot_month"), F.col("expansion_mrr").cast("double").alias("sort_value")
+            "account_id", F.col("month_start").alias("snapshot_date"), F.col("expansion_mrr").cast("double").alias("sort_value")
         )
-        rows = rows.join(grown, ["account_id", "snapshot_month"])
+        rows = rows.join(grown, ["account_id", "snapshot_date"])
     return rows.orderBy(F.desc_nulls_last("sort_value"), "account_id").limit(limit).select(
         "account_id", "company_name", "plan_name", "region", "industry", "company_size", "mrr", "arr", "health_score",
         "health_tier", "churn_risk_level", "risk_reasons", "health_trend", "sort_value",

@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from recurra.config import MetricConfig, Tables
 from recurra.operators import cohorts, funnel, health, mrr, spine, success, support, usage
 from recurra.operators.incremental import first_paid_months
+from recurra.operators.ranking import piece_offsets, sorted_pieces
 from recurra.operators.reports import mrr_waterfall
 from recurra.operators.silver import latest_per_key
 from recurra.operators.staging import stg_features
@@ -155,6 +156,15 @@ model("customer_success_summary", "fct_account_monthly_health")(
     lambda c: success.customer_success_summary(c.t, c.cfg, c.as_of, c.whole("fct_account_monthly_health")))
 
 
+# full rankings: sorted rows and, beside them, the offset of each sorted partition
+model("expanding_sorted", "fct_mrr_movements")(
+    lambda c: sorted_pieces(mrr.expanding_rows(c.whole("fct_mrr_movements")), "month_key", "expansion_mrr", "account_id"))
+model("expanding_offsets", "expanding_sorted")(lambda c: piece_offsets(c.whole("expanding_sorted"), "month_key"))
+model("churn_loss_sorted", "fct_mrr_movements")(
+    lambda c: sorted_pieces(mrr.churn_loss_rows(c.whole("fct_mrr_movements")), "month_key", "mrr_loss", "account_id"))
+model("churn_loss_offsets", "churn_loss_sorted")(lambda c: piece_offsets(c.whole("churn_loss_sorted"), "month_key"))
+
+
 @model("exec_waterfall", "mrr_movement_rows")
 def _waterfall(c: Context) -> DataFrame:
     return mrr_waterfall(c.whole("mrr_movement_rows").withColumn("is_churned", F.col("mrr_movement_type") == "churned"))

@@ -11,6 +11,8 @@ from recurra.operators import extras, mrr, quality as dq, relational as rel, sil
 from recurra.plans.customers import cohort_fact, conversions, scores, summary, usage_rows
 from recurra.plans.registry import AS_OF, CFG, QUERIES, Source, query
 from recurra.plans.revenue import executive, movements
+from recurra.plans.snapshots import StoredHistory
+from recurra.session import scratch_path
 from recurra.sources import adapter
 
 
@@ -374,9 +376,18 @@ def _log(s):
     return extras.request_log_rollup(log)
 
 
-query("scd2_snapshot")(
-    lambda s: extras.scd2_history(
-        s.t.subscriptions.select("account_id", F.col("start_date").alias("updated_at"), "plan_name", "mrr"), "account_id", "updated_at"
-    )
-)
+@query("scd2_snapshot")
+def _scd2(s):
+    """Three extracts that overlap by a year, merged one after the other into a stored history."""
+    versions = s.t.subscriptions.select("account_id", F.col("start_date").alias("updated_at"), "plan_name", "mrr")
+    history = StoredHistory(s.spark, scratch_path(s.spark, "history"), "account_id", "updated_at")
+    since = None
+    for until in (dt.date(1994, 6, 30), dt.date(1996, 6, 30), None):
+        at = F.col("updated_at")
+        extract = versions.where(at > F.add_months(F.lit(since), -12)) if since else versions
+        history.apply(extract.where(at <= F.lit(until)) if until else extract)
+        since = until
+    return history.ranges()
+
+
 query("flag_inactive_churn")(lambda s: extras.inactive_churn(s.t.accounts, s.t.usage_events, CFG, AS_OF))

@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from recurra.config import MetricConfig
-from recurra.session import scratch_path
+from recurra.plans.published import Published
 from recurra.sources import adapter
-from recurra.sources.files import write_full_refresh
 
 CFG = MetricConfig()
 AS_OF = adapter.AS_OF
@@ -23,11 +23,10 @@ class Source:
         self.spark, self.sf_dir = spark, sf_dir
         self.t = adapter.tables(spark, sf_dir)
 
-    def stored(self, df: DataFrame, month: str) -> DataFrame:
-        """The mart as reports meet it: written once by month, so the newest month is one partition."""
-        path = scratch_path(self.spark, "mart")
-        write_full_refresh(df, path, month)
-        return self.spark.read.parquet(path)
+    @cached_property
+    def marts(self) -> Published:
+        """Stored marts as reports meet them."""
+        return Published(self.spark, self.sf_dir, self.t, CFG, AS_OF)
 
     def raw(self, name: str) -> DataFrame:
         return adapter.read_table(self.spark, self.sf_dir, name)

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from recurra.operators import reports as r
-from recurra.plans.customers import cohort_fact, conversions, scores, summary
+from recurra.plans.customers import cohort_fact, conversions, scores
 from recurra.plans.registry import AS_OF, query
 from recurra.plans.revenue import executive, movements
 
@@ -11,15 +11,15 @@ LEAD_MONTHS = 72
 
 
 def kept_movements(s):
-    return s.stored(movements(s), "month_start")
+    return s.marts.newest("fct_mrr_movements")
 
 
 def kept_health(s):
-    return s.stored(scores(s), "month_start")
+    return s.marts.newest("fct_account_monthly_health")
 
 
 def kept_summary(s):
-    return s.stored(summary(s), "snapshot_date")
+    return s.marts.mart("customer_success_summary")
 
 
 query("v_current_mrr_summary")(lambda s: r.current_mrr_summary(executive(s)))
@@ -27,7 +27,7 @@ query("v_active_accounts_health")(lambda s: r.active_accounts_health(kept_health
 query("v_mrr_waterfall")(lambda s: r.mrr_waterfall(movements(s)))
 query("v_revenue_by_plan")(lambda s: r.latest_revenue_by(kept_movements(s), "plan_name"))
 query("v_revenue_by_region")(lambda s: r.latest_revenue_by(kept_movements(s), "region"))
-query("v_top_expanding_accounts")(lambda s: r.top_expanding_accounts(kept_movements(s), kept_health(s)))
+query("v_top_expanding_accounts")(lambda s: r.top_expanding_accounts(kept_movements(s), s.marts.mart("fct_account_monthly_health")))
 query("v_churn_risk_accounts")(lambda s: r.churn_risk_accounts(kept_health(s)))
 query("v_funnel_summary")(lambda s: r.funnel_summary(conversions(s)))
 query("v_current_mrr")(lambda s: r.current_mrr(s.t.subscriptions, s.t.accounts))
@@ -50,7 +50,7 @@ def _dims(s):
 
 @query("report_top_accounts")
 def _top(s):
-    cs, m = kept_summary(s), kept_movements(s)
+    cs, m = kept_summary(s), s.marts.mart("fct_mrr_movements")
     parts = [r.top_accounts(cs, m, kind, 10).withColumn("sort_by", F.lit(kind)) for kind in ("churn_risk", "expansion")]
     return parts[0].unionByName(parts[1])
 
@@ -77,7 +77,7 @@ query("report_expansion_by_size_channel_plan")(lambda s: r.expansion_by_size_cha
 query("report_health_summary")(lambda s: r.health_summary(kept_summary(s)))
 query("report_risk_flag_breakdown")(lambda s: r.risk_flag_breakdown(kept_summary(s)))
 query("report_account_health_trend")(lambda s: r.account_health_trend(scores(s), 12))
-query("report_usage_drop_alerts")(lambda s: r.usage_drop_alerts(kept_health(s), 0.3))
+query("report_usage_drop_alerts")(lambda s: r.usage_drop_alerts(s.marts.newest("fct_account_monthly_health", 2), 0.3))
 
 query("agg_channel_over_months")(lambda s: r.channel_over_months(movements(s)))
 query("report_chart_reaggregates")(

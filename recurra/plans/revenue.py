@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from recurra.functions.expr import rounded
 from recurra.operators import mrr, spine
+from recurra.operators.ranking import ranked
 from recurra.plans.registry import AS_OF, CFG, Source, query
 
 
@@ -38,8 +39,10 @@ query("exec_monthly")(
 query("exec_revenue_summary")(executive)
 query("revenue_by_plan_region_industry")(lambda s: mrr.revenue_by_plan_region_industry(movements(s)))
 query("agg_segment_rollup")(lambda s: mrr.revenue_by_segment(movements(s)))
-query("top_expanding_per_month")(lambda s: mrr.top_expanding_per_month(movements(s)))
-query("top_churn_loss_per_month")(lambda s: mrr.top_churn_loss_per_month(movements(s)))
+query("top_expanding_per_month")(
+    lambda s: ranked(s.marts.mart("expanding_sorted"), s.marts.mart("expanding_offsets"), "month_key", "expansion_rank"))
+query("top_churn_loss_per_month")(
+    lambda s: ranked(s.marts.mart("churn_loss_sorted"), s.marts.mart("churn_loss_offsets"), "month_key", "churn_risk_rank"))
 query("mrr_movements_simple")(lambda s: mrr.mrr_movements_simple(s.t.subscriptions, AS_OF))
 query("mrr_rollforward")(lambda s: mrr.mrr_rollforward(s.t.subscriptions, CFG, AS_OF))
 query("exec_from_movements")(

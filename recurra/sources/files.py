@@ -8,6 +8,8 @@ import warnings
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from recurra.sources.quoted import quoted_rows
+
 # Raw files, their target tables and load order.
 RAW_FILES = {
     "plans": "raw_plans", "features": "raw_features", "calendar": "raw_calendar", "accounts": "raw_accounts",
@@ -21,8 +23,10 @@ QUOTING = {"quote": '"', "escape": '"'}
 
 
 def _header_scan(spark: SparkSession, path: str, multi_line: bool) -> DataFrame | None:
+    """Text columns by header and ``_file``; None if there is no such file. Byte ranges are read in parallel in both ways."""
     try:
-        return spark.read.options(header=True, multiLine=multi_line, **QUOTING).csv(path)
+        rows = spark.read.options(header=True, multiLine=multi_line, **QUOTING).csv(path)
+        return quoted_rows(spark, path, rows.columns, QUOTING) if multi_line else rows.select("*", F.col("_metadata.file_name").alias("_file"))
     except AnalysisException as exc:
         if "PATH_NOT_FOUND" in str(exc):
             warnings.warn(f"no such file, skipped: {path}", stacklevel=3)
@@ -33,7 +37,7 @@ def _header_scan(spark: SparkSession, path: str, multi_line: bool) -> DataFrame
 def csv_text_scan(spark: SparkSession, path: str, columns: list[str], loaded_at: dt.datetime | None = None, multi_line: bool = True) -> DataFrame:
     """Listed columns as text with lineage. Absent columns and blanks are NULL; a missing file is empty.
 
-    Quoted values may hold line breaks. Files known to have none are split among tasks with ``multi_line=False``.
+    Quoted values may hold line breaks; files known to have none need no shuffle with ``multi_line=False``.
     """
     stamp = F.lit(loaded_at or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)).cast("timestamp_ntz")
     raw = _header_scan(spark, path, multi_line)
@@ -47,7 +51,7 @@ def csv_text_scan(spark: SparkSession, path: str, columns: list[str], loaded_at:
     ]
     return raw.select(
         *text, F.monotonically_increasing_id().alias("_row_id"), stamp.alias("_loaded_at"),
-        F.col("_metadata.file_name").alias("_source_file"),
+        F.col("_file").alias("_source_file"),
     )
 
 
@@ -77,7 +81,7 @@ def csv_typed_scan(spark: SparkSession, path: str, multi_line: bool = True) -> D
     if raw is None:
         raise FileNotFoundError(path)
     present = lambda c: F.when(~F.col(f"`{c}`").isin("", "None"), F.col(f"`{c}`"))
-    return raw.select(*[present(c).try_cast(type_for(c)).alias(c) for c in raw.columns])
+    return raw.select(*[present(c).try_cast(type_for(c)).alias(c) for c in raw.columns if c != "_file"])
 
 
 def load_raw_layer(spark: SparkSession, folder: str, columns: dict[str, list[str]]) -> dict[str, DataFrame]:

@@ -23,6 +23,10 @@ class Folder:
         place = self._path(self.at(name) if name else self.path)
         return sorted(f.getPath().getName() for f in self._fs.listStatus(place)) if self._fs.exists(place) else []
 
+    def state(self) -> list[tuple[str, int, int]]:
+        """Name, length and time of change of what lies in the folder, sorted."""
+        return sorted((f.getPath().getName(), f.getLen(), f.getModificationTime()) for f in self._fs.listStatus(self._path(self.path)))
+
     def read_text(self, name: str) -> str:
         return self.spark.read.text(self.at(name), wholetext=True).first()[0]
 
