@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from recurra.session import reliable_checkpoint
+from recurra.session import reliable_checkpoint, scratch_path
 
 
 def rank_within(df: DataFrame, group: str, value: str, tiebreak: str, out: str, k: int | None = None) -> DataFrame:
@@ -25,10 +25,13 @@ def _rank_all(df: DataFrame, group: str, value: str, tiebreak: str, out: str) ->
 
     A group spreads over as many sorted partitions as its size asks for, also
     when most of its values tie, because the tiebreak is part of the range key.
-    The sorted rows are checkpointed so that partition numbers stay fixed if an
-    executor is lost.
+    The rows are stored before they are sorted, so sampling the ranges does not compute them
+    again, and sorted rows are stored too: partition numbers stay fixed if an executor is lost.
     """
-    placed = reliable_checkpoint(sorted_pieces(df, group, value, tiebreak))
+    spark, path = df.sparkSession, scratch_path(df.sparkSession, "ranks")
+    df.write.parquet(f"{path}/rows")
+    sorted_pieces(spark.read.parquet(f"{path}/rows"), group, value, tiebreak).write.parquet(f"{path}/sorted")
+    placed = spark.read.parquet(f"{path}/sorted")
     return ranked(placed, piece_offsets(placed, group), group, out)
 
 

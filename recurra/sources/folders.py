@@ -28,7 +28,11 @@ class Folder:
         return sorted((f.getPath().getName(), f.getLen(), f.getModificationTime()) for f in self._fs.listStatus(self._path(self.path)))
 
     def read_text(self, name: str) -> str:
-        return self.spark.read.text(self.at(name), wholetext=True).first()[0]
+        opened = self._fs.open(self._path(self.at(name)))
+        try:
+            return self.spark._jvm.org.apache.commons.io.IOUtils.toString(opened, "UTF-8")
+        finally:
+            opened.close()
 
     def publish(self, name: str, text: str, replace: bool = False) -> None:
         """Write beside the target and rename, so that readers never see a part; an existing file is an error unless replaced."""

@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F,
 #: a quoted value that is closed, or a value without a quote at its start
 CLOSED = '"[^"]*"|[^,"][^,]*'
 RANGE = ["file", "block"]
+#: one short row for each byte range; more of them are joined by a shuffle
+BROADCAST_RANGES = 100_000
 
 
 def _open_after(line: Column, inside: bool) -> Column:
@@ -41,53 +43,72 @@ def entered(rows: DataFrame, group: list[str], order: str) -> DataFrame:
     return found.drop("_turns", "_set")
 
 
+def range_bound(spark: SparkSession, path: str) -> int:
+    """Upper bound of the byte ranges of the files, from their number and length alone."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = [fs.getContentSummary(f.getPath()) for f in fs.globStatus(place) or []]
+    # tasks of one core each get an equal share if that is less than a whole range
+    least = max(1, sum(f.getLength() for f in found) // max(1, spark.sparkContext.defaultParallelism))
+    size = min(int(spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()), least)
+    return sum(f.getFileCount() + f.getLength() // size for f in found)
+
+
 def quoted_records(spark: SparkSession, path: str) -> DataFrame:
-    """(file, name, block, line, record): the whole records of CSV files, headers among them, in no order.
+    """(file, name, block, line, header, record): the whole records of CSV files, in no order.
 
-    ``block`` and ``line`` are the byte range and the line in it where the record begins. A value that is never closed
-    takes the rest of its file as one record, as it does in any reader.
+    ``block`` and ``line`` are the byte range where the record begins and a number that grows inside it. A range in which no value
+    stays open over a line border needs no order: its lines are its records, straight from the scan. The lines of other ranges are
+    ordered range by range. A value that is never closed takes the rest of its file as one record, as it does in any reader.
     """
-    text = spark.read.option("lineSep", "\n").text(path).select(
+    lines = spark.read.option("lineSep", "\n").text(path).select(
         F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_name").alias("name"),
-        F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("_at"), "value",
+        F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("line"), "value",
     )
-    lines = text.withColumns({"to0": _open_after(F.col("value"), False), "to1": _open_after(F.col("value"), True)})
-    ordered = Window.partitionBy(*RANGE).orderBy("_at")
-    upto = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    states = entered(lines, RANGE, "_at").withColumn("line", F.row_number().over(ordered))
-    for entry in (0, 1):
-        states = states.withColumn(f"begin{entry}", F.max(F.when(~F.col(f"in{entry}"), F.col("line"))).over(upto))
-
-    # one row for each byte range
-    ends = states.groupBy(*RANGE).agg(
-        *[F.max_by(f"end{e}", "line").alias(f"to{e}") for e in (0, 1)], *[F.max(f"begin{e}").alias(f"last{e}") for e in (0, 1)]
+    both = {"to0": _open_after(F.col("value"), False), "to1": _open_after(F.col("value"), True)}
+    # a line without quotes keeps the state, so only the others are put in order to learn what a range does
+    marked = entered(lines.where(F.instr("value", '"') > 0).withColumns(both).drop("value", "name"), RANGE, "line")
+    ends = marked.groupBy(*RANGE).agg(*[F.max_by(f"end{e}", "line").alias(f"to{e}") for e in (0, 1)], F.max("end0").alias("opens"))
+    ranges = lines.groupBy(*RANGE).agg(F.min("line").alias("first")).join(ends, RANGE, "left").select(
+        *RANGE, "first", *[F.coalesce(f"to{e}", F.lit(bool(e))).alias(f"to{e}") for e in (0, 1)], F.coalesce("opens", F.lit(False)).alias("opens")
     )
-    known = entered(ends, ["file"], "block").select(
-        *RANGE, F.col("in0").alias("inside"), F.when(F.col("in0"), F.col("last1")).otherwise(F.col("last0")).alias("_last")
+    known = entered(ranges, ["file"], "block").select(
+        *RANGE, F.col("in0").alias("inside"), (F.col("in0") | F.col("opens")).alias("busy"),
+        F.when(F.col("block") == 0, F.col("first")).alias("header_line"),
     )
-    before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    carried = F.last(F.when(F.col("_last").isNotNull(), F.struct("block", F.col("_last").alias("line"))), ignorenulls=True).over(before)
-    known = known.withColumn("carried", carried).drop("_last")
+    if range_bound(spark, path) <= BROADCAST_RANGES:
+        known = F.broadcast(known)
+    lines = lines.join(known, RANGE).withColumn("header", F.coalesce(F.col("line") == F.col("header_line"), F.lit(False)))
+    calm = lines.where(~F.col("busy")).select("file", "name", "block", "line", "header", F.col("value").alias("record"))
 
     inside = F.col("inside")
-    begin = F.when(inside, F.col("begin1")).otherwise(F.col("begin0"))
-    placed = states.join(known, RANGE).select(
-        "file", "name", "value", F.struct("block", "line").alias("at"),
-        F.when(begin.isNotNull(), F.struct("block", begin.alias("line"))).otherwise(F.col("carried")).alias("begin"),
+    upto = Window.partitionBy(*RANGE).orderBy("line").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    states = entered(lines.where("busy").withColumns(both), RANGE, "line").select(
+        "file", "name", "block", "line", "header", "value",
         F.when(inside, F.col("in1")).otherwise(F.col("in0")).alias("goes_on"),
         F.when(inside, F.col("end1")).otherwise(F.col("end0")).alias("open"),
+    ).withColumn("begin", F.max(F.when(~F.col("goes_on"), F.struct("line", "header"))).over(upto))
+    # the record that is open where a range begins began in the last range before it with a beginning
+    before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    last = F.max("begin").alias("last")
+    started = F.when(F.col("last").isNotNull(), F.struct("block", "last"))
+    carried = states.groupBy(*RANGE).agg(last).select(*RANGE, F.last(started, ignorenulls=True).over(before).alias("carried"))
+    own = F.col("begin").isNotNull()
+    placed = states.join(carried, RANGE).withColumn(
+        "begin", F.when(own, F.struct("block", F.col("begin").alias("last"))).otherwise(F.col("carried"))
     )
     alone = ~F.col("goes_on") & ~F.col("open")
-    whole = placed.where(alone).select("file", "name", "begin.*", F.col("value").alias("record"))
-    parts = placed.where(~alone).groupBy("file", "name", "begin").agg(F.array_sort(F.collect_list(F.struct("at", "value"))).alias("parts"))
-    joined = parts.select("file", "name", "begin.*", F.array_join(F.col("parts.value"), "\n").alias("record"))
-    return whole.unionByName(joined).withColumn("record", F.regexp_replace("record", r"\r\z", ""))
+    begin = [F.col("begin.block").alias("block"), F.col("begin.last.line").alias("line"), F.col("begin.last.header").alias("header")]
+    whole = placed.where(alone).select("file", "name", *begin, F.col("value").alias("record"))
+    parts = placed.where(~alone).groupBy("file", "name", "begin").agg(F.array_sort(F.collect_list(F.struct("block", "line", "value"))).alias("parts"))
+    joined = parts.select("file", "name", *begin, F.array_join(F.col("parts.value"), "\n").alias("record"))
+    return calm.unionByName(whole).unionByName(joined).withColumn("record", F.regexp_replace("record", r"\r\z", ""))
 
 
 def quoted_rows(spark: SparkSession, path: str, columns: list[str], quoting: dict[str, str]) -> DataFrame:
     """Columns of CSV files as text and ``_file``, the name of the file. The first record of a file is its header."""
     schema = T.StructType([T.StructField(f"c{k}", T.StringType()) for k in range(len(columns))])
-    body = quoted_records(spark, path).where(((F.col("block") > 0) | (F.col("line") > 1)) & (F.length("record") > 0))
+    body = quoted_records(spark, path).where(~F.col("header") & (F.length("record") > 0))
     values = F.from_csv("record", schema.simpleString()[7:-1].replace(":", " "), {**quoting, "multiLine": "true"})
     return body.select(values.alias("v"), F.col("name").alias("_file")).select(
         *[F.col(f"v.c{k}").alias(c) for k, c in enumerate(columns)], "_file"
