@@ -8,7 +8,7 @@ import warnings
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from recurra.sources.quoted import quoted_rows
+from recurra.sources.quoted import longest_file, quoted_rows, range_bytes
 
 # Raw files, their target tables and load order.
 RAW_FILES = {
@@ -23,10 +23,15 @@ QUOTING = {"quote": '"', "escape": '"'}
 
 
 def _header_scan(spark: SparkSession, path: str, multi_line: bool) -> DataFrame | None:
-    """Text columns by header and ``_file``; None if there is no such file. Byte ranges are read in parallel in both ways."""
+    """Text columns by header and ``_file``; None if there is no such file.
+
+    Files with line breaks in values are read by a task each as long as all are no longer than one byte range, and range by range beyond.
+    """
     try:
         rows = spark.read.options(header=True, multiLine=multi_line, **QUOTING).csv(path)
-        return quoted_rows(spark, path, rows.columns, QUOTING) if multi_line else rows.select("*", F.col("_metadata.file_name").alias("_file"))
+        if multi_line and longest_file(spark, path) > range_bytes(spark):
+            return quoted_rows(spark, path, rows.columns, QUOTING)
+        return rows.select("*", F.col("_metadata.file_name").alias("_file"))
     except AnalysisException as exc:
         if "PATH_NOT_FOUND" in str(exc):
             warnings.warn(f"no such file, skipped: {path}", stacklevel=3)

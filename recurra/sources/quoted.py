@@ -43,15 +43,20 @@ def entered(rows: DataFrame, group: list[str], order: str) -> DataFrame:
     return found.drop("_turns", "_set")
 
 
+def range_bytes(spark: SparkSession) -> int:
+    return int(spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes())
+
+
+def longest_file(spark: SparkSession, path: str) -> int:
+    """Bytes of the longest file; lists files and reads none."""
+    return spark.read.format("binaryFile").load(path).agg(F.max("length")).first()[0] or 0
+
+
 def range_bound(spark: SparkSession, path: str) -> int:
     """Upper bound of the byte ranges of the files, from their number and length alone."""
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    found = [fs.getContentSummary(f.getPath()) for f in fs.globStatus(place) or []]
-    # tasks of one core each get an equal share if that is less than a whole range
-    least = max(1, sum(f.getLength() for f in found) // max(1, spark.sparkContext.defaultParallelism))
-    size = min(int(spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()), least)
-    return sum(f.getFileCount() + f.getLength() // size for f in found)
+    n, total = spark.read.format("binaryFile").load(path).agg(F.count(F.lit(1)), F.coalesce(F.sum("length"), F.lit(0))).first()
+    # ranges are shorter than the setting if there are tasks to spare
+    return n + total // min(range_bytes(spark), max(1, total // spark.sparkContext.defaultParallelism)) if total else n
 
 
 def quoted_records(spark: SparkSession, path: str) -> DataFrame:

@@ -84,3 +84,11 @@ def test_last_line_without_an_end_and_short_rows(spark, tmp_path):
     rows = files.csv_text_scan(spark, str(tmp_path / "s.csv"), ["id", "text", "more"], NOW).orderBy("id").collect()
     assert [tuple(r)[:3] for r in rows] == [("1", None, None), ("2", None, "x"), ("3", "a\nb", "c")]
     assert len({r["_row_id"] for r in rows}) == 3
+
+
+def test_long_files_are_read_by_ranges_and_short_ones_whole(spark, tmp_path, ranges):
+    written(tmp_path / "long.csv", [[str(k), "two\nlines", "x"] for k in range(50)])
+    written(tmp_path / "short.csv", [["1", "two\nlines", "x"]])
+    plans = [files.csv_text_scan(spark, str(tmp_path / f"{n}.csv"), ["id", "text"], NOW) for n in ("long", "short")]
+    by_range = ["from_csv" in df._jdf.queryExecution().analyzed().toString() for df in plans]
+    assert by_range == [True, False] and [df.count() for df in plans] == [50, 1]
