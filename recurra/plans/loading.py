@@ -408,7 +408,7 @@ def _stored_exec(s):
 
 # streams
 def webhook_stream(s: Source) -> dict:
-    """All billing events in four mixed files, each event twice and in two batches, as providers retry."""
+    """All billing events as packed files, one for each task, each event twice, as providers retry."""
     subs, inv, acc = stripe_bodies(s)
     folder = scratch_path(s.spark, "bodies")
     bodies = subs.unionByName(inv).unionByName(acc)
@@ -416,7 +416,7 @@ def webhook_stream(s: Source) -> dict:
     # before the event itself comes an older one of the same object
     stale = subs.select(F.regexp_replace(older, '"created":[0-9]+', '"created":86400').alias("body"))
     everything = bodies.unionByName(bodies).unionByName(stale)
-    everything.repartition(4).write.text(folder)
+    everything.write.option("compression", "gzip").text(folder)
     return changes.stream_webhooks(s.spark, folder, NOW)
 
 

@@ -124,8 +124,11 @@ def subscriptions(spark, sf_dir) -> DataFrame:
 
 
 def invoices(spark, sf_dir) -> DataFrame:
+    # hashed on the order alone, lines meet in their aggregation and with their order in one shuffle
     lines = (
         read_table(spark, sf_dir, "lineitem")
+        .select("l_orderkey", "l_linenumber", "l_extendedprice", "l_returnflag", "l_shipdate")
+        .repartition("l_orderkey")
         .groupBy("l_orderkey", "l_linenumber")
         .agg(
             F.sum(F.col("l_extendedprice").cast("decimal(12,2)")).cast("decimal(12,2)").alias("amount"),

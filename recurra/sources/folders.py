@@ -34,6 +34,10 @@ class Folder:
         finally:
             opened.close()
 
+    def remove(self, name: str) -> None:
+        """Delete a folder below this one with all that it holds."""
+        self._fs.delete(self._path(self.at(name)), True)
+
     def publish(self, name: str, text: str, replace: bool = False) -> None:
         """Write beside the target and rename, so that readers never see a part; an existing file is an error unless replaced."""
         target = self._path(self.at(name))

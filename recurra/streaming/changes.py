@@ -18,7 +18,7 @@ from recurra.sources.folders import Folder
 
 
 def append_batch(rows: DataFrame, batch_id: int, path: str) -> None:
-    rows.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+    rows.write.mode("overwrite").option("compression", "zstd").parquet(f"{path}/batch_id={batch_id}")
 
 
 def current_rows(spark: SparkSession, path: str, keys: list[str], order: list[str]) -> DataFrame:
@@ -82,20 +82,22 @@ def webhook_tables(rows: DataFrame) -> dict[str, DataFrame]:
 def stream_webhooks(spark: SparkSession, folder: str, received_at: dt.datetime, out: str | None = None) -> dict[str, DataFrame]:
     """Billing events from JSON-lines files, upserted as subscriptions, invoices and accounts.
 
-    A batch is parsed once: its rows are written with the three entities side by side, and the three
-    logs are filled from there. Copies of an event, in one batch or several, settle to one row; of the
-    events of a key the newest counts, whatever the order of arrival. Without input all three are empty.
+    A batch is parsed once: its rows are written with the three entities side by side, the three
+    logs are filled from there without a shuffle, and once they are committed the parsed rows go. Copies of an
+    event, in one batch or several, settle to one row when a log is read; of the events of a key the newest
+    counts, whatever the order of arrival. Without input all three are empty.
     """
     out = out or scratch_path(spark, "webhook")
     bodies = spark.readStream.schema("value string").text(folder).withColumnRenamed("value", "body")
     parsed = webhooks.stripe_rows(webhooks.parse_stripe(spark.createDataFrame([], "body string")), received_at)
+    parsed_rows = Folder(spark, f"{out}/parsed")
     logs = CommittedLogs(spark, f"{out}/log", {name: rows.schema for name, rows in webhook_tables(parsed).items()})
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         append_batch(webhooks.stripe_rows(webhooks.parse_stripe(batch), received_at).where("processed"), batch_id, f"{out}/parsed")
         rows = spark.read.schema(parsed.schema).parquet(f"{out}/parsed/batch_id={batch_id}")
-        newest = {name: latest_per_key(own, [WEBHOOK_KEYS[name]], "event_at", ["event_id"]) for name, own in webhook_tables(rows).items()}
-        logs.write(newest, batch_id)
+        logs.write(webhook_tables(rows), batch_id)
+        parsed_rows.remove(f"batch_id={batch_id}")
 
     run_available(bodies, write_batch, f"{out}/checkpoint")
     return {name: latest_per_key(logs.read(name), [key], "event_at", ["event_id"]).drop("batch_id") for name, key in WEBHOOK_KEYS.items()}

@@ -115,3 +115,15 @@ def test_a_batch_shows_in_all_logs_or_in_none(spark, tmp_path):
     logs.write({"a": table(4), "b": table()}, 1)  # replayed
     logs.write({"a": table(4), "b": table()}, 1)
     assert sorted(r.id for r in logs.read("a").collect()) == [1, 4] and logs.read("b").count() == 2
+
+
+def test_a_batch_fills_its_logs_without_a_shuffle_and_leaves_no_parsed_rows(spark, tmp_path):
+    folder, out = tmp_path / "in", str(tmp_path / "out")
+    folder.mkdir()
+    retried = [event(1, "s1", 10, 1000), event(2, "s1", 20, 1500), event(2, "s1", 20, 1500)]
+    (folder / "a.json").write_text("\n".join(retried))
+    got = changes.stream_webhook_upsert(spark, str(folder), NOW, out)
+    assert [(r["event_id"], float(r["mrr"])) for r in got.collect()] == [("e2", 15.0)]
+    # the log keeps what arrived, a reader settles it
+    assert spark.read.parquet(f"{out}/log/subscription").count() == 3
+    assert not changes.Folder(spark, f"{out}/parsed").names()
