@@ -123,3 +123,15 @@ def test_reports_read_one_month_of_marts_built_once(spark, tmp_path, monkeypatch
     assert first.select("month_start").distinct().count() == 1 == health.select("month_start").distinct().count()
     whole = Source(spark, SMALL).marts.mart("fct_mrr_movements")
     assert first.first()["month_start"] == whole.agg(F.max("month_start")).first()[0]
+
+
+def test_newest_months_come_from_a_store_of_the_last_months(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("recurra.plans.published.shared_dir", lambda _: str(tmp_path))
+    marts = Source(spark, SMALL).marts
+    for name, months in (("fct_mrr_movements", 1), ("fct_account_monthly_health", 2)):
+        got, whole = marts.newest(name, months), marts.mart(name)
+        last = whole.agg(F.max("month_start")).first()[0]
+        want = whole.where(F.col("month_start") >= F.add_months(F.lit(last), 1 - months))
+        assert got.count() == want.count() > 0 and got.exceptAll(want).isEmpty()
+    store = [p for p in tmp_path.iterdir() if p.name.endswith("-2")][0]
+    assert len([m for m in (store / "fct_mrr_movements" / "build=1").iterdir() if m.name.startswith("month_start=")]) == 3
