@@ -5,7 +5,7 @@ number. A sketch takes the shingles with the least hashes and keeps their order
 text. Equal texts are one node. Documents that share a sketch meet in a bucket, and
 there every member is compared with a leader that a hash elects. What these links leave
 in different classes is compared exactly: all distinct shingles have one order, those
-common in a sample last, and two sets of the wanted similarity share one of their first
+in many texts last, and two sets of the wanted similarity share one of their first
 shingles in that order, wherever these stand in the texts and however often. All pairs
 of different classes that share such a shingle at a place where the similarity can still be
 reached are compared, so none is missed; texts that only share a passage seldom meet, as
@@ -33,6 +33,8 @@ SPACES = np.zeros(256, bool)
 SPACES[[9, 10, 11, 12, 13, 32]] = True
 #: copies of a leader, so that the members of a large star spread over tasks
 SALTS = 16
+#: pieces in which the counts of shingles are added up
+CHUNKS = 64
 NO_ID = -(1 << 63)
 
 
@@ -45,10 +47,8 @@ class Params:
     chosen: int = 4
     #: positions that an aligned shingle may be off the diagonal, beside the difference in length
     band: int = 256
-    #: characters of the texts in which common shingles are counted; they only order the shingles
-    sample: int = 32_000_000
-    #: texts of the sample that make a shingle common
-    common: int = 4
+    #: cells in which the texts of all shingles are counted, a power of two; the counts only order the shingles
+    cells: int = 1 << 22
 
 
 def shingles(texts: pa.Array, size: int) -> tuple[list[bytes], list[np.ndarray]]:
@@ -100,16 +100,19 @@ def once(grams: np.ndarray) -> np.ndarray:
     return small[np.sort(np.unique(small, return_index=True)[1])]
 
 
-def rarest(grams: np.ndarray, common: tuple[np.ndarray, np.ndarray], params: Params) -> tuple[np.ndarray, int]:
-    """The first distinct shingles in the order of (count in the sample, hash), and the number of all distinct ones.
+def cell(marks: np.ndarray, params: Params) -> np.ndarray:
+    """Cell of each shingle: the first bits of its hash."""
+    return (marks >> np.uint64(65 - params.cells.bit_length())).astype(np.int64)
+
+
+def rarest(grams: np.ndarray, common: np.ndarray, params: Params) -> tuple[np.ndarray, int]:
+    """The first distinct shingles in the order of (texts in their cell, hash), and the number of all distinct ones.
 
     A set of the wanted similarity lacks at most the other distinct shingles, so it holds one of these.
     """
-    marks, (known, counts) = np.unique(grams), common
+    marks = np.unique(grams)
     n = len(marks)
-    if n and len(known):
-        at = np.minimum(np.searchsorted(known, marks), len(known) - 1)
-        marks = marks[np.argsort(np.where(known[at] == marks, counts[at], 0), kind="stable")]
+    marks = marks[np.argsort(common[cell(marks, params)], kind="stable")]
     return marks[: n - math.ceil(params.similarity * n - 1e-6) + 1].view(np.int64), n
 
 
@@ -140,21 +143,38 @@ class Leader:
         return shared >= params.similarity * (n + m - shared)
 
 
-def common_shingles(docs: DataFrame, params: Params) -> tuple[np.ndarray, np.ndarray]:
-    """Shingles of several texts of a sample, ascending, and the number of these texts. The sample has a fixed size, so this has too."""
-    texts = docs.select(text_or_empty().alias("text"))
-    share = min(1.0, params.sample / max(texts.agg(F.sum(F.length("text"))).first()[0] or 0, 1))
+def common_shingles(docs: DataFrame, params: Params) -> np.ndarray:
+    """How many texts hold the shingles of each cell, over all texts: shingles are dealt to a fixed number of cells by their hash.
 
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        own = [np.unique(g) for g in shingles(batch.column(0), params.shingle)[1]]
-        marks, counts = np.unique(np.concatenate(own), return_counts=True)
-        return pa.RecordBatch.from_arrays([pa.array(marks.view(np.int64)), pa.array(counts)], ["mark", "n"])
-
-    sample = texts.where(F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < round(share * (1 << 20)))
-    found = map_batches(sample, run, "mark long, n long").groupBy("mark").agg(F.sum("n").alias("n")).where(F.col("n") >= params.common).toArrow()
-    marks = found["mark"].to_numpy().view(np.uint64)
-    order = np.argsort(marks)
-    return marks[order], found["n"].to_numpy()[order].astype(np.int32)
+    Tasks count on their own and send their cells in chunks, which are added up chunk by chunk; so what
+    reaches the driver has a fixed size.
+    """
+    short_batches(docs.sparkSession)
+    width = params.cells // CHUNKS
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(params.cells, np.uint32)
+        for batch in batches:
+            own = [np.unique(g) for g in shingles(batch.column(0), params.shingle)[1]]
+            at, n = np.unique(cell(np.concatenate(own), params), return_counts=True) if own else ([], [])
+            counts[at] += np.asarray(n, np.uint32)
+        used = [i for i in range(CHUNKS) if counts[i * width : (i + 1) * width].any()]
+        yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), pa.array([counts[i * width : (i + 1) * width].tobytes() for i in used], pa.binary())], ["chunk", "counts"])
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for chunk, counts in zip(*[c.to_pylist() for c in batch.columns]):
+                sums[chunk] = sums.get(chunk, 0) + np.frombuffer(counts, np.uint32)
+        yield pa.RecordBatch.from_arrays([pa.array(sums, pa.int32()), pa.array([v.tobytes() for v in sums.values()], pa.binary())], ["chunk", "counts"])
+
+    kind = "chunk int, counts binary"
+    parts = docs.select(text_or_empty().alias("text")).mapInArrow(count, kind)
+    found = parts.repartition("chunk").mapInArrow(add, kind).toArrow()
+    total = np.zeros(params.cells, np.uint32)
+    for chunk, counts in zip(found["chunk"].to_pylist(), found["counts"].to_pylist()):
+        total[chunk * width : (chunk + 1) * width] = np.frombuffer(counts, np.uint32)
+    return total
 
 
 def keyed(docs: DataFrame, params: Params) -> DataFrame:

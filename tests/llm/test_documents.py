@@ -7,6 +7,7 @@ from collections import Counter
 from html import unescape
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline
@@ -328,3 +329,15 @@ def test_pipeline_stage_by_stage(spark):
         docs = out
     packed = corpus_pipeline.STAGES[-1][1](spark, docs, SMALL).collect()
     assert {r.doc_id for r in packed} == set(after)
+
+
+def test_shingles_are_counted_in_all_texts(spark):
+    words = "the same five words here"
+    rows = [(i, f"{words} and then {i} own ones {i * 7}") for i in range(300)] + [(300, None), (301, "")]
+    params = order_minhash.Params()
+    counts = order_minhash.common_shingles(spark.createDataFrame(rows, "doc_id long, text string").repartition(5), params)
+    mark = order_minhash.shingles(pa.array([words]), params.shingle)[1][0]
+    grams = order_minhash.shingles(pa.array([rows[0][1]]), params.shingle)[1][0]
+    assert len(mark) == 1 and counts.sum() == sum(max(len(set(zip(*[t.split()[k:] for k in range(5)]))), 0) for _, t in rows if t)
+    assert mark[0] in grams and counts[order_minhash.cell(mark, params)][0] >= 300
+    assert mark.view(np.int64)[0] not in order_minhash.rarest(grams, counts, params)[0]
