@@ -25,7 +25,7 @@ from recurra.functions.expr import (
     surrogate_key,
 )
 from recurra.operators.mrr import account_month_mrr, plan_tier_order
-from recurra.operators.spine import account_months, paid_spans, running_spans
+from recurra.operators.spine import account_months, paid_spans, running_spans, tasks_for
 
 ACTIVE = ["new", "retained", "reactivated"]
 BROADCAST_ROWS = 200_000  # about 40 MB of period totals; beyond it the join shuffles and AQE splits hot cohorts
@@ -34,8 +34,10 @@ COHORT_BANDS = [(0.90, "excellent"), (0.75, "good"), (0.60, "fair")]
 
 def cohort_rows(t: Tables, as_of: dt.date) -> DataFrame:
     """Account x period with retention status and the starting MRR of the account."""
-    grid = account_months(t.accounts, as_of).drop("account_month_key", "month_year", "month_num", "country")
-    activity = account_month_mrr(t.subscriptions, as_of).select("account_id", "month_start", "mrr", "plan_name")
+    # both sides lie by account in as many partitions before months are generated, so neither is shuffled behind them
+    tasks = tasks_for(paid_spans(t.subscriptions, as_of))
+    grid = account_months(t.accounts.repartition(tasks, "account_id"), as_of).drop("account_month_key", "month_year", "month_num", "country")
+    activity = account_month_mrr(t.subscriptions, as_of, tasks=tasks).select("account_id", "month_start", "mrr", "plan_name")
     zero = F.lit(0).cast(MONEY)
     base = (
         grid.join(activity, ["account_id", "month_start"], "left")

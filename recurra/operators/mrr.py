@@ -30,7 +30,7 @@ from recurra.functions.expr import (
     unscaled,
 )
 from recurra.operators.ranking import rank_within
-from recurra.operators.spine import paid_spans, running_months, running_spans, with_months
+from recurra.operators.spine import newest_months, paid_spans, running_months, running_spans, tasks_for, with_months
 
 COMPONENTS = ["new_mrr", "expansion_mrr", "contraction_mrr", "churned_mrr", "reactivation_mrr", "retained_mrr"]
 ATTRIBUTES = ["company_name", "industry", "company_size", "region", "acquisition_channel"]
@@ -40,7 +40,16 @@ def plan_tier_order(plan: Column) -> Column:
     return mapped(plan, PLAN_TIERS, 99)
 
 
-def account_month_mrr(subscriptions: DataFrame, as_of: dt.date, since: Column | None = None) -> DataFrame:
+def _measures() -> dict[str, Column]:
+    """Whole numbers that add up over subscriptions."""
+    utilisation = scaled(safe_divide("seats_used", "seats_purchased"))
+    return {
+        "mrr_cents": in_cents("mrr"), "util_sum": utilisation, "util_n": F.when(utilisation.isNotNull(), 1),
+        "seats_purchased": F.col("seats_purchased"), "seats_used": F.col("seats_used"),
+    }
+
+
+def account_month_mrr(subscriptions: DataFrame, as_of: dt.date, since: Column | None = None, tasks: int | None = None) -> DataFrame:
     """Active MRR, plan and seats per account and month.
 
     The ends of all subscriptions are swept by account and plan: the first aggregation has
@@ -48,12 +57,12 @@ def account_month_mrr(subscriptions: DataFrame, as_of: dt.date, since: Column |
     generated from its sums. Sums run on 64-bit integers. What is left (account x month x plan)
     is hashed on the account alone, which also serves the windows per account.
     """
-    utilisation = scaled(safe_divide("seats_used", "seats_purchased"))
-    sums = {
-        "mrr_cents": in_cents("mrr"), "util_sum": utilisation, "util_n": F.when(utilisation.isNotNull(), 1),
-        "seats_purchased": F.col("seats_purchased"), "seats_used": F.col("seats_used"),
-    }
-    per_plan = running_months(paid_spans(subscriptions, as_of, since), ["account_id", "plan_name"], "account_id", sums)
+    per_plan = running_months(paid_spans(subscriptions, as_of, since), ["account_id", "plan_name"], "account_id", _measures(), tasks)
+    return _of_accounts(per_plan)
+
+
+def _of_accounts(per_plan: DataFrame) -> DataFrame:
+    """Sums of account and month from those of account, plan and month."""
     return (
         per_plan.groupBy("account_id", "month_start")
         .agg(
@@ -66,6 +75,22 @@ def account_month_mrr(subscriptions: DataFrame, as_of: dt.date, since: Column |
     )
 
 
+def newest_paid_months(subscriptions: DataFrame, as_of: dt.date, months: int) -> DataFrame:
+    """The newest ``months`` paying months of every account, see :func:`mrr_movement_type`; the kind of movement is that among these.
+
+    The spans over which sums hold are cut per account before months are generated, one calendar month earlier for ``prev_mrr``.
+    """
+    paid = paid_spans(subscriptions, as_of)
+    tasks = tasks_for(paid)
+    cut = newest_months(paid.withColumn("_cents", in_cents("mrr")), "account_id", "_cents", months, tasks)
+    spans = running_spans(paid, ["account_id", "plan_name"], "account_id", _measures(), tasks).join(cut, "account_id")
+    first = F.greatest("_since", F.add_months("_oldest", -1))
+    per_plan = with_months(spans, first, F.add_months("_until", -1)).drop("_since", "_until", "_oldest")
+    classified = classify(_of_accounts(per_plan).where(F.col("mrr") > 0))
+    newest = Window.partitionBy("account_id").orderBy(F.desc("month_start"))
+    return classified.withColumn("_nth", F.row_number().over(newest)).where(F.col("_nth") <= months).drop("_nth")
+
+
 def first_paid(subscriptions: DataFrame, as_of: dt.date) -> DataFrame:
     """(account_id, first_paid): the first paying month of each account, from the spans over which its MRR holds."""
     spans = running_spans(paid_spans(subscriptions, as_of), ["account_id"], "account_id", {"cents": in_cents("mrr")})

@@ -106,13 +106,22 @@ def subscription_months(subscriptions: DataFrame, as_of: dt.date, since: Column
     )
 
 
-def running_spans(spans: DataFrame, keys: list[str], owner: str, sums: dict[str, Column]) -> DataFrame:
+#: spans whose months one task holds; months are many times the bytes of the spans that they come from
+SPANS_A_TASK = 100_000
+
+
+def tasks_for(spans: DataFrame) -> int:
+    """Partitions for the months of ``spans``: as many as shuffles have, or more by their number, so a task's share has a bound."""
+    return max(int(spans.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-spans.count() // SPANS_A_TASK))
+
+
+def running_spans(spans: DataFrame, keys: list[str], owner: str, sums: dict[str, Column], tasks: int | None = None) -> DataFrame:
     """Sums of ``spans`` (``_from``, ``_to``) by ``keys`` as long as they hold: from month ``_since`` to before ``_until``.
 
     A sweep: every span adds its values in its first month and takes them back in the month
     behind its last. These ends are summed by key and month, and running sums over
     the sorted ends hold until the next one. Values must be whole numbers; a sum without
-    any value is NULL.
+    any value is NULL. The result lies in ``tasks`` partitions by ``owner``, see :func:`tasks_for`.
     """
     counted = {f"_n_{c}": v.isNotNull().cast("bigint") for c, v in sums.items()}
     values = {c: F.coalesce(v.cast("bigint"), F.lit(0)) for c, v in sums.items()} | counted | {"_spans": F.lit(1).cast("bigint")}
@@ -123,11 +132,24 @@ def running_spans(spans: DataFrame, keys: list[str], owner: str, sums: dict[str,
     )
     deltas = named.select(*keys, *values, F.inline(ends)).groupBy(*keys, "_since").agg(*[F.sum(F.col(c) * F.col("_sign")).alias(c) for c in values])
     order = Window.partitionBy(*keys).orderBy("_since")
-    running = deltas.repartition(owner).withColumns({c: F.sum(c).over(order) for c in values} | {"_until": F.lead("_since").over(order)})
+    running = deltas.repartition(tasks or tasks_for(spans), owner).withColumns({c: F.sum(c).over(order) for c in values} | {"_until": F.lead("_since").over(order)})
     return running.where("_spans > 0").select(*keys, "_since", "_until", *[F.when(F.col(f"_n_{c}") > 0, F.col(c)).alias(c) for c in sums])
 
 
-def running_months(spans: DataFrame, keys: list[str], owner: str, sums: dict[str, Column]) -> DataFrame:
+def running_months(spans: DataFrame, keys: list[str], owner: str, sums: dict[str, Column], tasks: int | None = None) -> DataFrame:
     """:func:`running_spans` month by month: months are generated once for all spans of a key and not for each span."""
-    live = running_spans(spans, keys, owner, sums)
+    live = running_spans(spans, keys, owner, sums, tasks)
     return with_months(live, F.col("_since"), F.add_months("_until", -1)).select(*keys, "month_start", *sums)
+
+
+def newest_months(spans: DataFrame, owner: str, value: str, months: int, tasks: int | None = None) -> DataFrame:
+    """(owner, ``_oldest``): the oldest of the newest ``months`` months in which the sum of ``value`` over ``spans`` is positive.
+
+    An owner with fewer such months has its first one. Only the last months of each span are generated.
+    """
+    held = running_spans(spans, [owner], owner, {"_value": F.col(value)}, tasks).where("_value > 0")
+    last = F.add_months("_until", -1)
+    points = with_months(held, F.greatest("_since", F.add_months("_until", -months)), last, "_month")
+    newest = Window.partitionBy(owner).orderBy(F.desc("_month"))
+    kept = points.withColumn("_nth", F.row_number().over(newest)).where(F.col("_nth") <= months)
+    return kept.groupBy(owner).agg(F.min("_month").alias("_oldest"))

@@ -105,3 +105,21 @@ def test_incremental_equals_full(spark, subs, tmp_path):
     a = looked_back(spark, tmp_path, subs(*STORY), subs(*STORY))
     b = mrr.movement_rows(subs(*STORY), AS_OF)
     assert sorted(map(tuple, a.collect()), key=str) == sorted(map(tuple, b.select(*a.columns).collect()), key=str)
+
+
+def test_months_of_many_spans_lie_in_more_tasks(spark, subs, monkeypatch):
+    rows = subs(*[(k, k, "starter", 10, "2020-02-01", None) for k in range(12)])
+    assert mrr.account_month_mrr(rows, AS_OF).rdd.getNumPartitions() <= 4
+    want = sorted(map(tuple, mrr.account_month_mrr(rows, AS_OF).collect()))
+    monkeypatch.setattr(spine, "SPANS_A_TASK", 2)
+    spread = mrr.account_month_mrr(rows, AS_OF)
+    assert spread.rdd.getNumPartitions() == 6 and sorted(map(tuple, spread.collect())) == want
+
+
+def test_newest_paid_months_equal_the_last_of_all(subs):
+    rows = subs(*STORY, (5, 2, "growth", 50, "2020-01-01", "2020-01-31"), (6, 3, "growth", 9, "2019-01-01", None), (7, 3, "starter", 9, "2020-08-03", None),
+                (8, 4, "starter", 0, "2020-01-01", None), (9, 5, "growth", 7, "2020-08-01", None, "trial"), (10, 6, "growth", 30, "2020-03-01", "2020-03-31"), (11, 6, "starter", -30, "2020-03-01", "2020-04-30"))
+    cols = ["account_id", "month_start", "mrr", "prev_mrr", "plan_name", "seat_utilization_rate", "seats_purchased", "seats_used"]
+    every = sorted(map(tuple, mrr.mrr_movement_type(rows, AS_OF).select(*cols).collect()))
+    want = [r for r in every if sum(o[0] == r[0] and o[1] > r[1] for o in every) < 3]
+    assert sorted(map(tuple, mrr.newest_paid_months(rows, AS_OF, 3).select(*cols).collect())) == want and len(want) == 7
