@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from recurra.config import HealthWeights, MetricConfig, RISK_LABELS, Tables
 from recurra.functions.expr import banded, mapped, month_key, month_start, months_apart, rounded, surrogate_key
-from recurra.operators.mrr import ATTRIBUTES, invoice_monthly, mrr_movement_type
+from recurra.operators.mrr import ATTRIBUTES, invoice_monthly, mrr_movement_type, newest_paid_months
 from recurra.operators.staging import stg_features
 from recurra.operators.support import ticket_burden, ticket_monthly
 from recurra.operators.usage import usage_flags, usage_monthly
@@ -162,6 +162,12 @@ def fct_account_monthly_health(t: Tables, cfg: MetricConfig, as_of: dt.date) ->
     return score_health(health_components(health_signals(t, cfg, as_of)), cfg)
 
 
+def newest_account_health(t: Tables, cfg: MetricConfig, as_of: dt.date, months: int, usage: DataFrame, tickets: DataFrame, invoices: DataFrame) -> DataFrame:
+    """Health of the newest ``months`` paying months of each account, from monthly measures: signals meet these months only."""
+    signals = joined_signals(newest_paid_months(t.subscriptions, as_of, months), t.accounts, usage, tickets, invoices, cfg)
+    return score_health(health_components(signals), cfg)
+
+
 def health_score_linear(signals: DataFrame, cfg: MetricConfig) -> DataFrame:
     """Straight-line component scores on measured inputs."""
     csat = F.col("avg_csat_score")

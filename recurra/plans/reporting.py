@@ -50,7 +50,9 @@ def _dims(s):
 
 @query("report_top_accounts")
 def _top(s):
-    cs, m = kept_summary(s), s.marts.mart("fct_mrr_movements")
+    cs = kept_summary(s)
+    newest = cs.select(F.max("snapshot_date")).first()[0]  # its movements alone are read
+    m = s.marts.month("fct_mrr_movements", newest or AS_OF)
     parts = [r.top_accounts(cs, m, kind, 10).withColumn("sort_by", F.lit(kind)) for kind in ("churn_risk", "expansion")]
     return parts[0].unionByName(parts[1])
 

@@ -135,3 +135,19 @@ def test_newest_months_come_from_a_store_of_the_last_months(spark, tmp_path, mon
         assert got.count() == want.count() > 0 and got.exceptAll(want).isEmpty()
     store = [p for p in tmp_path.iterdir() if p.name.endswith("-2")][0]
     assert len([m for m in (store / "fct_mrr_movements" / "build=1").iterdir() if m.name.startswith("month_start=")]) == 3
+
+
+def test_the_summary_is_built_without_the_marts_of_all_months(spark, tmp_path, monkeypatch):
+    built = []
+    real = models.build
+    monkeypatch.setattr(models, "build", lambda *a, **k: built.extend(a[5]) or real(*a, **k))
+    monkeypatch.setattr("recurra.plans.published.shared_dir", lambda _: str(tmp_path))
+    s = Source(spark, SMALL)
+    got = reporting.kept_summary(s)
+    assert "customer_success_summary" in built and not {"fct_account_monthly_health", "subscription_mrr"} & set(built)
+    last = s.marts.mart("fct_account_monthly_health").groupBy("account_id").agg(F.max(F.struct("month_start", "health_score", "prev_mrr", "risk_reasons")).alias("s")).select("account_id", "s.*")
+    mine = got.select("account_id", F.col("snapshot_date").alias("month_start"), "health_score", "prev_mrr", "risk_reasons")
+    assert mine.count() == last.count() > 0 and mine.exceptAll(last).isEmpty()
+    month = got.agg(F.max("snapshot_date")).first()[0]
+    whole = s.marts.mart("fct_mrr_movements").where(F.col("month_start") == month)
+    assert s.marts.month("fct_mrr_movements", month).exceptAll(whole).isEmpty() and s.marts.month("fct_mrr_movements", month).count() == whole.count()
