@@ -85,3 +85,13 @@ def test_quotes_and_line_breaks_survive_a_round_trip(spark, tmp_path):
     assert read(str(p)) == want
     files.csv_sink(spark.createDataFrame(sorted(want.items()), "account_id string, company_name string"), str(tmp_path / "out"))
     assert read(str(tmp_path / "out")) == want
+
+
+def test_finished_columns_are_added_behind_the_shuffle(spark, tmp_path):
+    df = spark.createDataFrame([(k, k % 3) for k in range(30)], "v int, p int")
+    written = files.write_full_refresh(df, str(tmp_path / "t"), "p", lambda rows: rows.select(F.sha2(F.col("v").cast("string"), 256).alias("k"), "*"))
+    plan = written._jdf.queryExecution().executedPlan().toString()
+    assert "sha2" in plan.split("Exchange")[0] and "sha2" not in "".join(plan.split("Exchange")[1:])
+    want = df.select(F.sha2(F.col("v").cast("string"), 256).alias("k"), "v", "p")
+    got = spark.read.parquet(str(tmp_path / "t")).select("k", "v", "p")
+    assert got.count() == 30 and got.exceptAll(want).isEmpty()
