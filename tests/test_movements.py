@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from recurra.config import MetricConfig, Tables
 from recurra.operators import mrr, spine
-from recurra.plans import models
+from recurra.plans import models, registry
 from recurra.plans.store import MartStore
 
 AS_OF = dt.date(2020, 8, 31)
@@ -123,3 +123,17 @@ def test_newest_paid_months_equal_the_last_of_all(subs):
     every = sorted(map(tuple, mrr.mrr_movement_type(rows, AS_OF).select(*cols).collect()))
     want = [r for r in every if sum(o[0] == r[0] and o[1] > r[1] for o in every) < 3]
     assert sorted(map(tuple, mrr.newest_paid_months(rows, AS_OF, 3).select(*cols).collect())) == want and len(want) == 7
+
+
+def test_what_follows_from_a_movement_row_is_not_dealt_to_months(spark, tmp_path):
+    """Components reach the stored marts, but not the rows that are shuffled by month."""
+    t, cfg, as_of = registry.Source(spark, "/root/testdata/sf0.001").t, registry.CFG, registry.AS_OF
+    models.build(spark, t, cfg, as_of, str(tmp_path), ["+fct_mrr_movements"])
+    store = MartStore(spark, str(tmp_path))
+    context = models.Context(t, cfg, as_of, store.draft(store.current()), None, 2)
+    derived = {*mrr.COMPONENTS, "net_mrr_contribution", "arr"}
+    for name in ("mrr_movement_rows", "fct_mrr_movements"):
+        assert not derived & set(models.MODELS[name].build(context).columns) and derived < set(store.read(name).columns)
+    whole = mrr.fct_mrr_movements(t, cfg, as_of)
+    ordered = sorted(whole.columns)
+    assert sorted(map(str, store.read("fct_mrr_movements").select(ordered).collect())) == sorted(map(str, whole.select(ordered).collect()))

@@ -59,6 +59,14 @@ def test_latest_per_key_keeps_the_newest_of_many_copies(spark):
     assert sorted((r["id"], r["v"]) for r in latest_per_key(df, ["id"], "at").collect()) == [(1, 499), (2, 7)]
 
 
+def test_latest_per_key_shuffles_no_column_twice(spark):
+    rows = [(1, "a", None, 1), (1, "b", "x", 1), (1, None, "z", 1), (2, "c", None, None), (2, None, None, None), (3, None, "y", 2), (3, "q", "q", 1)]
+    df = spark.createDataFrame(rows, "id long, v string, w string, at long").repartition(3)
+    newest = latest_per_key(df, ["id"], "at", ["v", "w"])
+    assert sorted(map(tuple, newest.collect())) == [(1, "b", "x", 1), (2, "c", None, None), (3, None, "y", 2)]
+    assert "max_by" not in newest._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_scd2_is_ordered_across_months(spark):
     days = [dt.date(2020, 1, 5), dt.date(2020, 1, 20), dt.date(2020, 4, 1), dt.date(2020, 4, 1)]
     df = spark.createDataFrame([(1, d, i) for i, d in enumerate(days)], "id long, at date, v int")
