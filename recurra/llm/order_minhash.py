@@ -16,8 +16,10 @@ are the connected components of the links.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import math
+import operator
 from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -35,6 +37,8 @@ SPACES[[9, 10, 11, 12, 13, 32]] = True
 SALTS = 16
 #: pieces in which the counts of shingles are added up
 CHUNKS = 64
+#: 64-bit words of the parities of a document, a power of two
+WORDS = 16
 NO_ID = -(1 << 63)
 
 
@@ -116,6 +120,15 @@ def rarest(grams: np.ndarray, common: np.ndarray, params: Params) -> tuple[np.nd
     return marks[: n - math.ceil(params.similarity * n - 1e-6) + 1].view(np.int64), n
 
 
+def parities(grams: np.ndarray) -> np.ndarray:
+    """Bits that tell for each class of hashes whether the number of distinct shingles in it is odd.
+
+    A shingle that only one of two sets holds changes one bit, so the sets differ in at least as many shingles as bits.
+    """
+    odd = np.bincount((np.unique(grams) & np.uint64(64 * WORDS - 1)).astype(np.int64), minlength=64 * WORDS) & 1
+    return np.packbits(odd.astype(bool), bitorder="little").view(np.int64)
+
+
 class Leader:
     """A shingle sequence against which others are aligned."""
 
@@ -178,7 +191,7 @@ def common_shingles(docs: DataFrame, params: Params) -> np.ndarray:
 
 
 def keyed(docs: DataFrame, params: Params) -> DataFrame:
-    """(doc, mark, key, sketch, rare, size) of every row, without texts; ``mark`` is a hash of the text as it is."""
+    """(doc, mark, key, sketch, rare, size, odd) of every row, without texts; ``mark`` is a hash of the text as it is."""
     common = docs.sparkSession.sparkContext.broadcast(common_shingles(docs, params))
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -186,13 +199,13 @@ def keyed(docs: DataFrame, params: Params) -> DataFrame:
         known: dict[bytes, tuple] = {}
         for k, g in zip(keys, grams):
             if k not in known:
-                known[k] = sketch(g, params), *rarest(g, common.value, params)
-        marks = [pa.array([known[k][c] for k in keys], pa.list_(pa.int64())) for c in (0, 1)]
+                known[k] = sketch(g, params), *rarest(g, common.value, params), parities(g)
+        marks = [pa.array([known[k][c] for k in keys], pa.list_(pa.int64())) for c in (0, 1, 3)]
         return pa.RecordBatch.from_arrays([
-            batch.column(0), batch.column(1), pa.array([k.hex() for k in keys]), *marks, pa.array([known[k][2] for k in keys], pa.int32())], ["doc", "mark", "key", "sketch", "rare", "size"])
+            batch.column(0), batch.column(1), pa.array([k.hex() for k in keys]), *marks, pa.array([known[k][2] for k in keys], pa.int32())], ["doc", "mark", "key", "sketch", "rare", "odd", "size"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc"), F.xxhash64(text_or_empty()).alias("mark"), text_or_empty().alias("text"))
-    return map_batches(rows, run, "doc long, mark long, key string, sketch array<long>, rare array<long>, size int")
+    return map_batches(rows, run, "doc long, mark long, key string, sketch array<long>, rare array<long>, odd array<long>, size int")
 
 
 def gram_rows(docs: DataFrame, nodes: DataFrame, params: Params) -> DataFrame:
@@ -266,10 +279,13 @@ def rare_pairs(rows: DataFrame, params: Params) -> DataFrame:
     """All pairs (id, least) of different classes that share a shingle of ``rows`` (see :func:`mixed_rows`) with enough others behind it.
 
     One of a pair is outside the largest class of its bucket, so that class is not joined with itself.
+    Pairs whose parities ``odd`` show that they differ in too many shingles are left out.
     """
-    rest = rows.where("root <> main").select("bucket", *[F.col(c).alias(f"other_{c}") for c in ("id", "size", "nth", "root")])
+    rest = rows.where("root <> main").select("bucket", *[F.col(c).alias(f"other_{c}") for c in ("id", "size", "nth", "root", "odd")])
     least = needed(F.col("size") + F.col("other_size"), params)
-    pairs = rest.join(rows.drop("main"), "bucket").where((F.col("root") != F.col("other_root")) & (F.col("nth") + least <= F.col("size")) & (F.col("other_nth") + least <= F.col("other_size")))
+    differ = functools.reduce(operator.add, [F.bit_count(F.col("odd")[i].bitwiseXOR(F.col("other_odd")[i])) for i in range(WORDS)])
+    pairs = rest.join(rows.drop("main"), "bucket").where((F.col("root") != F.col("other_root")) & (F.col("nth") + least <= F.col("size")) & (F.col("other_nth") + least <= F.col("other_size"))
+                                                       & (differ + 2 * least <= F.col("size") + F.col("other_size")))
     return pairs.select(F.greatest("id", "other_id").alias("id"), F.least("id", "other_id").alias("least")).distinct()
 
 
@@ -299,7 +315,7 @@ def links(docs: DataFrame, nodes: DataFrame, params: Params) -> DataFrame:
     stars = stored(met(single).where("id <> least").select("id", "least").distinct(), "near-met")
     first = compared(docs, nodes, stars, params)
     mixed = stored(mixed_rows(with_roots(nodes.select("id", "size", "rare"), first), params), "near-mixed")
-    pairs = stored(rare_pairs(mixed, params), "near-pairs")
+    pairs = stored(rare_pairs(mixed.join(nodes.select("id", "odd"), "id"), params), "near-pairs")
     discard(stars, mixed)
     rest = compared(docs, nodes, pairs, params)
     discard(pairs)
@@ -343,7 +359,7 @@ def classes(docs: DataFrame, params: Params = Params()) -> DataFrame:
     """
     rows = stored(keyed(docs, params), "near-rows")
     first = F.min(F.struct(F.coalesce("doc", F.lit(NO_ID)).alias("doc"), "mark")).alias("home")
-    nodes = rows.groupBy("key").agg(first, F.first(F.struct("sketch", "rare", "size")).alias("marks"))
+    nodes = rows.groupBy("key").agg(first, F.first(F.struct("sketch", "rare", "odd", "size")).alias("marks"))
     nodes = stored(nodes.select("key", F.nullif(F.col("home.doc"), F.lit(NO_ID)).alias("doc"), "home.mark", "marks.*").withColumn("id", F.monotonically_increasing_id()), "near-nodes")
     light = stored(rows.select("doc", "key"), "near-keys")
     names = stored(nodes.select("key", "doc", "id"), "near-names")

@@ -341,3 +341,15 @@ def test_shingles_are_counted_in_all_texts(spark):
     assert len(mark) == 1 and counts.sum() == sum(max(len(set(zip(*[t.split()[k:] for k in range(5)]))), 0) for _, t in rows if t)
     assert mark[0] in grams and counts[order_minhash.cell(mark, params)][0] >= 300
     assert mark.view(np.int64)[0] not in order_minhash.rarest(grams, counts, params)[0]
+
+
+def test_parities_leave_out_only_pairs_that_cannot_be_similar(spark):
+    rng = np.random.default_rng(3)
+    params, both = order_minhash.Params(), rng.integers(0, 1 << 63, 300, np.uint64)
+    sets = [np.concatenate([both[: 300 - k], rng.integers(0, 1 << 63, k, np.uint64)]) for k in (0, 10, 25, 33, 34, 60, 90, 150)]
+    # all share the first place of one shingle and are classes of their own
+    rows = spark.createDataFrame([(1, i, 300, 0, i, 0, order_minhash.parities(x).tolist()) for i, x in enumerate(sets)], "bucket long, id long, size int, nth int, root long, main long, odd array<long>")
+    got = {(r.id, r.least) for r in order_minhash.rare_pairs(rows, params).collect()}
+    every = {(i, j): len(np.intersect1d(sets[i], sets[j])) / len(np.union1d(sets[i], sets[j])) for i in range(len(sets)) for j in range(i)}
+    assert {p for p, s in every.items() if s >= params.similarity} <= got
+    assert got and not got & {p for p, s in every.items() if s < 0.5}
