@@ -24,8 +24,8 @@ from recurra.llm.common import map_batches, text_or_empty
 END = "</w>"
 NEVER = np.int64(1) << 40
 LONG_WORD = 64
-CACHED_RUNS = 200_000
-SIGNS = ("", *".,;:!?|)(")
+CACHED_RUNS = 500_000
+SIGNS = frozenset(".,;:!?|)(")
 # Fixed values of the tokenizer: word pattern of its pre-tokenizer.
 WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\p{White_Space}\p{L}\p{N}]+")
 SPACES = regex.compile(r"\p{White_Space}+")
@@ -41,6 +41,11 @@ def byte_letters() -> list[str]:
     return [chr(b) if b in visible else chr(next(spare)) for b in range(256)]
 
 
+def folded(text: str) -> str:
+    """Normal form of the tokenizer."""
+    return unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
+
+
 class WordBpe:
     """Encoder and decoder for a tokenizer file of the kind "BPE with word ends"."""
 
@@ -76,6 +81,7 @@ class WordBpe:
         self.build_trie([(bytes(codes[c] for c in t.removesuffix(END)), t.endswith(END), i) for t, i in vocab.items() if sound[i]])
         self.specials = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
         self.cache: dict[str, bytes] = {}
+        self.known: dict[str | int, bytes] = {i: i.to_bytes(4, "little") for i in self.special.values()}
         self.words = self.repaired = 0
 
     def build_trie(self, tokens: list[tuple[bytes, bool, int]]) -> None:
@@ -232,42 +238,49 @@ class WordBpe:
                     out[k] = merged[a:b]
         return out
 
-    def pieces(self, run: str) -> list[bytes | int]:
-        """Words of a run without white space in UTF-8; special tokens as ids."""
-        # most runs are one word, or one word and a sign
-        word, sign = (run, "") if run.isalpha() else (run[:-1], run[-1])
-        if word.isalpha() and sign in SIGNS:
-            plain = word.lower() if word.isascii() else unicodedata.normalize("NFC", word).replace("Σ", "σ").lower()
-            if plain.isalpha():
-                return [plain.encode(), sign.encode()] if sign else [plain.encode()]
+    def pieces(self, runs: list[str]) -> list[list[str | int]]:
+        """Words of each run without white space; special tokens as ids."""
+        # a line break joins with nothing, so all runs are folded at once
+        joined = "\n".join(runs)
         out = []
-        for part in self.specials.split(run) if self.specials and "<|" in run else [run]:
-            if part in self.special:
-                out.append(self.special[part])
-                continue
-            plain = unicodedata.normalize("NFC", part).replace("Σ", "σ").lower()
-            out += [w.encode() for w in WORDS.findall(plain)]
+        for run, plain in zip(runs, (joined.lower() if joined.isascii() else folded(joined)).split("\n")):
+            # most runs are one word, or one word and a sign
+            if plain.isalpha():
+                out.append([plain])
+            elif plain[-1:] in SIGNS and plain[:-1].isalpha():
+                out.append([plain[:-1], plain[-1]])
+            elif self.specials and "<|" in run:
+                out.append([])
+                for part in self.specials.split(run):
+                    out[-1] += [self.special[part]] if part in self.special else WORDS.findall(folded(part))
+            else:
+                out.append(WORDS.findall(plain))
         return out
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers.
 
-        Words never span white space, so runs without it are encoded once and kept;
-        the store has a fixed size and is started anew when full.
+        Words never span white space, so runs without it are encoded once and kept, and so are
+        their words; both stores have a fixed size and are started anew when full.
         """
         runs = [[x for x in SPACES.split(t) if x] if SEPARATORS.search(t) else t.split() for t in texts]
         if len(self.cache) > CACHED_RUNS:
             self.cache.clear()
-        fresh = list(set().union(*runs) - self.cache.keys())
-        cut = [self.pieces(c) for c in fresh]
-        words = list({w for p in cut for w in p if w.__class__ is bytes})
-        long = [w for w in words if len(w) > LONG_WORD]
-        words = [w for w in words if len(w) <= LONG_WORD]
-        ids = dict(zip(words + long, self.encode_words(words) + self.encode_words(long)))
-        ids |= {i: i.to_bytes(4, "little") for i in self.special.values()}
-        for c, p in zip(fresh, cut):
-            self.cache[c] = ids[p[0]] if len(p) == 1 else b"".join([ids[w] for w in p])
-        return [b"".join(map(self.cache.__getitem__, r)) for r in runs]
+        if len(self.known) > CACHED_RUNS:
+            self.known.clear()
+            self.known |= {i: i.to_bytes(4, "little") for i in self.special.values()}
+        cache, known = self.cache, self.known
+        fresh = list(set().union(*runs).difference(cache))
+        cut = self.pieces(fresh)
+        words = list(set().union(*cut).difference(known))
+        raw = [w.encode() for w in words]
+        short = [i for i, w in enumerate(raw) if len(w) <= LONG_WORD]
+        known |= zip([words[i] for i in short], self.encode_words([raw[i] for i in short]))
+        if len(short) < len(words):
+            long = [i for i, w in enumerate(raw) if len(w) > LONG_WORD]
+            known |= zip([words[i] for i in long], self.encode_words([raw[i] for i in long]))
+        cache |= {c: known[p[0]] if len(p) == 1 else b"".join([known[w] for w in p]) for c, p in zip(fresh, cut)}
+        return [b"".join([cache[x] for x in r]) for r in runs]
 
     def decode(self, ids: np.ndarray) -> str:
         """Tokens joined by a space, as a tokenizer without a decoder writes them; unknown ids are left out."""

@@ -129,3 +129,10 @@ def test_sweep_matches_the_largest_document_that_fits(spark):
     slots = spark.createDataFrame([(0, 1, 8), (1, 1, 6), (2, 1, 1), (3, 1, 20)], "bin long, slot int, size long")
     got = {r.bin: r.size for r in packing.sweep(docs, slots).collect()}
     assert got == {1: 5, 0: 7, 3: 9}
+
+
+def test_a_word_is_merged_once_whatever_stands_beside_it():
+    coder = bpe.WordBpe(PATH)
+    first = coder.encode(["thstentionable"])[0]
+    assert coder.words == 1
+    assert coder.encode(["Thstentionable, THSTENTIONABLE."])[0][: len(first)] == first and coder.words == 3  # the two signs are new
