@@ -80,8 +80,7 @@ class WordBpe:
         self.made = np.array([m for _, m in self.merges.values()])
         self.build_trie([(bytes(codes[c] for c in t.removesuffix(END)), t.endswith(END), i) for t, i in vocab.items() if sound[i]])
         self.specials = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
-        self.cache: dict[str, bytes] = {}
-        self.known: dict[str | int, bytes] = {i: i.to_bytes(4, "little") for i in self.special.values()}
+        self.forget()
         self.words = self.repaired = 0
 
     def build_trie(self, tokens: list[tuple[bytes, bool, int]]) -> None:
@@ -257,6 +256,11 @@ class WordBpe:
                 out.append(WORDS.findall(plain))
         return out
 
+    def forget(self) -> None:
+        """Empty the stores of runs and words."""
+        self.cache: dict[str, bytes] = {}
+        self.known: dict[str | int, bytes] = {i: i.to_bytes(4, "little") for i in self.special.values()}
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers.
 
@@ -264,11 +268,8 @@ class WordBpe:
         their words; both stores have a fixed size and are started anew when full.
         """
         runs = [[x for x in SPACES.split(t) if x] if SEPARATORS.search(t) else t.split() for t in texts]
-        if len(self.cache) > CACHED_RUNS:
-            self.cache.clear()
-        if len(self.known) > CACHED_RUNS:
-            self.known.clear()
-            self.known |= {i: i.to_bytes(4, "little") for i in self.special.values()}
+        if max(len(self.cache), len(self.known)) > CACHED_RUNS:
+            self.forget()
         cache, known = self.cache, self.known
         fresh = list(set().union(*runs).difference(cache))
         cut = self.pieces(fresh)

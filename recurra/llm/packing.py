@@ -56,7 +56,7 @@ def pieces(docs: DataFrame, tokenizer: str, params: Params = Params(), with_ids:
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids array<int>" * with_ids
 
     def done() -> None:
-        bpe(tokenizer).cache.clear()
+        bpe(tokenizer).forget()
         give_back()
 
     return map_batches(rows, run, schema, done)
