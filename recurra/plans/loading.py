@@ -408,15 +408,16 @@ def _stored_exec(s):
 
 # streams
 def webhook_stream(s: Source) -> dict:
-    """All billing events as packed files, one for each task, each event twice, as providers retry."""
+    """All billing events as packed files of a bounded number of events, each event twice, as providers retry."""
     subs, inv, acc = stripe_bodies(s)
     folder = scratch_path(s.spark, "bodies")
-    bodies = subs.unionByName(inv).unionByName(acc)
     older = F.regexp_replace("body", '"status":"[a-z_]*"', '"status":"stale"')
-    # before the event itself comes an older one of the same object
-    stale = subs.select(F.regexp_replace(older, '"created":[0-9]+', '"created":86400').alias("body"))
-    everything = bodies.unionByName(bodies).unionByName(stale)
-    everything.write.option("compression", "gzip").text(folder)
+    # besides the event itself comes an older one of the same object
+    stale = F.regexp_replace(older, '"created":[0-9]+', '"created":86400')
+    # an event is made once and its copies are dealt from there
+    sent = lambda df, *bodies: df.select(F.explode(F.array(*bodies)).alias("body"))
+    everything = sent(subs, "body", "body", stale).unionByName(sent(inv.unionByName(acc), "body", "body"))
+    everything.write.options(compression="gzip", maxRecordsPerFile=200_000, **{"zlib.compress.level": "BEST_SPEED"}).text(folder)
     return changes.stream_webhooks(s.spark, folder, NOW)
 
 

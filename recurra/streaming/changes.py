@@ -44,6 +44,8 @@ def run_available(stream: DataFrame, write_batch, checkpoint: str, mode: str = "
     query.awaitTermination()
 
 
+#: longest method that the JVM compiles; Spark splits the code of a plan beyond it
+JIT_BYTES = 8000
 #: entities of the billing events and their keys
 WEBHOOK_KEYS = {"subscription": "subscription_id", "invoice": "invoice_id", "account": "account_id"}
 
@@ -94,6 +96,8 @@ def stream_webhooks(spark: SparkSession, folder: str, received_at: dt.datetime,
     logs = CommittedLogs(spark, f"{out}/log", {name: rows.schema for name, rows in webhook_tables(parsed).items()})
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
+        # the stream's own session: code of all entities in one method would be too long for the JVM to compile
+        batch.sparkSession.conf.set("spark.sql.codegen.hugeMethodLimit", JIT_BYTES)
         append_batch(webhooks.stripe_rows(webhooks.parse_stripe(batch), received_at).where("processed"), batch_id, f"{out}/parsed")
         rows = spark.read.schema(parsed.schema).parquet(f"{out}/parsed/batch_id={batch_id}")
         logs.write(webhook_tables(rows), batch_id)

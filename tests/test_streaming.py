@@ -127,3 +127,26 @@ def test_a_batch_fills_its_logs_without_a_shuffle_and_leaves_no_parsed_rows(spar
     # the log keeps what arrived, a reader settles it
     assert spark.read.parquet(f"{out}/log/subscription").count() == 3
     assert not changes.Folder(spark, f"{out}/parsed").names()
+
+
+def test_a_batch_is_parsed_by_code_that_the_jvm_compiles(spark, tmp_path, monkeypatch):
+    folder, limit = tmp_path / "in", "spark.sql.codegen.hugeMethodLimit"
+    folder.mkdir()
+    (folder / "a.json").write_text(event(1, "s1", 10, 1000))
+    seen, before = [], spark.conf.get(limit)
+    write = changes.append_batch
+    monkeypatch.setattr(changes, "append_batch", lambda rows, n, path: (seen.append((path, int(rows.sparkSession.conf.get(limit)))), write(rows, n, path)))
+    got = changes.stream_webhook_upsert(spark, str(folder), NOW, str(tmp_path / "out"))
+    assert [n for path, n in seen if path.endswith("/parsed")] == [changes.JIT_BYTES]
+    assert got.count() == 1 and spark.conf.get(limit) == before
+
+
+def test_webhook_bodies_are_made_once_and_sent_twice(spark, monkeypatch):
+    from recurra.plans import loading
+
+    body = lambda n: spark.createDataFrame([(json.dumps({"id": n, "created": 5, "status": "active"}, separators=(",", ":")),)], "body string")
+    monkeypatch.setattr(loading, "stripe_bodies", lambda s: (body("s"), body("i"), body("a")))
+    monkeypatch.setattr(changes, "stream_webhooks", lambda spark, folder, now: spark.read.text(folder))
+    source = type("S", (), {"spark": spark})()
+    got = sorted((json.loads(r.value)["id"], json.loads(r.value)["created"], json.loads(r.value)["status"]) for r in loading.webhook_stream(source).collect())
+    assert got == [("a", 5, "active")] * 2 + [("i", 5, "active")] * 2 + [("s", 5, "active")] * 2 + [("s", 86400, "stale")]
