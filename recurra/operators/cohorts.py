@@ -25,7 +25,7 @@ from recurra.functions.expr import (
     surrogate_key,
 )
 from recurra.operators.mrr import account_month_mrr, plan_tier_order
-from recurra.operators.spine import account_months, paid_spans, running_spans, tasks_for
+from recurra.operators.spine import account_months, months_of_account, paid_spans, running_spans, tasks_for
 
 ACTIVE = ["new", "retained", "reactivated"]
 BROADCAST_ROWS = 200_000  # about 40 MB of period totals; beyond it the join shuffles and AQE splits hot cohorts
@@ -34,14 +34,17 @@ COHORT_BANDS = [(0.90, "excellent"), (0.75, "good"), (0.60, "fair")]
 
 def cohort_rows(t: Tables, as_of: dt.date) -> DataFrame:
     """Account x period with retention status and the starting MRR of the account."""
-    # both sides lie by account in as many partitions before months are generated, so neither is shuffled behind them
+    # both sides lie by account in as many partitions before months are generated and meet there, whatever session settings say of joins
+    # by account and month, so no months are shuffled; paid months are many times the bytes that the planner knows, too many to broadcast
     tasks = tasks_for(paid_spans(t.subscriptions, as_of))
-    grid = account_months(t.accounts.repartition(tasks, "account_id"), as_of).drop("account_month_key", "month_year", "month_num", "country")
     activity = account_month_mrr(t.subscriptions, as_of, tasks=tasks).select("account_id", "month_start", "mrr", "plan_name")
+    accounts = t.accounts.repartition(tasks, "account_id").join(months_of_account(activity, "_paid").hint("merge"), "account_id", "left")
+    grid = account_months(accounts, as_of, kept=("_paid",)).drop("account_month_key", "month_year", "month_num", "country")
     zero = F.lit(0).cast(MONEY)
+    described = [c for c in grid.columns if c not in ("account_id", "month_start", "_paid")]
     base = (
-        grid.join(activity, ["account_id", "month_start"], "left")
-        .withColumn("mrr", F.coalesce("mrr", zero))
+        grid.withColumn("_month", F.try_element_at("_paid", "month_start"))
+        .select("account_id", "month_start", *described, F.coalesce("_month.mrr", zero).alias("mrr"), "_month.plan_name")
         .withColumn("is_active_this_month", F.col("mrr") > 0)
     )
     in_order = Window.partitionBy("account_id").orderBy("month_start")

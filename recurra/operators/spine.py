@@ -44,8 +44,26 @@ def day_spine(dates: DataFrame, column: str, as_of: dt.date) -> DataFrame:
     return days.select("full_date", F.year("full_date").alias("year"), F.quarter("full_date").alias("quarter"), F.month("full_date").alias("month"))
 
 
-def account_months(accounts: DataFrame, as_of: dt.date, since: Column | None = None) -> DataFrame:
-    """One row for each account and month since its creation, or since a month if one is given."""
+def months_of_account(values: DataFrame, name: str) -> DataFrame:
+    """Rows that are unique by account and month as one row per account: a map ``name`` from the month to a struct of the other columns."""
+    rest = [c for c in values.columns if c not in ("account_id", "month_start")]
+    entry = F.struct("month_start", F.struct(*rest))
+    known = values.where(F.col("month_start").isNotNull())
+    return known.groupBy("account_id").agg(F.map_from_entries(F.collect_list(entry)).alias(name))
+
+
+def join_months(rows: DataFrame, values: DataFrame) -> DataFrame:
+    """``rows`` with the columns that ``values`` has for their account and month, NULL if there is no such row.
+
+    The join needs the account alone, so rows that lie by account are not shuffled once more by account and month.
+    """
+    rest = [c for c in values.columns if c not in ("account_id", "month_start")]
+    joined = rows.join(months_of_account(values, "_months"), "account_id", "left").withColumn("_found", F.try_element_at("_months", "month_start"))
+    return joined.select(*rows.columns, *[F.col(f"_found.{c}") for c in rest])
+
+
+def account_months(accounts: DataFrame, as_of: dt.date, since: Column | None = None, kept: tuple[str, ...] = ()) -> DataFrame:
+    """One row for each account and month since its creation, or since a month if one is given; ``kept`` names further columns of the accounts."""
     born = F.col("created_at").cast("date")
     grid = with_months(accounts, born if since is None else F.greatest(born, since), day(as_of))
     cohort = month_start(born)
@@ -67,6 +85,7 @@ def account_months(accounts: DataFrame, as_of: dt.date, since: Column | None = N
         cohort.alias("cohort_month_date"),
         months_apart(cohort, F.col("month_start")).alias("months_since_created"),
         (F.col("month_start") == cohort).alias("is_first_month"),
+        *kept,
     )
 
 

@@ -6,7 +6,8 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from recurra.operators import extras, incremental, ranking, spine, usage
+from recurra.config import Tables
+from recurra.operators import cohorts, extras, incremental, ranking, spine, usage
 from recurra.operators.silver import latest_per_key
 from recurra.session import shared_dir
 
@@ -148,3 +149,41 @@ def test_usage_counts_are_exact_beyond_the_bits(spark):
         assert r.feature_adoption_score == (sum(weights) if weights else None) and r.total_duration_seconds == sum(x[5] or 0 for x in own)
     plan = usage.usage_monthly(events, catalogue)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.index("Expand") < plan.index("Join")  # rows are expanded after the first aggregation only
+
+
+@pytest.fixture
+def all_keys(spark):
+    """Joins ask for all of their keys when rows are dealt, as sessions do by default; small sides are not broadcast."""
+    conf = {"spark.sql.requireAllClusterKeysForCoPartition": "true", "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+def dealt_by_month(df):
+    """Shuffles on account and month."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return [line for line in plan.splitlines() if "Exchange hashpartitioning(account_id" in line and "month_start" in line]
+
+
+def account_rows(spark, *rows):
+    schema = "account_id long, company_name string, industry string, region string, country string, company_size string, acquisition_channel string, created_at timestamp_ntz"
+    return spark.createDataFrame([(k, f"c{k}", "i", "r", "x", "1-10", "organic", at) for k, at in rows], schema)
+
+
+def test_cohort_months_are_not_shuffled(spark, subs, all_keys):
+    accounts = account_rows(spark, (1, dt.datetime(2020, 1, 5)), (2, dt.datetime(2020, 2, 1)), (3, dt.datetime(2020, 3, 1)))
+    s = subs((1, 1, "starter", 10, "2020-01-05", "2020-02-10"), (2, 1, "growth", 5, "2020-04-01", None), (3, 2, "starter", 7, "2020-02-01", None), (4, None, "starter", 9, "2020-01-01", None))
+    empty = spark.createDataFrame([], "x int")
+    t = Tables(accounts=accounts, plans=empty, features=empty, subscriptions=s, invoices=empty, usage_events=empty, tickets=empty, leads=empty)
+    out = cohorts.cohort_base(t, dt.date(2020, 4, 30))
+    assert not dealt_by_month(out)
+    got = {(r.account_id, r.months_since_created): (float(r.mrr), r.plan_name, r.retention_status, r.cohort_size) for r in out.collect()}
+    assert got == {
+        (1, 0): (10.0, "starter", "new", 1), (1, 1): (10.0, "starter", "retained", 1), (1, 2): (0.0, None, "churned", 1), (1, 3): (5.0, "growth", "reactivated", 1),
+        (2, 0): (7.0, "starter", "new", 1), (2, 1): (7.0, "starter", "retained", 1), (2, 2): (7.0, "starter", "retained", 1),
+        (3, 0): (0.0, None, "new", 1), (3, 1): (0.0, None, "inactive", 1),
+    }
