@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from recurra.config import Tables
-from recurra.operators import cohorts, extras, incremental, ranking, spine, usage
+from recurra.operators import cohorts, extras, incremental, mrr, ranking, spine, usage
 from recurra.operators.silver import latest_per_key
 from recurra.session import shared_dir
 
@@ -187,3 +187,22 @@ def test_cohort_months_are_not_shuffled(spark, subs, all_keys):
         (2, 0): (7.0, "starter", "new", 1), (2, 1): (7.0, "starter", "retained", 1), (2, 2): (7.0, "starter", "retained", 1),
         (3, 0): (0.0, None, "new", 1), (3, 1): (0.0, None, "inactive", 1),
     }
+
+
+def test_months_of_an_account_meet_without_a_shuffle_by_month(spark, all_keys):
+    day = lambda m: dt.date(2020, m, 1)
+    rows = spark.createDataFrame([(1, day(1), "a"), (1, day(1), "twice"), (1, day(2), "b"), (2, day(1), "c"), (None, day(1), "d"), (1, None, "e")], "account_id long, month_start date, v string")
+    values = spark.createDataFrame([(1, day(1), 5, None), (1, day(3), 6, "x"), (None, day(1), 7, "y"), (1, None, 8, "z"), (2, day(1), 9, "w")], "account_id long, month_start date, n int, w string")
+    out = spine.join_months(rows, values)
+    assert out.columns == ["account_id", "month_start", "v", "n", "w"] and not dealt_by_month(out)
+    want = rows.join(values, ["account_id", "month_start"], "left")
+    assert sorted(map(tuple, out.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
+
+
+def test_movement_facts_are_dealt_by_account_only(spark, subs, all_keys):
+    moves = mrr.movement_rows(subs((1, 1, "starter", 10, "2020-01-05", "2020-02-10")), dt.date(2020, 4, 30))
+    paid = spark.createDataFrame([(1, dt.date(2020, 2, 1), 2, 1, 10.0)], "account_id long, month_start date, failed_payments long, successful_payments long, total_invoiced_paid double")
+    joined = mrr.joined_facts(moves, account_rows(spark, (1, dt.datetime(2020, 1, 5))), paid)
+    assert not dealt_by_month(joined)
+    got = sorted((r.month_start.month, r.mrr_movement_type, r.company_name, r.failed_payments) for r in mrr.fact_columns(joined).collect())
+    assert got == [(1, "new", "c1", 0), (2, "retained", "c1", 2), (3, "churned", "c1", 0)]
